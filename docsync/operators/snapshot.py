@@ -1,0 +1,103 @@
+"""A stored table that is only ever replaced or appended to in one step."""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from docsync import storage
+
+CURRENT = "_CURRENT"
+
+
+class Snapshot:
+    """A folder of generations; ``_CURRENT`` names the valid generation and its parts.
+
+    A write becomes visible when ``_CURRENT`` is replaced, after all its files are complete; what
+    a failed write left behind is never read.  One writer at a time; readers keep the generation
+    they started on until the one after the next is written.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    def _current(self) -> dict | None:
+        pointer = f"{self.path}/{CURRENT}"
+        if not storage.exists(self.spark, pointer):
+            return None
+        return json.loads(storage.read_text(self.spark, pointer))
+
+    def _point_to(self, current: dict) -> None:
+        storage.write_text(self.spark, f"{self.path}/{CURRENT}", json.dumps(current))
+
+    def _part(self, generation: str, number: int) -> str:
+        return f"{self.path}/{generation}/part-{number:06d}"
+
+    def exists(self) -> bool:
+        return self._current() is not None
+
+    def parts(self) -> int:
+        current = self._current()
+        return current["parts"] if current else 0
+
+    def read(self) -> DataFrame:
+        current = self._current()
+        if current is None:
+            raise FileNotFoundError(f"nothing has been written to {self.path}")
+        paths = [self._part(current["generation"], n) for n in range(current["parts"])]
+        schema = T.StructType.fromJson(current["schema"])
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def count(self) -> int:
+        return self.read().count()
+
+    def replace(self, rows: DataFrame) -> int:
+        """Make ``rows`` the whole content; returns their number."""
+        before = self._current()
+        generation = f"gen-{uuid.uuid4().hex}"
+        part = self._part(generation, 0)
+        rows.write.mode("overwrite").parquet(part)
+        self._point_to({"generation": generation, "parts": 1,
+                        "schema": _nullable(rows.schema).jsonValue()})
+        keep = {generation, before["generation"] if before else generation}
+        for old in storage.folders(self.spark, self.path):
+            if old.startswith("gen-") and old not in keep:
+                storage.delete(self.spark, f"{self.path}/{old}")
+        return self._rows_in(part, rows.schema)
+
+    def append(self, rows: DataFrame) -> int:
+        """Add ``rows``; returns their number.  Fields seen for the first time join the schema."""
+        current = self._current()
+        if current is None:
+            return self.replace(rows)
+        schema = _merged(T.StructType.fromJson(current["schema"]), rows.schema)
+        part = self._part(current["generation"], current["parts"])
+        rows.write.mode("overwrite").parquet(part)
+        n = self._rows_in(part, rows.schema)
+        if n:
+            self._point_to({**current, "parts": current["parts"] + 1,
+                            "schema": schema.jsonValue()})
+        return n
+
+    def _rows_in(self, part: str, schema: T.StructType) -> int:
+        return self.spark.read.schema(schema).parquet(part).count()  # from the file footers
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
+def _merged(old: T.StructType, new: T.StructType) -> T.StructType:
+    known = {f.name: f.dataType for f in old.fields}
+    fields = list(old.fields)
+    for f in new.fields:
+        if f.name not in known:
+            fields.append(T.StructField(f.name, f.dataType, True))
+        elif known[f.name].simpleString() != f.dataType.simpleString():
+            raise ValueError(f"field {f.name} is stored as {known[f.name].simpleString()}, "
+                             f"the new rows have {f.dataType.simpleString()}")
+    return T.StructType(fields)
