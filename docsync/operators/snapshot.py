@@ -83,6 +83,10 @@ class Snapshot:
                             "schema": schema.jsonValue()})
         return n
 
+    def compact(self) -> int:
+        """Rewrite many appended parts as one."""
+        return self.replace(self.read())
+
     def _rows_in(self, part: str, schema: T.StructType) -> int:
         return self.spark.read.schema(schema).parquet(part).count()  # from the file footers
 

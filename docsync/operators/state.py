@@ -1,62 +1,59 @@
-"""The last refresh time of every target, as an append-only table."""
+"""The last refresh time of every target."""
 
 from __future__ import annotations
 
-import time
-from datetime import datetime, timedelta
+import json
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docsync import storage
 from docsync.functions.times import as_utc
-from docsync.operators.snapshot import Snapshot
 
-_SCHEMA = "index_name string, last_refresh_time timestamp, deleted boolean, saved_at bigint"
-# The log is rewritten to one row per target when it has this many parts.
-COMPACT_AT = 200
-_EPOCH = datetime(1970, 1, 1)
+_SCHEMA = "index_name string, last_refresh_time timestamp"
 
 
-def latest_state(log: DataFrame, saved_at: str = "saved_at") -> DataFrame:
-    """(index_name, last_refresh_time) by the latest entry; a deleted one leaves no row."""
-    entry = F.max_by(F.struct("last_refresh_time", "deleted"), saved_at).alias("_entry")
-    return (log.groupBy("index_name").agg(entry).where(~F.col("_entry.deleted"))
-            .select("index_name", F.col("_entry.last_refresh_time").alias("last_refresh_time")))
+class RefreshState:
+    """One small file per target, replaced in one step; Spark reads the folder as a table.
 
+    Targets do not share a file, so flows of different targets can run side by side.
+    """
 
-class RefreshState:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self._log = Snapshot(spark, f"{root.rstrip('/')}/refresh_state")
+        self.path = f"{root.rstrip('/')}/refresh_state"
 
-    def _add(self, name: str, micros: int | None) -> None:
-        row = self.spark.range(1).select(
-            F.lit(name).alias("index_name"),
-            F.timestamp_micros(F.lit(micros).cast("bigint")).alias("last_refresh_time"),
-            F.lit(micros is None).alias("deleted"), F.lit(time.time_ns()).alias("saved_at"))
-        self._log.append(row)
-        if self._log.parts() >= COMPACT_AT:
-            self.compact()
+    def _file(self, name: str) -> str:
+        return f"{self.path}/{name}.json"
 
     def save(self, name: str, last_refresh_time) -> None:
-        micros = (as_utc(last_refresh_time) - _EPOCH) // timedelta(microseconds=1)
-        self._add(name, micros)
+        """Insert or update."""
+        at = as_utc(last_refresh_time).replace(tzinfo=timezone.utc)
+        row = {"index_name": name, "last_refresh_time": at.isoformat()}
+        storage.write_text(self.spark, self._file(name), json.dumps(row) + "\n")
 
     def delete(self, name: str) -> None:
-        self._add(name, None)
+        storage.delete(self.spark, self._file(name))
 
-    def log(self) -> DataFrame:
-        return self._log.read() if self._log.exists() else self.spark.createDataFrame([], _SCHEMA)
+    def find(self, name: str) -> datetime | None:
+        if not storage.exists(self.spark, self._file(name)):
+            return None
+        row = json.loads(storage.read_text(self.spark, self._file(name)))
+        return as_utc(row["last_refresh_time"])
 
     def all(self) -> DataFrame:
-        return latest_state(self.log())
+        if not storage.exists(self.spark, self.path):
+            return self.spark.createDataFrame([], _SCHEMA)
+        return self.spark.read.schema(_SCHEMA).json(self.path)
 
-    def find(self, name: str) -> datetime | None:
-        found = (self.all().where(F.col("index_name") == name)
-                 .select(F.unix_micros("last_refresh_time").alias("us")).first())
-        return None if found is None else _EPOCH + timedelta(microseconds=found["us"])
-
-    def compact(self) -> None:
-        latest = self.all().withColumn("deleted", F.lit(False)).withColumn(
-            "saved_at", F.lit(time.time_ns()))
-        self._log.replace(latest.coalesce(1))
+
+def latest_state(log: DataFrame, saved_at: str = "saved_at") -> DataFrame:
+    """(index_name, last_refresh_time) of a state kept as a log of saves and deletes.
+
+    log: index_name, last_refresh_time, deleted and the column it is ordered by.  The latest entry
+    of a target counts; if that is a delete the target has no row.
+    """
+    entry = F.max_by(F.struct("last_refresh_time", "deleted"), saved_at).alias("_entry")
+    return (log.groupBy("index_name").agg(entry).where(~F.col("_entry.deleted"))
+            .select("index_name", F.col("_entry.last_refresh_time").alias("last_refresh_time")))

@@ -67,6 +67,8 @@ class _Size:
     writes: int
     rejected: int
     id_bytes: int
+    first_id: str | None
+    last_id: str | None
 
 
 def _measure(batch: DataFrame) -> _Size:
@@ -75,7 +77,8 @@ def _measure(batch: DataFrame) -> _Size:
         F.count(DOC_ID).alias("ids"),
         F.coalesce(F.sum(F.when(has_id, F.col(WRITES))), F.lit(0)).alias("writes"),
         F.coalesce(F.sum(F.when(~has_id, F.col(WRITES))), F.lit(0)).alias("rejected"),
-        F.coalesce(F.sum(F.octet_length(DOC_ID)), F.lit(0)).alias("id_bytes")).first()
+        F.coalesce(F.sum(F.octet_length(DOC_ID)), F.lit(0)).alias("id_bytes"),
+        F.min(DOC_ID).alias("first_id"), F.max(DOC_ID).alias("last_id")).first()
     return _Size(**row.asDict())
 
 
@@ -90,9 +93,9 @@ def create_if_absent(target: Target, batch: DataFrame, finish=_as_is, order=(),
                      unique: bool = False) -> Counts:
     """Insert the documents whose id is not in the target; the others are conflicts.
 
-    The batch is staged once.  A small batch is compared by broadcasting its ids, so the target
-    is scanned (ids only) but not shuffled; a large one by a shuffled anti join.  Only new rows go
-    through ``finish``.
+    The batch is staged once.  Of the target only the ids within the range of the batch are read.
+    A small batch is compared by broadcasting its ids, so the target is not shuffled; a large one
+    by a shuffled anti join.  Only new rows go through ``finish``.
     """
     if not target.exists():
         return recreate(target, batch, finish, order, unique)
@@ -101,7 +104,7 @@ def create_if_absent(target: Target, batch: DataFrame, finish=_as_is, order=(),
         if size.ids == 0:
             return Counts(rejected=size.rejected)
         known = rows.where(F.col(DOC_ID).isNotNull())
-        existing = target.ids()
+        existing = target.ids().where(F.col(DOC_ID).between(size.first_id, size.last_id))
         small = _if_small(known.select(DOC_ID), size)
         if small is not None:
             existing = existing.join(small, DOC_ID, "left_semi")

@@ -56,7 +56,7 @@ def jdbc_query(spark: SparkSession, connection: Mapping[str, str], sql: str, tim
     One task reads a plain query.  With ``split`` the text becomes a derived table and is read in
     ranges, so a large load is spread over the cluster.
     """
-    text = fill(sql, [jdbc_time(t) for t in times]).strip().rstrip(";")
+    text = fill(sql, [jdbc_time(t) for t in times]).strip().rstrip(";").rstrip()
     options = connection_options(connection)
     if split:
         options |= {"dbtable": f"({text}) docsync_rows"} | range_options(**split)

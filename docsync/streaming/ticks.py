@@ -20,16 +20,12 @@ def register_ticks(spark: SparkSession) -> None:
 
     Its offset is a time.  A micro-batch is one row (lo, hi): the end of the last batch and the
     present, or the option ``until`` for a bounded run.  Offsets go to the checkpoint, so a
-    restart continues where the last run ended.  The classes are local so that they reach Python
-    workers by value, whatever is installed there.
+    restart continues where the last run ended.  The reader only runs on the driver, and the
+    classes are local so that it gets them by value.
     """
-    from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+    from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
-    class Bounds(InputPartition):
-        def __init__(self, lo, hi):
-            self.lo, self.hi = lo, hi
-
-    class TickReader(DataSourceStreamReader):
+    class TickReader(SimpleDataSourceStreamReader):
         def __init__(self, options):
             self.start, self.until = options.get("start"), options.get("until")
 
@@ -40,17 +36,12 @@ def register_ticks(spark: SparkSession) -> None:
         def initialOffset(self):
             return {"time": self.start or self._now()}
 
-        def latestOffset(self):
-            return {"time": self.until or self._now()}
-
-        def partitions(self, start, end):
-            return [Bounds(start["time"], end["time"])]
-
-        def read(self, partition):
-            yield (partition.lo, partition.hi)
+        def read(self, start):
+            end = {"time": self.until or self._now()}
+            return self.readBetweenOffsets(start, end), end
 
-        def commit(self, end):
-            pass
+        def readBetweenOffsets(self, start, end):
+            return iter([(start["time"], end["time"])] if start != end else [])
 
     class TickSource(DataSource):
         @classmethod
@@ -60,7 +51,7 @@ def register_ticks(spark: SparkSession) -> None:
         def schema(self):
             return "lo string, hi string"
 
-        def streamReader(self, schema):
+        def simpleStreamReader(self, schema):
             return TickReader(self.options)
 
     spark.dataSource.register(TickSource)

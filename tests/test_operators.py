@@ -1,0 +1,289 @@
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from docsync import SyncSpec
+from docsync.operators import enrich as en
+from docsync.operators import ids
+from docsync.operators import relational as rel
+from docsync.operators.concat import ordered_concat
+from docsync.operators.document import apply_mapping, export_bulk, parse_mapping, to_ndjson
+from docsync.operators.ids import DOC_ID, WRITES
+
+LO, HI = "2024-01-01", "2024-01-02"
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+# -- ordered text per key ------------------------------------------------------------------------
+
+@pytest.mark.parametrize("hot_rows", [None, 50, 0])
+def test_ordered_concat_with_hot_keys(spark, hot_rows):
+    """A third of the rows has one key; every way of splitting gives the same text."""
+    rng = random.Random(7)
+    data = [(0 if i % 3 == 0 else None if i % 50 == 1 else rng.randrange(20), i, f"t{i}")
+            for i in range(3000)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "k int, n int, t string").repartition(5)
+    got = ordered_concat(df, "k", F.col("t"), F.col("n"), ",", "x", hot_rows)
+    expected = {}
+    for k, n, t in sorted(data, key=lambda d: d[1]):
+        expected.setdefault(k, []).append(t)
+    assert {r.k: r.x for r in got.collect()} == {k: ",".join(v) for k, v in expected.items()}
+
+
+def test_hot_key_is_cut_into_pieces(spark):
+    df = spark.range(4000).select(F.lit(1).alias("k"), "id")
+    cut = (df.repartitionByRange(4, "k", "id").groupBy(F.spark_partition_id().alias("p")).count()
+           .collect())
+    assert len(cut) > 1  # the ranges cut inside the key
+    got = ordered_concat(df, "k", F.col("id").cast("string"), F.col("id"), " ", "x", 100).first()
+    assert got.x == " ".join(map(str, range(4000)))
+
+
+def test_without_hot_keys_the_branch_disappears(spark, plan):
+    df = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
+    text = plan(ordered_concat(df, "k", F.col("id").cast("string"), F.col("id")))
+    final = text.split("Initial Plan")[0]
+    assert "rangepartitioning" not in final and "LeftAnti" not in final
+
+
+def test_separator_is_quoted(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "k int, n int, t string")
+    assert ordered_concat(df, "k", F.col("t"), F.col("n"), "'\\").first().text == "a'\\b"
+
+
+# -- ids and outcomes ----------------------------------------------------------------------------
+
+@pytest.fixture
+def batch(spark):
+    data = [("a", 1, "x"), ("a", 1, "x"), ("a", 2, "w"), ("b", 5, "y"), (None, 1, "n"),
+            (None, 2, "n"), ("c", None, "z")]
+    return spark.createDataFrame(data, "doc_id string, n int, t string")
+
+
+def test_first_and_last_per_id(batch):
+    assert rows(ids.first_per_id(batch, ("n",))) == [
+        ("a", 1, "x", 3), ("b", 5, "y", 1), ("c", None, "z", 1), (None, 1, "n", 2)]
+    assert rows(ids.last_per_id(batch, ("n",)).where("doc_id = 'a'")) == [("a", 2, "w", 3)]
+    assert ids.first_per_id(batch, unique=True).count() == 7
+
+
+def test_first_per_id_keeps_maps(spark):
+    df = spark.sql("SELECT 'a' AS doc_id, 2 AS n, map('k', 1) AS m UNION ALL "
+                   "SELECT 'a', 1, map('k', 2)")
+    assert rows(ids.first_per_id(df, ("n",))) == [("a", 1, {"k": 2}, 2)]
+
+
+def test_ties_do_not_depend_on_the_layout(spark):
+    data = [("a", 1, t) for t in "zyxw"]
+    for order in (data, data[::-1]):
+        df = spark.createDataFrame(order, "doc_id string, n int, t string").repartition(3)
+        assert rows(ids.first_per_id(df, ("n",))) == [("a", 1, "w", 4)]
+
+
+def test_outcomes(spark, batch):
+    existing = spark.createDataFrame([("b",)], "doc_id string")
+    got = ids.outcomes(batch, existing, ("n",))
+    assert rows(got.created) == [("a", 1, "x"), ("c", None, "z")]
+    assert rows(got.conflicts) == [("a", 1, "x", 1), ("a", 2, "w", 1), ("b", 5, "y", 1)]
+    assert rows(got.rejected) == [(None, 1, "n"), (None, 2, "n")]
+    assert rows(ids.tally(batch, existing)) == [("conflict", 3), ("created", 2), ("rejected", 2)]
+    assert rows(ids.tally(batch)) == [("conflict", 2), ("created", 3), ("rejected", 2)]
+
+
+def test_with_doc_id(spark):
+    df = spark.createDataFrame([(1, None), (1, 2)], "a int, b int")
+    assert [r.doc_id for r in ids.with_doc_id(df, (" A ", "b")).collect()] == [None, "1-2"]
+    with pytest.raises(ValueError, match="not among"):
+        ids.with_doc_id(df, ("zz",))
+    clash = df.withColumn("doc_id", F.lit(1))
+    with pytest.raises(ValueError, match="rename"):
+        ids.with_doc_id(clash, ("a",))
+    assert ids.with_doc_id(clash, ("doc_id",)).first().doc_id == "1"
+
+
+# -- custom fields -------------------------------------------------------------------------------
+
+@pytest.fixture
+def projects(spark):
+    return spark.createDataFrame(
+        [("1", 1, "p1"), ("2", 2, "p2"), ("3", 3, "p3"), ("4", None, "p4")],
+        "doc_id string, pid long, name string")
+
+
+@pytest.fixture
+def ext(spark):
+    return spark.createDataFrame(
+        [(1, "Label_12", "value 12", 2), (1, "label_11", "value 11", 1), (2, "A", "x", 1),
+         (2, "a", "y", 2), (2, "K", None, 3), (9, "A", "x", 1), (None, "A", "x", 1)],
+        "PARENT long, K string, V string, SEQ int")
+
+
+def test_flatten_declared(projects, ext):
+    out = en.flatten(projects, ext, "pid", ("label_11", "a", "k"), ("seq",), ("pid",))
+    assert out.columns == ["doc_id", "pid", "name", "label_11", "a", "k"]
+    assert rows(out) == [("1", 1, "p1", "value 11", None, None), ("2", 2, "p2", None, "y", None),
+                         ("3", 3, "p3", None, None, None), ("4", None, "p4", None, None, None)]
+
+
+def test_flatten_open(projects, ext):
+    out = en.flatten(projects, ext, "pid", None, ("seq",), ("pid",))
+    assert {r.doc_id: r.custom for r in out.collect()} == {
+        "1": {"label_11": "value 11", "label_12": "value 12"}, "2": {"a": "y", "k": None},
+        "3": None, "4": None}
+
+
+def test_custom_field_replaces_an_ordinary_one_but_not_an_id(spark, projects):
+    ext = spark.createDataFrame(
+        [(1, "Name", "custom"), (1, "PID", "77"), (2, "name", None), (3, "pid", "1")],
+        "p long, k string, v string")
+    for keys in (("name", "pid"), None):
+        out = en.flatten(projects, ext, "pid", keys, (), ("pid",))
+        assert [r.pid for r in out.orderBy("doc_id").collect()] == [1, 2, 3, None]
+    out = en.flatten(projects, ext, "pid", ("name", "pid"), (), ("pid",)).orderBy("doc_id")
+    assert [r.name for r in out.collect()] == ["custom", None, "p3", "p4"]
+    assert rows(en.protected_keys(projects, ext, "pid", ("pid",))) == [("pid", 2)]
+
+
+def test_custom_in_one(projects, ext):
+    out = en.custom_in_one(projects, ext, "pid", ("seq",))
+    assert {r.doc_id: r.custom_fields for r in out.collect()} == {
+        "1": "label_11 value 11 label_12 value 12 ", "2": "a x a y k null ",
+        "3": None, "4": None}
+    again = en.custom_in_one(projects.limit(1), ext, "pid", ("seq",), repeat=3)
+    assert again.first().custom_fields == (
+        "label_11 value 11 " * 3 + "label_12 value 12 " * 3)
+
+
+def test_all_in_one(projects, ext):
+    out = en.all_in_one(en.custom_in_one(projects, ext, "pid", ("seq",)))
+    assert {r.doc_id: r.all_fields for r in out.collect()}["2"] == "pid 2 name p2 a x a y k null "
+    assert {r.doc_id: r.all_fields for r in out.collect()}["4"] == "pid null name p4 "
+
+
+def test_decimal_parent_matches(spark, projects):
+    ext = spark.sql("SELECT CAST(1 AS DECIMAL(18,2)) AS p, 'a' AS k, 'v' AS v")
+    out = en.custom_in_one(projects, ext, "pid")
+    assert out.where("doc_id = '1'").first().custom_fields == "a v "
+
+
+@pytest.mark.parametrize("mode, column", [("FLATTEN", "custom"), ("custom_in_one", "custom_fields"),
+                                          ("all_in_one", "all_fields")])
+def test_modes(projects, ext, mode, column):
+    spec = SyncSpec(name="p", id_columns="pid", init_sql="x", extension_column="PID",
+                    fields_mode=mode, ext_order="seq")
+    assert column in en.enrich(projects, ext, spec).columns
+    assert en.enrich(projects, None, SyncSpec(name="p", id_columns="pid", init_sql="x")) is projects
+
+
+def test_batch_rows(projects, ext):
+    assert sorted(r.v for r in en.batch_rows(ext, projects.limit(1), "pid").collect()) == [
+        "value 11", "value 12"]
+
+
+def test_hot_parent_in_a_skewed_extension(spark, projects):
+    """One parent has most rows, many of them repeats of one key."""
+    ext = spark.range(5000).select(
+        F.lit(1).alias("p"), F.concat(F.lit("K"), F.col("id") % 3).alias("k"),
+        F.col("id").cast("string").alias("v"), F.col("id").alias("seq")).repartition(4)
+    out = en.flatten(projects, ext, "pid", ("k0", "k1", "k2"), ("seq",)).where("doc_id = '1'")
+    assert tuple(out.first())[3:] == ("4998", "4999", "4997")
+
+
+# -- documents -----------------------------------------------------------------------------------
+
+MAPPING = parse_mapping("""{"properties": {"pid": {"type": "text"}, "absent": {"type": "text"},
+    "user_ids": {"type": "text", "analyzer": "comma_analyzer"},
+    "at": {"type": "date", "format": "strict_date_time"}}}""")
+
+
+def test_mapping(spark):
+    df = spark.sql("SELECT '1' AS doc_id, 1 AS pid, ',2,,3' AS user_ids, 'n' AS name, "
+                   "TIMESTAMP_NTZ '2024-03-01 13:05:06.789123' AS at")
+    out = apply_mapping(df, MAPPING)
+    assert tuple(out.first()) == ("1", "1", ["2", "3"], "n", "2024-03-01T13:05:06.789Z")
+    assert apply_mapping(df, MAPPING, tokenize=False).first().user_ids == ",2,,3"
+    text = apply_mapping(df.withColumn("at", F.lit("as it is")), MAPPING)
+    assert text.first()["at"] == "as it is"
+    for bad in ({"pid": {"type": "nested"}}, {"at": {"type": "date", "format": "epoch"}}):
+        with pytest.raises(ValueError):
+            apply_mapping(df, bad)
+
+
+def test_ndjson(spark):
+    df = spark.sql("SELECT 'a\"b' AS doc_id, 1 AS n, CAST(null AS STRING) AS t")
+    action, body = to_ndjson(df, "ix").first().value.split("\n")
+    assert json.loads(action) == {"create": {"_index": "ix", "_id": 'a"b'}}
+    assert json.loads(body) == {"n": 1, "t": None}
+    assert json.loads(to_ndjson(df, "ix", True).first().value.split("\n")[1]) == {"n": 1}
+
+
+@pytest.mark.parametrize("ignore", [True, False])
+def test_ndjson_merges_open_custom_fields(spark, ignore):
+    df = spark.sql("SELECT '1' AS doc_id, 1 AS n, 's' AS t, map('t', 'custom', 'é', '\"') AS custom "
+                   "UNION ALL SELECT '2', null, 's', null")
+    bodies = [r.value.split("\n")[1] for r in to_ndjson(df, "ix", ignore).collect()]
+    assert bodies[0].count('"t"') == 1
+    assert json.loads(bodies[0]) == {"n": 1, "t": "custom", "é": '"'}
+    assert json.loads(bodies[1]) == ({"t": "s"} if ignore else {"n": None, "t": "s"})
+
+
+def test_export_bulk(spark, tmp_path):
+    df = spark.range(25).select(F.col("id").cast("string").alias("doc_id"), "id").coalesce(1)
+    export_bulk(df, "ix", str(tmp_path / "bulk"), bulk_size=10)
+    files = list((tmp_path / "bulk").glob("part-*"))
+    assert sorted(len(f.read_text().splitlines()) for f in files) == [10, 20, 20]
+
+
+# -- relational patterns -------------------------------------------------------------------------
+
+@pytest.fixture
+def teams(spark):
+    parents = spark.sql("""SELECT pid, CAST(c AS TIMESTAMP) AS create_date,
+        CAST(m AS TIMESTAMP) AS mod_date FROM VALUES
+        (1, '2023-01-01', '2024-01-01 12:00:00'), (2, '2023-01-01', null),
+        (3, '2023-01-01', null), (4, '2024-01-01 12:00:00', null) AS t(pid, c, m)""")
+    objects = spark.createDataFrame(
+        [(1, 10, 1000000), (2, 20, 1000000), (3, 30, 1000001), (4, 40, 1000000)],
+        "object_id int, team_id int, class_id int")
+    members = spark.sql("""SELECT team_id, user_id, current_record, CAST(m AS TIMESTAMP) AS mod_date,
+        CAST(null AS TIMESTAMP) AS create_date FROM VALUES
+        (10, 2, 1, '2023-01-01'), (10, 11, 1, '2023-01-01'), (10, 2, 1, '2023-01-01'),
+        (10, 5, 0, '2023-01-01'), (20, 7, 1, '2024-01-01 01:00:00'),
+        (20, 8, 1, '2024-01-01 02:00:00'), (20, 9, 0, '2024-01-01 03:00:00'),
+        (30, 1, 1, '2024-01-01 01:00:00') AS t(team_id, user_id, current_record, m)""")
+    return parents, members, objects
+
+
+def test_member_lists(teams):
+    _, members, objects = teams
+    assert rows(rel.member_lists(members, objects)) == [(1, "2,2,11"), (2, "7,8")]
+
+
+def test_changed_parents(teams):
+    parents, members, objects = teams
+    changed = rel.changed_parents(parents, "pid", members, objects, LO, HI)
+    assert rows(changed) == [(1,), (2,), (4,)]
+    assert rows(rel.lists_for(changed, "pid", members, objects)) == [(1, "2,2,11"), (2, "7,8")]
+
+
+def test_repeated_lists(teams):
+    _, members, objects = teams
+    assert rows(rel.repeated_lists(members, objects, LO, HI)) == [(2, "7,7,7,8,8,8")]
+
+
+def test_no_python_in_the_plans(spark, projects, ext, plan):
+    for df in (en.custom_in_one(projects, ext, "pid", ("seq",)),
+               en.flatten(projects, ext, "pid", ("a",), ("seq",)), to_ndjson(projects, "x"),
+               ids.first_per_id(projects)):
+        assert "Python" not in plan(df) and "InPandas" not in plan(df)
+
+
+def test_writes_column_is_not_a_document_field(spark):
+    df = spark.createDataFrame([("1", 1, 2)], f"{DOC_ID} string, n int, {WRITES} long")
+    assert json.loads(to_ndjson(df, "x").first().value.split("\n")[1]) == {"n": 1}
