@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,31 +12,37 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 
 
-def _listagg(text: str, separator: str, order: str) -> Column:
-    quoted = separator.replace("\\", "\\\\").replace("'", "\\'")
-    return F.expr(f"listagg(`{text}`, '{quoted}') WITHIN GROUP (ORDER BY `{order}`)")
+def _concat(rows: DataFrame, keys, text: Callable[[Column], Column], separator: str,
+            name: str) -> DataFrame:
+    """Only the items travel and are sorted; their text is written afterwards."""
+    sorted_items = F.sort_array(F.collect_list("_item")).alias("_items")
+    texts = F.array_join(F.transform("_items", text), separator)
+    return (rows.groupBy(*keys).agg(sorted_items)
+            .select(*keys, F.when(F.size("_items") > 0, texts).alias(name)))
 
 
-def ordered_concat(rows: DataFrame, key: str, text: Column, order: Column, separator: str = "",
-                   name: str = "text", hot_rows: int | None = None) -> DataFrame:
-    """One row per key: its texts joined in the given (total) order; null texts are skipped.
+def ordered_concat(rows: DataFrame, key: str, item: Column, text: Callable[[Column], Column],
+                   separator: str = "", name: str = "text",
+                   hot_rows: int | None = None) -> DataFrame:
+    """One row per key: ``text`` of its items, joined in the order of the items.
 
     A list aggregate does not shrink under map-side combining, so a hot key would be sorted by one
-    task.  Keys above ``hot_rows`` are therefore range-partitioned by (key, order): the ranges cut
+    task.  Keys above ``hot_rows`` are therefore range-partitioned by (key, item): the ranges cut
     a hot key into consecutive pieces, each piece is joined where it lies, and only the finished
     pieces meet.  The hot keys are found by a count over the key column alone.  When there is
     none, adaptive execution drops that whole branch and the anti join.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    rows = rows.select(F.col(key), text.alias("_text"), order.alias("_order"))
+    rows = rows.select(F.col(key), item.alias("_item"))
     hot = (rows.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > limit).select("_hot"))
     hot = F.broadcast(hot)  # bounded, see HOT_ROWS
     is_hot = F.col(key).eqNullSafe(F.col("_hot"))
-    plain = (rows.join(hot, is_hot, "left_anti")
-             .groupBy(key).agg(_listagg("_text", separator, "_order").alias(name)))
-    pieces = (rows.join(hot, is_hot, "left_semi")
-              .repartitionByRange(key, "_order").withColumn("_piece", F.spark_partition_id())
-              .groupBy(key, "_piece").agg(_listagg("_text", separator, "_order").alias("_text")))
-    joined = pieces.groupBy(key).agg(_listagg("_text", separator, "_piece").alias(name))
+    plain = _concat(rows.join(hot, is_hot, "left_anti"), (key,), text, separator, name)
+    cut = (rows.join(hot, is_hot, "left_semi").repartitionByRange(key, "_item")
+           .withColumn("_piece", F.spark_partition_id()))
+    pieces = (_concat(cut, (key, "_piece"), text, separator, "_text")
+              .where(F.col("_text").isNotNull())
+              .select(key, F.struct("_piece", "_text").alias("_item")))
+    joined = _concat(pieces, (key,), lambda piece: piece["_text"], separator, name)
     return plain.unionByName(joined)

@@ -13,36 +13,36 @@ from docsync.spec import SyncSpec
 CUSTOM_FIELDS = "custom_fields"
 ALL_FIELDS = "all_fields"
 CUSTOM_MAP = "custom"
+# Up to this many declared keys are picked in one aggregate; more go through the map, which costs
+# a second shuffle but keeps the rows narrow.
+WIDE_KEYS = 64
 
 
 def eav(ext: DataFrame, order=()) -> DataFrame:
-    """(parent_id, key, value, seq) from the first three columns of the extension rows, by position.
+    """(parent_id, item) from the first three columns of the extension rows, by position.
 
-    Ids become text, keys lower case.  ``seq`` is the order the rows count in: the given columns,
-    then key and value, so it is total up to equal rows.
+    Ids become text, keys lower case.  ``item`` holds key and value after the columns the rows are
+    ordered by, so comparing items is a total order up to equal rows.
     """
     ext = ext.toDF(*[c.lower() for c in ext.columns])
     parent, key, value = ext.columns[:3]
-    key_text = F.lower(F.col(f"`{key}`"))
-    value_text = column_text(ext, value)
-    return ext.select(
-        column_text(ext, parent).alias("parent_id"), key_text.alias("key"),
-        value_text.alias("value"),
-        F.struct(*[F.col(f"`{c}`") for c in order], key_text.alias("_k"),
-                 value_text.alias("_v")).alias("seq")).where(
-                     F.col("parent_id").isNotNull() & F.col("key").isNotNull())
+    by = [F.col(f"`{c}`").alias(f"by{i}") for i, c in enumerate(order)]
+    item = F.struct(*by, F.lower(F.col(f"`{key}`")).alias("key"),
+                    column_text(ext, value).alias("value"))
+    return ext.where(F.col(f"`{parent}`").isNotNull() & F.col(f"`{key}`").isNotNull()).select(
+        column_text(ext, parent).alias("parent_id"), item.alias("item"))
 
 
 def batch_rows(ext: DataFrame, docs: DataFrame, extension_column: str) -> DataFrame:
     """The extension rows of the documents of a batch (a semi join)."""
     ext = ext.toDF(*[c.lower() for c in ext.columns])
-    ids = extension_ids(docs, extension_column)
-    return ext.join(ids, column_text(ext, ext.columns[0]) == ids["extension_id"], "left_semi")
+    ids = docs.select(column_text(docs, extension_column).alias("_id"))
+    return ext.join(ids, column_text(ext, ext.columns[0]) == ids["_id"], "left_semi")
 
 
 def extension_ids(docs: DataFrame, extension_column: str) -> DataFrame:
-    key = column_text(docs, extension_column)
-    return docs.where(key.isNotNull()).select(key.alias("extension_id"))
+    """The ids to look up, as they are typed in the documents."""
+    return docs.select(extension_column).where(F.col(extension_column).isNotNull())
 
 
 def _attach(docs: DataFrame, grouped: DataFrame, extension_column: str) -> DataFrame:
@@ -52,33 +52,38 @@ def _attach(docs: DataFrame, grouped: DataFrame, extension_column: str) -> DataF
     return joined.drop("_parent_id")
 
 
+def _latest(rows: DataFrame) -> DataFrame:
+    """(parent_id, custom): the last value of every key, repeats dropped before the shuffle."""
+    last = rows.groupBy("parent_id", "item.key").agg(F.max("item").alias("item"))
+    entries = F.collect_list(F.struct("item.key", "item.value"))
+    return last.groupBy("parent_id").agg(F.map_from_entries(entries).alias(CUSTOM_MAP))
+
+
 def flatten(docs: DataFrame, ext: DataFrame, extension_column: str, keys=None, order=(),
             id_columns=()) -> DataFrame:
     """Custom fields as fields of their own; the last row of a repeated key counts.
 
-    With ``keys`` declared each becomes a column, in one aggregation per parent.  Without, all
-    keys go to one map column ``custom`` (their number has no limit, so they are not columns).
-    A custom field replaces an ordinary field of the same name; an id column is never replaced.
+    With ``keys`` declared each becomes a column.  Without, all keys go to one map column
+    ``custom`` (their number has no limit, so they are not columns).  A custom field replaces an ordinary field of the same name; an id column is never replaced.
     """
     protected = {DOC_ID, WRITES, *id_columns}
     rows = eav(ext, order)
     if keys is None:
-        latest = (rows.where(~F.col("key").isin(*protected)).groupBy("parent_id", "key")
-                  .agg(F.max_by("value", "seq").alias("value")))
-        grouped = latest.groupBy("parent_id").agg(
-            F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias(CUSTOM_MAP))
-        return _attach(docs, grouped, extension_column)
+        latest = _latest(rows.where(~F.col("item.key").isin(*protected)))
+        return _attach(docs, latest, extension_column)
     keys = [k for k in keys if k not in protected]
-    rows = rows.where(F.col("key").isin(*keys))
-    # A struct around the value tells a null value from a missing key
-    picks = []
-    for i, k in enumerate(keys):
-        is_key = F.col("key") == k
-        picks.append(F.max_by(F.when(is_key, F.struct("value")),
-                              F.when(is_key, F.col("seq"))).alias(f"_c{i}"))
-    joined = _attach(docs, rows.groupBy("parent_id").agg(*picks), extension_column)
-    custom = {k: F.col(f"_c{i}.value") for i, k in enumerate(keys)}
-    present = {k: F.col(f"_c{i}").isNotNull() for i, k in enumerate(keys)}
+    rows = rows.where(F.col("item.key").isin(*keys))
+    if len(keys) > WIDE_KEYS:
+        grouped = _latest(rows)
+        custom = {k: F.try_element_at(CUSTOM_MAP, F.lit(k)) for k in keys}
+        present = {k: F.map_contains_key(CUSTOM_MAP, k) for k in keys}
+    else:
+        grouped = rows.groupBy("parent_id").agg(*[
+            F.max(F.when(F.col("item.key") == k, F.col("item"))).alias(f"_c{i}")
+            for i, k in enumerate(keys)])
+        custom = {k: F.col(f"_c{i}.value") for i, k in enumerate(keys)}
+        present = {k: F.col(f"_c{i}").isNotNull() for i, k in enumerate(keys)}
+    joined = _attach(docs, grouped, extension_column)
     out = []
     for c in docs.columns:
         own = F.col(f"`{c}`")
@@ -92,7 +97,8 @@ def flatten(docs: DataFrame, ext: DataFrame, extension_column: str, keys=None, o
 def protected_keys(docs: DataFrame, ext: DataFrame, extension_column: str,
                    id_columns) -> DataFrame:
     """(key, n): how many documents have a custom field named like an id column (it is ignored)."""
-    hits = (eav(ext).where(F.col("key").isin(*id_columns)).select("parent_id", "key").distinct())
+    hits = (eav(ext).select("parent_id", "item.key").where(F.col("key").isin(*id_columns))
+            .distinct())
     key = column_text(docs, extension_column)
     return (docs.join(hits, key == hits["parent_id"], "inner")
             .groupBy("key").agg(F.count(F.lit(1)).alias("n")))
@@ -104,8 +110,9 @@ def custom_in_one(docs: DataFrame, ext: DataFrame, extension_column: str, order=
 
     ``repeat`` writes every pair that many times.  Documents without rows get null.
     """
-    pair = F.repeat(pair_text(F.col("key"), F.col("value")), repeat)
-    grouped = ordered_concat(eav(ext, order), "parent_id", pair, F.col("seq"), name=CUSTOM_FIELDS)
+    grouped = ordered_concat(
+        eav(ext, order), "parent_id", F.col("item"),
+        lambda item: F.repeat(pair_text(item["key"], item["value"]), repeat), name=CUSTOM_FIELDS)
     return _attach(docs, grouped, extension_column)
 
 

@@ -30,7 +30,7 @@ def member_lists(members: DataFrame, team_objects: DataFrame,
     """
     joined = current_members(members).select("team_id", "user_id").join(
         project_teams(team_objects, class_id), "team_id")
-    return ordered_concat(joined, "object_id", F.col("user_id").cast("string"), F.col("user_id"),
+    return ordered_concat(joined, "object_id", F.col("user_id"), lambda user: user.cast("string"),
                           ",", "user_ids")
 
 
@@ -76,9 +76,11 @@ def repeated_lists(members: DataFrame, team_objects: DataFrame, lo, hi,
     teams = changed_members(members, lo, hi, *member_times)
     joined = (current_members(members).select("team_id", "user_id")
               .join(project_teams(team_objects, class_id), "team_id").join(teams, "team_id"))
-    user = F.col("user_id").cast("string")
-    text = F.array_join(F.array_repeat(user, F.col("changes").cast("int")), ",")
-    return ordered_concat(joined, "object_id", text, F.col("user_id"), ",", "user_ids")
+    return ordered_concat(
+        joined, "object_id", F.struct("user_id", F.col("changes").cast("int").alias("changes")),
+        lambda item: F.array_join(
+            F.array_repeat(item["user_id"].cast("string"), item["changes"]), ","),
+        ",", "user_ids")
 
 
 def typed_value(rows: DataFrame, string: str = "string_value", date: str = "date_value",

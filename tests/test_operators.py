@@ -29,7 +29,7 @@ def test_ordered_concat_with_hot_keys(spark, hot_rows):
             for i in range(3000)]
     rng.shuffle(data)
     df = spark.createDataFrame(data, "k int, n int, t string").repartition(5)
-    got = ordered_concat(df, "k", F.col("t"), F.col("n"), ",", "x", hot_rows)
+    got = ordered_concat(df, "k", F.struct("n", "t"), lambda i: i["t"], ",", "x", hot_rows)
     expected = {}
     for k, n, t in sorted(data, key=lambda d: d[1]):
         expected.setdefault(k, []).append(t)
@@ -41,20 +41,23 @@ def test_hot_key_is_cut_into_pieces(spark):
     cut = (df.repartitionByRange(4, "k", "id").groupBy(F.spark_partition_id().alias("p")).count()
            .collect())
     assert len(cut) > 1  # the ranges cut inside the key
-    got = ordered_concat(df, "k", F.col("id").cast("string"), F.col("id"), " ", "x", 100).first()
+    got = ordered_concat(df, "k", F.col("id"), lambda i: i.cast("string"), " ", "x", 100).first()
     assert got.x == " ".join(map(str, range(4000)))
 
 
 def test_without_hot_keys_the_branch_disappears(spark, plan):
     df = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
-    text = plan(ordered_concat(df, "k", F.col("id").cast("string"), F.col("id")))
+    text = plan(ordered_concat(df, "k", F.col("id"), lambda i: i.cast("string")))
     final = text.split("Initial Plan")[0]
     assert "rangepartitioning" not in final and "LeftAnti" not in final
 
 
-def test_separator_is_quoted(spark):
-    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "k int, n int, t string")
-    assert ordered_concat(df, "k", F.col("t"), F.col("n"), "'\\").first().text == "a'\\b"
+def test_null_items_are_skipped(spark):
+    df = spark.createDataFrame([(1, None), (1, 2), (1, 1), (2, None)], "k int, n int")
+    for hot_rows in (None, 0):
+        got = ordered_concat(df, "k", F.col("n"), lambda i: i.cast("string"), ",", "x", hot_rows)
+        assert {r.k: r.x for r in got.collect()}[1] == "1,2"
+        assert {r.k: r.x for r in got.collect()}.get(2) is None
 
 
 # -- ids and outcomes ----------------------------------------------------------------------------
@@ -131,6 +134,13 @@ def test_flatten_declared(projects, ext):
                          ("3", 3, "p3", None, None, None), ("4", None, "p4", None, None, None)]
 
 
+def test_many_declared_keys_give_the_same(projects, ext, monkeypatch):
+    args = (projects, ext, "pid", ("label_11", "a", "k", "name"), ("seq",), ("pid",))
+    narrow = rows(en.flatten(*args))
+    monkeypatch.setattr(en, "WIDE_KEYS", 1)
+    assert rows(en.flatten(*args)) == narrow
+
+
 def test_flatten_open(projects, ext):
     out = en.flatten(projects, ext, "pid", None, ("seq",), ("pid",))
     assert {r.doc_id: r.custom for r in out.collect()} == {

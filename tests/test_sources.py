@@ -104,7 +104,7 @@ def test_extension_ids_become_a_semi_join(spark, projects):
               ).createOrReplaceTempView("src_ext")
     spec = SyncSpec(name="p", id_columns="id", init_sql="x", extension_column="ID",
                     ext_sql="SELECT pid, k, v FROM src_ext WHERE pid IN (?)")
-    ids = spark.createDataFrame([("1",)], "extension_id string")
+    ids = spark.createDataFrame([(1,)], "pid long")
     got = extension_rows(spark, spec, ids)
     assert sorted(r.k for r in got.collect()) == ["A", "C"]
     assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
