@@ -13,6 +13,8 @@ from docsync.spec import SyncSpec
 CUSTOM_FIELDS = "custom_fields"
 ALL_FIELDS = "all_fields"
 CUSTOM_MAP = "custom"
+# Ids written into the filter of an extension scan.
+PUSH_IDS = 1000
 # Up to this many declared keys are picked in one aggregate; more go through the map, which costs
 # a second shuffle but keeps the rows narrow.
 WIDE_KEYS = 64
@@ -34,10 +36,19 @@ def eav(ext: DataFrame, order=()) -> DataFrame:
 
 
 def batch_rows(ext: DataFrame, docs: DataFrame, extension_column: str) -> DataFrame:
-    """The extension rows of the documents of a batch (a semi join)."""
+    """The extension rows of the documents of a batch.
+
+    The ids of a small batch become an IN list that the extension's own scan evaluates (a database
+    then looks them up in its index); above PUSH_IDS the rows are found by a semi join.
+    """
     ext = ext.toDF(*[c.lower() for c in ext.columns])
-    ids = docs.select(column_text(docs, extension_column).alias("_id"))
-    return ext.join(ids, column_text(ext, ext.columns[0]) == ids["_id"], "left_semi")
+    parent = ext.schema.fields[0]
+    ids = docs.select(column_text(docs, extension_column).alias("_id")).where("_id IS NOT NULL")
+    few = [r["_id"] for r in ids.distinct().limit(PUSH_IDS + 1).collect()]
+    if len(few) <= PUSH_IDS:
+        typed = [F.lit(i).try_cast(parent.dataType) for i in few]
+        return ext.where(F.col(f"`{parent.name}`").isin(typed))
+    return ext.join(ids, column_text(ext, parent.name) == ids["_id"], "left_semi")
 
 
 def extension_ids(docs: DataFrame, extension_column: str) -> DataFrame:

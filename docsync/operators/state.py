@@ -45,7 +45,8 @@ class RefreshState:
     def all(self) -> DataFrame:
         if not storage.exists(self.spark, self.path):
             return self.spark.createDataFrame([], _SCHEMA)
-        return self.spark.read.schema(_SCHEMA).json(self.path)
+        return (self.spark.read.schema(_SCHEMA).option("pathGlobFilter", "*.json")
+                .json(self.path))
 
 
 def latest_state(log: DataFrame, saved_at: str = "saved_at") -> DataFrame:

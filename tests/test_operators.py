@@ -191,9 +191,22 @@ def test_modes(projects, ext, mode, column):
     assert en.enrich(projects, None, SyncSpec(name="p", id_columns="pid", init_sql="x")) is projects
 
 
-def test_batch_rows(projects, ext):
-    assert sorted(r.v for r in en.batch_rows(ext, projects.limit(1), "pid").collect()) == [
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_batch_rows(spark, projects, ext, monkeypatch, limit):
+    monkeypatch.setattr(en, "PUSH_IDS", limit)
+    one = projects.where("doc_id IN ('1', '4')")
+    assert sorted(r.v for r in en.batch_rows(ext, one, "pid").collect()) == [
         "value 11", "value 12"]
+    text = spark.createDataFrame([("1",), ("x",)], "pid string")
+    assert en.batch_rows(ext, text, "pid").count() == 2
+    assert en.batch_rows(ext, projects.where("pid > 99"), "pid").count() == 0
+
+
+def test_few_ids_reach_the_scan(spark, projects, ext, tmp_path, plan):
+    ext.write.parquet(str(tmp_path / "ext"))
+    stored = spark.read.parquet(str(tmp_path / "ext"))
+    text = plan(en.batch_rows(stored, projects, "pid"))
+    assert "In(PARENT, [1,2,3])" in text and "Join" not in text
 
 
 def test_hot_parent_in_a_skewed_extension(spark, projects):

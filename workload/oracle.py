@@ -147,6 +147,10 @@ SELECT '{"create":{"_index":"conversations","_id":"' || conv_id || '-' || turn |
   || CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}) AS VARCHAR)
   AS value
 FROM conversations""",
+    "q16_bulk_export": """
+SELECT unnest(['{"create":{"_index":"documents","_id":"' || doc_id || '"}}',
+  CAST(to_json({'lang': lang, 'n_chars': n_chars, 'text': text}) AS VARCHAR)]) AS value
+FROM documents""",
     "q17_recreate_target": "SELECT CAST(c_custkey AS VARCHAR) AS doc_id, c_name, c_nationkey, "
                            "c_mktsegment FROM customer",
     "q18_latest_state": f"""
@@ -175,6 +179,9 @@ WHERE doc_id NOT IN (SELECT doc_id FROM documents)""",
     "q24_counts": """
 SELECT CAST(s AS BIGINT) AS source_rows, CAST(t AS BIGINT) AS target_rows, s = t AS matches
 FROM (SELECT (SELECT count(*) FROM documents) AS s, (SELECT count(*) FROM labels) AS t)""",
+    "q24_table_counts": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS total FROM {t}"
+        for t in ("customer", "orders", "lineitem", "events")),
     "q24_repair": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, n_chars, text "
                   "FROM documents",
     "q25_delete": "SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, o_custkey, o_orderstatus "

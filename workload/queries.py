@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from docsync.operators import ids as doc_ids
 from docsync.operators import reconcile as rec
 from docsync.operators import relational as rel
 from docsync.operators import target as targets
-from docsync.operators.document import apply_mapping, to_ndjson
+from docsync.operators.document import apply_mapping, export_bulk, to_ndjson
 from docsync.operators.ids import DOC_ID, with_doc_id
 from docsync.operators.state import latest_state
 from docsync.plans import Home, delete_once, fix, init, repair_missing, report_frame, run_all, sync_once
@@ -105,6 +106,15 @@ def q15_mapping(spark, sf):
                        F.explode("user_ids").alias("token"))
 
 
+def q16_bulk_export(spark, sf):
+    """Bulk files of at most 12000 documents, read back line by line."""
+    path = storage.new_folder(spark, "q16")
+    docs = with_doc_id(table(spark, sf, "documents"), ("doc_id",))
+    docs = docs.select(DOC_ID, F.col("lang"), F.col("n_chars"), F.col("text"))
+    export_bulk(docs, "documents", path)
+    return spark.read.text(path)
+
+
 def q16_bulk_payload(spark, sf):
     docs = with_doc_id(table(spark, sf, "conversations"), ("conv_id", "turn"))
     return to_ndjson(docs, "conversations")
@@ -309,6 +319,13 @@ def q24_reconcile(spark, sf):
     return gone.unionByName(extra)
 
 
+def q24_table_counts(spark, sf):
+    """Total rows of source tables."""
+    counts = [rec.count_rows(table(spark, sf, t)).select(F.lit(t).alias("table_name"), "total")
+              for t in ("customer", "orders", "lineitem", "events")]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def q24_counts(spark, sf):
     docs, labels = _document_and_label_ids(spark, sf)
     return rec.compare_counts(docs, labels)
@@ -367,7 +384,7 @@ QUERIES = {f.__name__: f for f in (
     q05_outcomes, q05_refused_rows, q06_ext_flatten, q06_ext_flatten_open, q07_ext_custom_in_one,
     q08_ext_custom_in_one_repeat, q09_ext_typed_values, q10_ext_batch_scan, q11_member_list,
     q12_full_document, q13_changed_union, q14_changed_union_fanout, q15_mapping,
-    q16_bulk_payload, q17_recreate_target, q18_latest_state, q19_init_then_sync, q20_fix_by_key,
+    q16_bulk_payload, q16_bulk_export, q17_recreate_target, q18_latest_state, q19_init_then_sync, q20_fix_by_key,
     q20_fix_many_keys, q21_run_report, q22_stream_ticks, q23_stream_feed, q24_reconcile,
-    q24_counts, q24_repair, q25_delete, q26_all_in_one, q27_upsert, q28_pushed_window,
+    q24_counts, q24_table_counts, q24_repair, q25_delete, q26_all_in_one, q27_upsert, q28_pushed_window,
     q29_protected_ids, q30_follow_members)}
