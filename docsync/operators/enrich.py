@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsync.functions.text import column_text, pair_text
+from docsync.functions.text import column_text, join_keys, pair_text
 from docsync.operators.concat import ordered_concat
 from docsync.operators.ids import DOC_ID, WRITES
 from docsync.spec import SyncSpec
@@ -20,19 +20,25 @@ PUSH_IDS = 1000
 WIDE_KEYS = 64
 
 
-def eav(ext: DataFrame, order=()) -> DataFrame:
-    """(parent_id, item) from the first three columns of the extension rows, by position.
+def _lower(ext: DataFrame) -> DataFrame:
+    return ext.toDF(*[c.lower() for c in ext.columns])
 
-    Ids become text, keys lower case.  ``item`` holds key and value after the columns the rows are
-    ordered by, so comparing items is a total order up to equal rows.
+
+def eav(docs: DataFrame, extension_column: str, ext: DataFrame, order=()):
+    """The key column of the documents, and (parent_id, item) of the extension rows.
+
+    The first three columns of the rows are parent id, key and value, by position; keys become
+    lower case, values text.  ``item`` holds key and value after the columns the rows are ordered
+    by, so comparing items is a total order up to equal rows.
     """
-    ext = ext.toDF(*[c.lower() for c in ext.columns])
+    ext = _lower(ext)
     parent, key, value = ext.columns[:3]
+    doc_key, ext_key = join_keys(docs, extension_column, ext, parent)
     by = [F.col(f"`{c}`").alias(f"by{i}") for i, c in enumerate(order)]
     item = F.struct(*by, F.lower(F.col(f"`{key}`")).alias("key"),
                     column_text(ext, value).alias("value"))
-    return ext.where(F.col(f"`{parent}`").isNotNull() & F.col(f"`{key}`").isNotNull()).select(
-        column_text(ext, parent).alias("parent_id"), item.alias("item"))
+    rows = ext.where(F.col(f"`{parent}`").isNotNull() & F.col(f"`{key}`").isNotNull())
+    return doc_key, rows.select(ext_key.alias("parent_id"), item.alias("item"))
 
 
 def batch_rows(ext: DataFrame, docs: DataFrame, extension_column: str) -> DataFrame:
@@ -41,7 +47,7 @@ def batch_rows(ext: DataFrame, docs: DataFrame, extension_column: str) -> DataFr
     The ids of a small batch become an IN list that the extension's own scan evaluates (a database
     then looks them up in its index); above PUSH_IDS the rows are found by a semi join.
     """
-    ext = ext.toDF(*[c.lower() for c in ext.columns])
+    ext = _lower(ext)
     parent = ext.schema.fields[0]
     ids = docs.select(column_text(docs, extension_column).alias("_id")).where("_id IS NOT NULL")
     few = [r["_id"] for r in ids.distinct().limit(PUSH_IDS + 1).collect()]
@@ -56,11 +62,10 @@ def extension_ids(docs: DataFrame, extension_column: str) -> DataFrame:
     return docs.select(extension_column).where(F.col(extension_column).isNotNull())
 
 
-def _attach(docs: DataFrame, grouped: DataFrame, extension_column: str) -> DataFrame:
-    """Left join on the id as text: every document stays, null ids match nothing."""
+def _attach(docs: DataFrame, key: Column, grouped: DataFrame) -> DataFrame:
+    """Left join: every document stays, null ids match nothing."""
     grouped = grouped.withColumnRenamed("parent_id", "_parent_id")
-    joined = docs.join(grouped, column_text(docs, extension_column) == F.col("_parent_id"), "left")
-    return joined.drop("_parent_id")
+    return docs.join(grouped, key == F.col("_parent_id"), "left").drop("_parent_id")
 
 
 def _latest(rows: DataFrame) -> DataFrame:
@@ -78,10 +83,9 @@ def flatten(docs: DataFrame, ext: DataFrame, extension_column: str, keys=None, o
     ``custom`` (their number has no limit, so they are not columns).  A custom field replaces an ordinary field of the same name; an id column is never replaced.
     """
     protected = {DOC_ID, WRITES, *id_columns}
-    rows = eav(ext, order)
+    doc_key, rows = eav(docs, extension_column, ext, order)
     if keys is None:
-        latest = _latest(rows.where(~F.col("item.key").isin(*protected)))
-        return _attach(docs, latest, extension_column)
+        return _attach(docs, doc_key, _latest(rows.where(~F.col("item.key").isin(*protected))))
     keys = [k for k in keys if k not in protected]
     rows = rows.where(F.col("item.key").isin(*keys))
     if len(keys) > WIDE_KEYS:
@@ -94,7 +98,7 @@ def flatten(docs: DataFrame, ext: DataFrame, extension_column: str, keys=None, o
             for i, k in enumerate(keys)])
         custom = {k: F.col(f"_c{i}.value") for i, k in enumerate(keys)}
         present = {k: F.col(f"_c{i}").isNotNull() for i, k in enumerate(keys)}
-    joined = _attach(docs, grouped, extension_column)
+    joined = _attach(docs, doc_key, grouped)
     out = []
     for c in docs.columns:
         own = F.col(f"`{c}`")
@@ -108,10 +112,9 @@ def flatten(docs: DataFrame, ext: DataFrame, extension_column: str, keys=None, o
 def protected_keys(docs: DataFrame, ext: DataFrame, extension_column: str,
                    id_columns) -> DataFrame:
     """(key, n): how many documents have a custom field named like an id column (it is ignored)."""
-    hits = (eav(ext).select("parent_id", "item.key").where(F.col("key").isin(*id_columns))
-            .distinct())
-    key = column_text(docs, extension_column)
-    return (docs.join(hits, key == hits["parent_id"], "inner")
+    doc_key, rows = eav(docs, extension_column, ext)
+    hits = (rows.select("parent_id", "item.key").where(F.col("key").isin(*id_columns)).distinct())
+    return (docs.join(hits, doc_key == hits["parent_id"], "inner")
             .groupBy("key").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -121,10 +124,11 @@ def custom_in_one(docs: DataFrame, ext: DataFrame, extension_column: str, order=
 
     ``repeat`` writes every pair that many times.  Documents without rows get null.
     """
+    doc_key, rows = eav(docs, extension_column, ext, order)
     grouped = ordered_concat(
-        eav(ext, order), "parent_id", F.col("item"),
+        rows, "parent_id", F.col("item"),
         lambda item: F.repeat(pair_text(item["key"], item["value"]), repeat), name=CUSTOM_FIELDS)
-    return _attach(docs, grouped, extension_column)
+    return _attach(docs, doc_key, grouped)
 
 
 def all_in_one(docs: DataFrame) -> DataFrame:

@@ -30,13 +30,20 @@ class Counts:
 class Target(Snapshot):
     """One document set, unique by ``doc_id``."""
 
-    def __init__(self, spark: SparkSession, root: str, name: str):
+    def __init__(self, spark: SparkSession, root: str, name: str, sorted_ids: bool = False):
         super().__init__(spark, f"{root.rstrip('/')}/{name}")
         self.name = name
+        self.sorted_ids = sorted_ids
 
     def ids(self) -> DataFrame:
         return self.read().select(DOC_ID)
 
+    def laid_out(self, docs: DataFrame) -> DataFrame:
+        """Rows in the order they are stored in; sorted files let scans skip by id range."""
+        if not self.sorted_ids:
+            return docs
+        return docs.repartitionByRange(DOC_ID).sortWithinPartitions(DOC_ID)
+
 
 def _as_is(docs: DataFrame, batch: DataFrame | None = None) -> DataFrame:
     return docs
@@ -50,15 +57,19 @@ def recreate(target: Target, batch: DataFrame, finish=_as_is, order=(),
     staged batch they come from, None here.  The refused rows are counted by an observation in
     the last stage, whose tasks count once each even if they are repeated.
     """
-    docs = finish(first_per_id(batch, order, unique), None)
     has_id = F.col(DOC_ID).isNotNull()
+    left_out = 0
+    if unique and target.sorted_ids:  # rows without id would all sort into one task
+        left_out = batch.where(~has_id).count()
+        batch = batch.where(has_id)
+    docs = target.laid_out(finish(first_per_id(batch, order, unique), None))
     seen = Observation()
     docs = docs.observe(
         seen, F.coalesce(F.sum(F.when(has_id, F.col(WRITES))), F.lit(0)).alias("writes"),
         F.coalesce(F.sum(F.when(~has_id, F.col(WRITES))), F.lit(0)).alias("rejected"))
     created = target.replace(docs.where(has_id).drop(WRITES))
     totals = seen.get
-    return Counts(created, totals["writes"] - created, totals["rejected"])
+    return Counts(created, totals["writes"] - created, totals["rejected"] + left_out)
 
 
 @dataclass(frozen=True)
@@ -108,7 +119,8 @@ def create_if_absent(target: Target, batch: DataFrame, finish=_as_is, order=(),
         small = _if_small(known.select(DOC_ID), size)
         if small is not None:
             existing = existing.join(small, DOC_ID, "left_semi")
-        created = target.append(finish(absent(known, existing), known).drop(WRITES))
+        fresh = finish(absent(known, existing), known).drop(WRITES)
+        created = target.append(target.laid_out(fresh))
     return Counts(created, size.writes - created, size.rejected)
 
 
@@ -127,11 +139,12 @@ def upsert(target: Target, batch: DataFrame, finish=_as_is, order=(),
         known = rows.where(F.col(DOC_ID).isNotNull())
         docs = finish(known, known).drop(WRITES)
         if not target.exists():
-            created = target.replace(docs)
+            created = target.replace(target.laid_out(docs))
             return Counts(created, size.writes - size.ids, size.rejected)
         before = target.count()
         kept = _without(target, known.select(DOC_ID), size)
-        after = target.replace(kept.unionByName(docs, allowMissingColumns=True))
+        both = kept.unionByName(docs, allowMissingColumns=True)
+        after = target.replace(target.laid_out(both))
     created = after - before
     return Counts(created, size.writes - size.ids, size.rejected, size.ids - created)
 
@@ -141,4 +154,5 @@ def delete(target: Target, keys: DataFrame) -> int:
     ids = keys.select(DOC_ID).where(F.col(DOC_ID).isNotNull()).distinct()
     with storage.staged(ids.withColumn(WRITES, F.lit(1)), target.name) as rows:
         before = target.count()
-        return before - target.replace(_without(target, rows.select(DOC_ID), _measure(rows)))
+        kept = _without(target, rows.select(DOC_ID), _measure(rows))
+        return before - target.replace(target.laid_out(kept))

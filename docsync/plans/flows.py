@@ -28,8 +28,10 @@ class Home:
         self.root = root.rstrip("/")
         self.state = RefreshState(spark, self.root)
 
-    def target(self, name: str) -> Target:
-        return Target(self.spark, self.root, name)
+    def target(self, spec: SyncSpec | str) -> Target:
+        if isinstance(spec, str):
+            return Target(self.spark, self.root, spec)
+        return Target(self.spark, self.root, spec.name, spec.sorted_ids)
 
 
 @dataclass(frozen=True)
@@ -89,7 +91,7 @@ def init(spark: SparkSession, home: Home, spec: SyncSpec, now=None) -> Report:
     now = as_utc(now or utc_now())
     home.state.delete(spec.name)
     batch = documents(sql.full(spark, spec, now), spec)
-    counts = targets.recreate(home.target(spec.name), batch, _finish(spark, spec), spec.order,
+    counts = targets.recreate(home.target(spec), batch, _finish(spark, spec), spec.order,
                               spec.unique_ids)
     home.state.save(spec.name, now)
     return Report(spec.name, "init", hi=now, counts=counts)
@@ -97,7 +99,7 @@ def init(spark: SparkSession, home: Home, spec: SyncSpec, now=None) -> Report:
 
 def _write(spark: SparkSession, home: Home, spec: SyncSpec, batch: DataFrame) -> Counts:
     write = targets.upsert if spec.op == "upsert" else targets.create_if_absent
-    return write(home.target(spec.name), batch, _finish(spark, spec), spec.order, spec.unique_ids)
+    return write(home.target(spec), batch, _finish(spark, spec), spec.order, spec.unique_ids)
 
 
 def sync_once(spark: SparkSession, home: Home, spec: SyncSpec, now=None) -> Report:
@@ -107,7 +109,7 @@ def sync_once(spark: SparkSession, home: Home, spec: SyncSpec, now=None) -> Repo
     The refresh time moves after the write, so a failed run is repeated by the next one, and
     repeating a window changes nothing.
     """
-    if not home.target(spec.name).exists():
+    if not home.target(spec).exists():
         return Report(spec.name, "sync", "skipped", "target does not exist; run init first")
     last = home.state.find(spec.name)
     if last is None:
@@ -136,7 +138,7 @@ def repair_missing(spark: SparkSession, home: Home, spec: SyncSpec, now=None) ->
     """Load every row changed before ``now`` whose document is not in the target."""
     now = as_utc(now or utc_now())
     batch = documents(sql.full(spark, spec, now), spec)
-    target = home.target(spec.name)
+    target = home.target(spec)
     if target.exists():
         batch = absent(batch, target.ids())
     counts = targets.create_if_absent(target, batch, _finish(spark, spec), spec.order,
@@ -148,10 +150,10 @@ def delete_once(spark: SparkSession, home: Home, spec: SyncSpec) -> Report:
     """Remove the documents whose keys the spec's delete SQL returns (an extension)."""
     if spec.delete_sql is None:
         return Report(spec.name, "delete", "skipped", "the spec has no delete_sql")
-    if not home.target(spec.name).exists():
+    if not home.target(spec).exists():
         return Report(spec.name, "delete", "skipped", "target does not exist; run init first")
     keys = documents(sql.lower_names(spark.sql(spec.delete_sql)), spec)
-    return Report(spec.name, "delete", deleted=targets.delete(home.target(spec.name), keys))
+    return Report(spec.name, "delete", deleted=targets.delete(home.target(spec), keys))
 
 
 def run_all(spark: SparkSession, home: Home, specs, flow, now=None, parallel: int = 1):

@@ -56,6 +56,9 @@ class SyncSpec:
     # The id columns are the source's primary key: skips the shuffle that looks for repeats
     unique_ids: bool = False
     id_separator: str = "-"
+    # Store documents sorted by id, so that windows whose ids lie close together (rising numbers,
+    # time-ordered ids) read little of a large target.  Costs a shuffle in the full load
+    sorted_ids: bool = False
     # Type that ``?`` is bound as; timestamp_ntz matches parquet files without a time zone
     time_type: str = "timestamp"
     # Connection options; when set, SQL text runs in that database, in its own dialect

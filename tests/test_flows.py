@@ -329,3 +329,22 @@ def test_any_windows_give_the_full_load(spark, tmp_path_factory, seconds, cuts):
     for cut in [*sorted(cuts), 100]:
         sync_once(spark, home, spec, at(cut))
     assert found(home, "prop") == {str(i) for i, s in enumerate(seconds) if s < 100}
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_sorted_target(spark, home, plan, unique):
+    """The same documents, stored by id; a window reads only the ids around its own."""
+    rows = [(i, "x", T0 - SECOND) for i in range(1000, 3000)] + [(None, "x", T0 - SECOND)] * 3
+    put(spark, "sorted", rows)
+    spec = make_spec("sorted", sorted_ids=True, unique_ids=unique)
+    assert init(spark, home, spec, T0).counts == Counts(2000, 0, 3)
+    put(spark, "sorted", rows + [(i, "x", T0 + SECOND) for i in range(2995, 3005)])
+    assert sync_once(spark, home, spec, T1).counts == Counts(5, 5, 0)
+    target = home.target(spec)
+    assert target.count() == 2005
+    spans = (target.read().groupBy(F.input_file_name().alias("f"))
+             .agg(F.min(DOC_ID).alias("lo"), F.max(DOC_ID).alias("hi")).collect())
+    first_load = sorted((s.lo, s.hi) for s in spans if s.lo < "2995")
+    assert all(a[1] < b[0] for a, b in zip(first_load, first_load[1:]))
+    pushed = plan(target.ids().where(F.col(DOC_ID).between("2995", "3004")))
+    assert "GreaterThanOrEqual(doc_id,2995)" in pushed
