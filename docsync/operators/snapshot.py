@@ -44,6 +44,11 @@ class Snapshot:
         current = self._current()
         return current["parts"] if current else 0
 
+    def written_rows(self) -> int:
+        """The number of rows by the record of the writes, without reading them."""
+        current = self._current()
+        return current["rows"] if current else 0
+
     def read(self) -> DataFrame:
         current = self._current()
         if current is None:
@@ -61,13 +66,14 @@ class Snapshot:
         generation = f"gen-{uuid.uuid4().hex}"
         part = self._part(generation, 0)
         rows.write.mode("overwrite").parquet(part)
-        self._point_to({"generation": generation, "parts": 1,
+        n = self._rows_in(part, rows.schema)
+        self._point_to({"generation": generation, "parts": 1, "rows": n,
                         "schema": _nullable(rows.schema).jsonValue()})
         keep = {generation, before["generation"] if before else generation}
         for old in storage.folders(self.spark, self.path):
             if old.startswith("gen-") and old not in keep:
                 storage.delete(self.spark, f"{self.path}/{old}")
-        return self._rows_in(part, rows.schema)
+        return n
 
     def append(self, rows: DataFrame) -> int:
         """Add ``rows``; returns their number.  Fields seen for the first time join the schema."""
@@ -80,7 +86,7 @@ class Snapshot:
         n = self._rows_in(part, rows.schema)
         if n:
             self._point_to({**current, "parts": current["parts"] + 1,
-                            "schema": schema.jsonValue()})
+                            "rows": current["rows"] + n, "schema": schema.jsonValue()})
         return n
 
     def compact(self) -> int:

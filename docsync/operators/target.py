@@ -15,6 +15,8 @@ from docsync.operators.snapshot import Snapshot
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Memory of one broadcast id besides its text.
 ROW_OVERHEAD = 64
+# How many times smaller than the target a batch must be for that.
+SMALLER = 4
 
 
 @dataclass(frozen=True)
@@ -93,10 +95,13 @@ def _measure(batch: DataFrame) -> _Size:
     return _Size(**row.asDict())
 
 
-def _if_small(ids: DataFrame, size: _Size) -> DataFrame | None:
-    """The ids marked for broadcast, or None where they are too many for it."""
+def _if_small(target: Target, ids: DataFrame, size: _Size) -> DataFrame | None:
+    """The ids marked for broadcast, or None where they are too many for it or where the target is
+    not the much larger side."""
     if size.id_bytes + ROW_OVERHEAD * size.ids > BROADCAST_BYTES:
         return None
+    if size.ids * SMALLER > target.written_rows():
+        return None
     return F.broadcast(ids)
 
 
@@ -116,7 +121,7 @@ def create_if_absent(target: Target, batch: DataFrame, finish=_as_is, order=(),
             return Counts(rejected=size.rejected)
         known = rows.where(F.col(DOC_ID).isNotNull())
         existing = target.ids().where(F.col(DOC_ID).between(size.first_id, size.last_id))
-        small = _if_small(known.select(DOC_ID), size)
+        small = _if_small(target, known.select(DOC_ID), size)
         if small is not None:
             existing = existing.join(small, DOC_ID, "left_semi")
         fresh = finish(absent(known, existing), known).drop(WRITES)
@@ -125,7 +130,7 @@ def create_if_absent(target: Target, batch: DataFrame, finish=_as_is, order=(),
 
 
 def _without(target: Target, ids: DataFrame, size: _Size) -> DataFrame:
-    small = _if_small(ids, size)
+    small = _if_small(target, ids, size)
     return target.read().join(ids if small is None else small, DOC_ID, "left_anti")
 
 
@@ -141,7 +146,7 @@ def upsert(target: Target, batch: DataFrame, finish=_as_is, order=(),
         if not target.exists():
             created = target.replace(target.laid_out(docs))
             return Counts(created, size.writes - size.ids, size.rejected)
-        before = target.count()
+        before = target.written_rows()
         kept = _without(target, known.select(DOC_ID), size)
         both = kept.unionByName(docs, allowMissingColumns=True)
         after = target.replace(target.laid_out(both))
@@ -153,6 +158,6 @@ def delete(target: Target, keys: DataFrame) -> int:
     """Remove the documents with the given ids; returns how many there were."""
     ids = keys.select(DOC_ID).where(F.col(DOC_ID).isNotNull()).distinct()
     with storage.staged(ids.withColumn(WRITES, F.lit(1)), target.name) as rows:
-        before = target.count()
+        before = target.written_rows()
         kept = _without(target, rows.select(DOC_ID), _measure(rows))
         return before - target.replace(target.laid_out(kept))

@@ -78,7 +78,7 @@ def follow(spark: SparkSession, home: Home, spec: SyncSpec, checkpoint: str, sta
     def load(batch: DataFrame, batch_id: int) -> None:
         hi = batch.agg(F.max("hi").alias("hi")).first()["hi"]  # one row per micro-batch
         if hi is not None:
-            report = sync_once(batch.sparkSession, home, spec, hi)
+            report = sync_once(spark, home, spec, hi)
             if on_report is not None:
                 on_report(report)
 

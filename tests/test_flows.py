@@ -54,9 +54,15 @@ def target(spark, tmp_path):
     return Target(spark, str(tmp_path / "t"), "docs")
 
 
-@pytest.mark.parametrize("limit", [0, targets.BROADCAST_BYTES])
-def test_create_if_absent(spark, target, monkeypatch, limit):
-    monkeypatch.setattr(targets, "BROADCAST_BYTES", limit)
+@pytest.fixture(params=["broadcast", "shuffle"])
+def way(request, monkeypatch):
+    if request.param == "shuffle":
+        monkeypatch.setattr(targets, "BROADCAST_BYTES", 0)
+    else:
+        monkeypatch.setattr(targets, "SMALLER", 0)
+
+
+def test_create_if_absent(spark, target, way):
     first = docs(spark, ("a", "1"), ("a", "0"), ("b", "1"), (None, "x"))
     assert targets.create_if_absent(target, first, order=("v",)) == Counts(2, 1, 1)
     again = docs(spark, ("a", "2"), ("c", "1"), (None, "x"), (None, "y"))
@@ -64,7 +70,7 @@ def test_create_if_absent(spark, target, monkeypatch, limit):
     assert content(target) == {"a": "0", "b": "1", "c": "1"}
     assert targets.create_if_absent(target, again) == Counts(0, 2, 2)
     assert targets.create_if_absent(target, docs(spark, (None, "z"))) == Counts(0, 0, 1)
-    assert target.parts() == 2 and target.count() == 3
+    assert target.parts() == 2 and target.count() == target.written_rows() == 3
     assert target.compact() == 3 and target.parts() == 1
 
 
@@ -128,9 +134,7 @@ def test_new_fields_join_the_schema(spark, target):
         targets.create_if_absent(target, docs(spark, ("c", "3")).withColumn("w", F.lit("text")))
 
 
-@pytest.mark.parametrize("limit", [0, targets.BROADCAST_BYTES])
-def test_upsert_and_delete(spark, target, monkeypatch, limit):
-    monkeypatch.setattr(targets, "BROADCAST_BYTES", limit)
+def test_upsert_and_delete(spark, target, way):
     first = docs(spark, ("a", "1"), ("b", "1"), ("b", "3"), ("b", "2"))
     assert targets.upsert(target, first, order=("v",)) == Counts(2, 2, 0, 0)
     assert content(target) == {"a": "1", "b": "3"}
