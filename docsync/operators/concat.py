@@ -22,20 +22,22 @@ def _concat(rows: DataFrame, keys, text: Callable[[Column], Column], separator:
 
 
 def ordered_concat(rows: DataFrame, key: str, item: Column, text: Callable[[Column], Column],
-                   separator: str = "", name: str = "text",
-                   hot_rows: int | None = None) -> DataFrame:
+                   separator: str = "", name: str = "text", hot_rows: int | None = None,
+                   sizes: DataFrame | None = None) -> DataFrame:
     """One row per key: ``text`` of its items, joined in the order of the items.
 
     A list aggregate does not shrink under map-side combining, so a hot key would be sorted by one
     task.  Keys above ``hot_rows`` are therefore range-partitioned by (key, item): the ranges cut
     a hot key into consecutive pieces, each piece is joined where it lies, and only the finished
-    pieces meet.  The hot keys are found by a count over the key column alone.  When there is
-    none, adaptive execution drops that whole branch and the anti join.
+    pieces meet.  The hot keys are found by a count over the key column alone, or from ``sizes``
+    (key, n) where the caller has a cheaper way to count.  When there is none, adaptive execution
+    drops that whole branch and the anti join.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
     rows = rows.select(F.col(key), item.alias("_item"))
-    hot = (rows.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > limit).select("_hot"))
+    if sizes is None:
+        sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hot = sizes.where(F.col("n") > limit).select(F.col(key).alias("_hot"))
     hot = F.broadcast(hot)  # bounded, see HOT_ROWS
     is_hot = F.col(key).eqNullSafe(F.col("_hot"))
     plain = _concat(rows.join(hot, is_hot, "left_anti"), (key,), text, separator, name)

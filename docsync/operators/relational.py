@@ -28,10 +28,16 @@ def member_lists(members: DataFrame, team_objects: DataFrame,
     Repeated members are kept.  members: team_id, user_id, current_record;
     team_objects: object_id, team_id, class_id.
     """
-    joined = current_members(members).select("team_id", "user_id").join(
-        project_teams(team_objects, class_id), "team_id")
+    current, teams = current_members(members), project_teams(team_objects, class_id)
+    joined = current.select("team_id", "user_id").join(teams, "team_id")
     return ordered_concat(joined, "object_id", F.col("user_id"), lambda user: user.cast("string"),
-                          ",", "user_ids")
+                          ",", "user_ids", sizes=_list_sizes(current, teams))
+
+
+def _list_sizes(members: DataFrame, teams: DataFrame) -> DataFrame:
+    """(object_id, n): members are counted per team before the join, where they shrink most."""
+    per_team = members.groupBy("team_id").agg(F.count(F.lit(1)).alias("n"))
+    return per_team.join(teams, "team_id").groupBy("object_id").agg(F.sum("n").alias("n"))
 
 
 def changed_members(members: DataFrame, lo, hi, mod: str | None = "mod_date",
@@ -74,13 +80,14 @@ def repeated_lists(members: DataFrame, team_objects: DataFrame, lo, hi,
     the k-fold rows never exist; the text is repeated instead.
     """
     teams = changed_members(members, lo, hi, *member_times)
-    joined = (current_members(members).select("team_id", "user_id")
-              .join(project_teams(team_objects, class_id), "team_id").join(teams, "team_id"))
+    current = current_members(members)
+    linked = project_teams(team_objects, class_id).join(teams, "team_id")
+    joined = current.select("team_id", "user_id").join(linked, "team_id")
     return ordered_concat(
         joined, "object_id", F.struct("user_id", F.col("changes").cast("int").alias("changes")),
         lambda item: F.array_join(
             F.array_repeat(item["user_id"].cast("string"), item["changes"]), ","),
-        ",", "user_ids")
+        ",", "user_ids", sizes=_list_sizes(current, linked))
 
 
 def typed_value(rows: DataFrame, string: str = "string_value", date: str = "date_value",

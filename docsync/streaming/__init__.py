@@ -1,4 +1,4 @@
 from docsync.streaming.feed import distinct_feed, write_feed
-from docsync.streaming.ticks import follow, register_ticks, status_frame
+from docsync.streaming.ticks import follow, follow_all, register_ticks, status_frame
 
-__all__ = ["distinct_feed", "follow", "register_ticks", "status_frame", "write_feed"]
+__all__ = ["distinct_feed", "follow", "follow_all", "register_ticks", "status_frame", "write_feed"]

@@ -91,6 +91,12 @@ def follow(spark: SparkSession, home: Home, spec: SyncSpec, checkpoint: str, sta
     return writer.start()
 
 
+def follow_all(spark: SparkSession, home: Home, specs, checkpoints: str, **options) -> list:
+    """A query per target, each with a checkpoint of its own below the given folder."""
+    return [follow(spark, home, spec, f"{checkpoints.rstrip('/')}/{spec.name}", **options)
+            for spec in specs]
+
+
 def status_frame(spark: SparkSession, queries) -> DataFrame:
     """(query, active, message, last_batch, error) of streaming queries."""
     rows = []

@@ -218,6 +218,36 @@ def test_hot_parent_in_a_skewed_extension(spark, projects):
     assert tuple(out.first())[3:] == ("4998", "4999", "4997")
 
 
+def test_hot_extension_id_among_documents(spark, plan):
+    """A third of the documents shares one extension id, a third has none: the join is split."""
+    kind = F.col("id") % 3
+    docs = spark.range(30000).select(
+        F.col("id").cast("string").alias("doc_id"),
+        F.when(kind == 0, 7).when(kind == 1, F.col("id")).alias("e"),
+        F.sha2(F.col("id").cast("string"), 256).alias("filler")).repartition(8)
+    ext = spark.range(30000).select("id", F.lit("K").alias("k"),
+                                    F.col("id").cast("string").alias("v"))
+    options = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+               "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+               "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name, None) for name in options}
+    try:
+        for name, value in options.items():
+            spark.conf.set(name, value)
+        out = en.custom_in_one(docs, ext, "e")
+        text = plan(out.select("doc_id", "custom_fields", "filler"))
+        assert "skew=true" in text
+        got = {r.doc_id: r.custom_fields for r in out.collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    expected = ("k 7 ", "k {} ", None)
+    assert got == {str(i): expected[i % 3] and expected[i % 3].format(i) for i in range(30000)}
+
+
 # -- documents -----------------------------------------------------------------------------------
 
 MAPPING = parse_mapping("""{"properties": {"pid": {"type": "text"}, "absent": {"type": "text"},

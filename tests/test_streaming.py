@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from docsync.functions.times import utc_now
 from docsync.plans import init
-from docsync.streaming import distinct_feed, follow, status_frame, write_feed
+from docsync.streaming import distinct_feed, follow, follow_all, status_frame, write_feed
 from tests.test_flows import found, make_spec, put
 
 T0 = datetime(2024, 1, 1)
@@ -36,6 +36,21 @@ def test_ticks_equal_batch_and_resume(spark, home):
     assert (status.query, status.active, status.error) == ("docsync-tick", False, None)
 
 
+def test_one_query_per_target(spark, home):
+    specs = []
+    for name in ("many_a", "many_b"):
+        put(spark, name, [(i, "x", T0 + i * HOUR) for i in range(4)])
+        specs.append(make_spec(name))
+        init(spark, home, specs[-1], T0 + HOUR)
+    queries = follow_all(spark, home, specs, f"{home.root}/checkpoints", start=T0 + HOUR,
+                         until=T0 + 3 * HOUR)
+    for query in queries:
+        query.awaitTermination()
+    assert found(home, "many_a") == found(home, "many_b") == {"0", "1", "2"}
+    assert {r.query for r in status_frame(spark, queries).collect()} == {
+        "docsync-many_a", "docsync-many_b"}
+
+
 def test_polling(spark, home):
     """Without an end the query goes on: a row that arrives later is picked up."""
     now = utc_now()

@@ -71,6 +71,15 @@ _FANOUT = f"""fanout AS (
   WHERE class_id = 1000000 AND current_record = 1 GROUP BY object_id)"""
 
 
+_LINE_ATTRIBUTES = """attributes AS (
+  SELECT l_orderkey, 'line_' || l_linenumber AS key,
+    CASE l_linenumber % 3 WHEN 0 THEN l_returnflag WHEN 1 THEN strftime(l_shipdate, '%Y-%m-%d')
+      ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS value
+  FROM lineitem WHERE l_linenumber BETWEEN 1 AND 7)"""
+_LINE_FIELDS = ", ".join(f"max(value) FILTER (WHERE key = 'line_{i}') AS line_{i}"
+                         for i in range(1, 8))
+
+
 def _report(index: str, lookback: str) -> str:
     """The expected report rows of one spec: init at T0, sync at T1, sync at T3."""
     def window(last, now):
@@ -207,4 +216,14 @@ HAVING count(*) > 0""",
     "q30_follow_members": f"WITH {_TEAMS} SELECT CAST(pid AS VARCHAR) AS doc_id, d.* FROM ("
         + _documents("pm_member", f"{CHANGE} < {_ts(T0)} OR ({_IN_WINDOW}) OR {_BY_MEMBER}")
         + ") d",
+    "q31_full_load_enriched": f"""WITH {PROJ_SQL}, {_LINE_ATTRIBUTES}
+SELECT {_PROJ_DOC}, custom_fields FROM proj LEFT JOIN (
+  SELECT l_orderkey, string_agg(key || ' ' || coalesce(value, 'null') || ' ', ''
+                                ORDER BY key, value) AS custom_fields
+  FROM attributes GROUP BY l_orderkey) a ON l_orderkey = pid
+WHERE {CHANGE} IS NOT NULL""",
+    "q32_windows_enriched": f"""WITH {PROJ_SQL}, {_LINE_ATTRIBUTES}
+SELECT {_PROJ_DOC}, line_1, line_2, line_3, line_4, line_5, line_6, line_7 FROM proj LEFT JOIN (
+  SELECT l_orderkey, {_LINE_FIELDS} FROM attributes GROUP BY l_orderkey) a ON l_orderkey = pid
+WHERE {CHANGE} < {_ts(T3)}""",
 }

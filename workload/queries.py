@@ -25,6 +25,7 @@ from workload.adapters import (LO, T0, T1, T2, T3, attr, event_eav, param, proj,
                                team_member, team_object)
 
 EVENT_KEYS = ("click", "view", "purchase", "signup", "error")
+LINE_KEYS = tuple(f"line_{i}" for i in range(1, 8))
 LINE_ORDER = ("l_shipdate", "l_partkey", "l_suppkey")
 DATES = {"create_date": {"type": "date", "format": "strict_date_time"},
          "mod_date": {"type": "date", "format": "strict_date_time"}}
@@ -271,7 +272,7 @@ def q21_run_report(spark, sf):
                                                    lookback=timedelta(days=30))])
     reports = [sync_once(spark, home, specs.get("proj"), T0)]
     for flow, now in ((init, T0), (sync_once, T1), (sync_once, T3)):
-        reports += run_all(spark, home, specs, flow, now)
+        reports += run_all(spark, home, specs, flow, now, parallel=2)
     frame = report_frame(spark, reports)
     return frame.select("index_name", "flow", "status", strict_date_time("lo").alias("lo"),
                         strict_date_time("hi").alias("hi"), "created", "conflicts", "rejected")
@@ -379,6 +380,28 @@ def q30_follow_members(spark, sf):
     return home.target("full").read()
 
 
+def _line_attributes(spark, sf):
+    return rel.typed_attributes(attr(spark, sf), param(spark))
+
+
+def q31_full_load_enriched(spark, sf):
+    """All parents with their attributes as one text, through the whole load."""
+    home = _home(spark, "q31")
+    spec = proj_spec(spark, sf, extension_column="pid", unique_ids=True,
+                     ext_source=lambda s: _line_attributes(s, sf))
+    init(spark, home, spec, "2030-01-01")
+    return home.target("proj").read()
+
+
+def q32_windows_enriched(spark, sf):
+    """Full load and two windows with attributes as fields, stored sorted by id."""
+    home = _home(spark, "q32")
+    spec = proj_spec(spark, sf, extension_column="pid", fields_mode="flatten", sorted_ids=True,
+                     ext_keys=LINE_KEYS, ext_source=lambda s: _line_attributes(s, sf))
+    _init_and_sync(spark, home, spec)
+    return home.target("proj").read()
+
+
 QUERIES = {f.__name__: f for f in (
     q01_full_scan_bound, q02_window_scan, q03_doc_id_composite, q04_create_if_absent,
     q05_outcomes, q05_refused_rows, q06_ext_flatten, q06_ext_flatten_open, q07_ext_custom_in_one,
@@ -387,4 +410,4 @@ QUERIES = {f.__name__: f for f in (
     q16_bulk_payload, q16_bulk_export, q17_recreate_target, q18_latest_state, q19_init_then_sync, q20_fix_by_key,
     q20_fix_many_keys, q21_run_report, q22_stream_ticks, q23_stream_feed, q24_reconcile,
     q24_counts, q24_table_counts, q24_repair, q25_delete, q26_all_in_one, q27_upsert, q28_pushed_window,
-    q29_protected_ids, q30_follow_members)}
+    q29_protected_ids, q30_follow_members, q31_full_load_enriched, q32_windows_enriched)}
