@@ -64,13 +64,14 @@ def work_dir(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a temporary folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="docsync-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="docsync-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
