@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsync.functions.text import doc_id
+from docsync.functions.text import doc_id, is_whole
 
 DOC_ID = "doc_id"
 # Number of source rows behind one document of a load
@@ -40,36 +40,54 @@ def _orderable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
-def _one_per_id(docs: DataFrame, order, pick, pick_by) -> DataFrame:
-    fields = [c for c in docs.columns if c != DOC_ID]
+def _one_per_id(docs: DataFrame, order, pick, pick_by, by: str | None) -> DataFrame:
+    group = by or DOC_ID
+    fields = [c for c in docs.columns if c not in (DOC_ID, group)]
     sortable = [c for c in fields if _orderable(docs.schema[c].dataType)]
-    ranked = [*order, *[c for c in sortable if c not in order]]
-    rank = F.struct(*[F.col(f"`{c}`") for c in ranked])
+    ranked = [*[c for c in order if c != group], *[c for c in sortable if c not in order]]
+    rank = F.struct(*[F.col(f"`{c}`") for c in ranked], F.lit(0).alias("_"))
     if len(sortable) == len(fields):
         row = pick(rank)
     else:
         row = pick_by(F.struct(*[F.col(f"`{c}`") for c in fields]), rank)
-    return (docs.groupBy(DOC_ID).agg(row.alias("_row"), F.count(F.lit(1)).alias(WRITES))
-            .select(DOC_ID, *[F.col(f"_row.`{c}`") for c in fields], WRITES))
+    out = {c: F.col(f"_row.`{c}`").alias(c) for c in fields}
+    if by is not None:
+        out[by] = F.col(f"`{by}`")
+    return (docs.groupBy(F.col(f"`{group}`"))
+            .agg(row.alias("_row"), F.count(F.lit(1)).alias(WRITES))
+            .select(F.col(f"`{group}`").cast("string").alias(DOC_ID),
+                    *[out[c] for c in docs.columns if c != DOC_ID], WRITES))
 
 
-def first_per_id(docs: DataFrame, order=(), unique: bool = False) -> DataFrame:
+def native_id(docs: DataFrame, id_columns) -> str | None:
+    """The id column when it alone is the id and its values differ exactly where their texts do."""
+    if len(id_columns) != 1 or id_columns[0] == DOC_ID:
+        return None
+    kind = docs.schema[id_columns[0]].dataType
+    return id_columns[0] if is_whole(kind) or isinstance(kind, T.StringType) else None
+
+
+def first_per_id(docs: DataFrame, order=(), unique: bool = False,
+                 by: str | None = None) -> DataFrame:
     """The first row of every id and how many rows it stands for (``_writes``).
 
     "First" is by ``order`` and then by the other fields, so it does not depend on the layout of
     the data.  It is an aggregate, not a window: each task keeps one row per id before the
-    shuffle, so an id that occurs very often costs no more than any other.  ``unique`` skips the
-    search where the ids are a primary key.
+    shuffle, so an id that occurs very often costs no more than any other.
+
+    ``by`` groups by the source column behind the id (see native_id) instead of the id text: a
+    join on that column then needs no further shuffle, and a source bucketed by it needs none at
+    all.  ``unique`` skips the search where the ids are a primary key.
     """
     if unique:
         return docs.withColumn(WRITES, F.lit(1).cast("bigint"))
-    return _one_per_id(docs, order, F.min, F.min_by)
+    return _one_per_id(docs, order, F.min, F.min_by, by)
 
 
 def last_per_id(docs: DataFrame, order=(), unique: bool = False) -> DataFrame:
     if unique:
         return docs.withColumn(WRITES, F.lit(1).cast("bigint"))
-    return _one_per_id(docs, order, F.max, F.max_by)
+    return _one_per_id(docs, order, F.max, F.max_by, None)
 
 
 def absent(docs: DataFrame, existing: DataFrame) -> DataFrame:

@@ -51,8 +51,8 @@ def _as_is(docs: DataFrame, batch: DataFrame | None = None) -> DataFrame:
     return docs
 
 
-def recreate(target: Target, batch: DataFrame, finish=_as_is, order=(),
-             unique: bool = False) -> Counts:
+def recreate(target: Target, batch: DataFrame, finish=_as_is, order=(), unique: bool = False,
+             by: str | None = None) -> Counts:
     """Replace the target by the documents of a batch: one job, one pass over the source.
 
     ``finish(docs, batch)`` turns the rows that are kept into complete documents; ``batch`` is the
@@ -64,7 +64,7 @@ def recreate(target: Target, batch: DataFrame, finish=_as_is, order=(),
     if unique and target.sorted_ids:  # rows without id would all sort into one task
         left_out = batch.where(~has_id).count()
         batch = batch.where(has_id)
-    docs = target.laid_out(finish(first_per_id(batch, order, unique), None))
+    docs = target.laid_out(finish(first_per_id(batch, order, unique, by), None))
     seen = Observation()
     docs = docs.observe(
         seen, F.coalesce(F.sum(F.when(has_id, F.col(WRITES))), F.lit(0)).alias("writes"),

@@ -13,7 +13,7 @@ from docsync.functions.times import as_utc, utc_now, window_start
 from docsync.operators import target as targets
 from docsync.operators.document import apply_mapping
 from docsync.operators.enrich import batch_rows, enrich, extension_ids
-from docsync.operators.ids import absent, with_doc_id
+from docsync.operators.ids import absent, native_id, with_doc_id
 from docsync.operators.state import RefreshState
 from docsync.operators.target import Counts, Target
 from docsync.sources import sql
@@ -92,7 +92,7 @@ def init(spark: SparkSession, home: Home, spec: SyncSpec, now=None) -> Report:
     home.state.delete(spec.name)
     batch = documents(sql.full(spark, spec, now), spec)
     counts = targets.recreate(home.target(spec), batch, _finish(spark, spec), spec.order,
-                              spec.unique_ids)
+                              spec.unique_ids, native_id(batch, spec.id_columns))
     home.state.save(spec.name, now)
     return Report(spec.name, "init", hi=now, counts=counts)
 

@@ -76,6 +76,38 @@ def test_first_and_last_per_id(batch):
     assert ids.first_per_id(batch, unique=True).count() == 7
 
 
+def test_first_per_id_by_the_source_column(spark, plan):
+    df = spark.createDataFrame([(3, 1, "b"), (3, 1, "a"), (4, 2, "c"), (None, 1, "n"),
+                                (None, 2, "n")], "pid long, n int, t string")
+    docs = ids.with_doc_id(df, ("pid",))
+    assert ids.native_id(docs, ("pid",)) == "pid" and ids.native_id(docs, ("t",)) == "t"
+    assert ids.native_id(docs, ("pid", "n")) is None
+    assert ids.native_id(docs.withColumn("d", F.lit(1.5)), ("d",)) is None
+    by = ids.first_per_id(docs, ("n",), by="pid")
+    assert by.columns == [DOC_ID, "pid", "n", "t", WRITES]
+    assert rows(by) == rows(ids.first_per_id(docs, ("n",)))
+    only = ids.with_doc_id(df.select("pid"), ("pid",))
+    assert rows(ids.first_per_id(only, by="pid")) == [("3", 3, 2), ("4", 4, 1), (None, None, 2)]
+
+
+def test_full_load_shuffles_documents_once(spark, tmp_path, plan):
+    for name, key in (("d", "pid"), ("e", "p")):
+        spark.range(500).select(F.col("id").alias(key), F.lit("k").alias("k"),
+                                F.col("id").cast("string").alias("v")
+                                ).write.parquet(str(tmp_path / name))
+    docs = ids.with_doc_id(spark.read.parquet(str(tmp_path / "d")), ("pid",))
+    ext = spark.read.parquet(str(tmp_path / "e"))
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        for name in names:
+            spark.conf.set(name, "-1")
+        text = plan(en.flatten(ids.first_per_id(docs, by="pid"), ext, "pid", ("k",)))
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert text.split("Initial Plan")[0].count("Exchange hashpartitioning") == 2
+
+
 def test_first_per_id_keeps_maps(spark):
     df = spark.sql("SELECT 'a' AS doc_id, 2 AS n, map('k', 1) AS m UNION ALL "
                    "SELECT 'a', 1, map('k', 2)")
