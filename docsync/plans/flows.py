@@ -152,7 +152,7 @@ def delete_once(spark: SparkSession, home: Home, spec: SyncSpec) -> Report:
         return Report(spec.name, "delete", "skipped", "the spec has no delete_sql")
     if not home.target(spec).exists():
         return Report(spec.name, "delete", "skipped", "target does not exist; run init first")
-    keys = documents(sql.lower_names(spark.sql(spec.delete_sql)), spec)
+    keys = documents(sql.deleted_keys(spark, spec), spec)
     return Report(spec.name, "delete", deleted=targets.delete(home.target(spec), keys))
 
 

@@ -71,6 +71,11 @@ def by_keys(spark: SparkSession, spec: SyncSpec, now, keys: Mapping | DataFrame)
     return rows
 
 
+def deleted_keys(spark: SparkSession, spec: SyncSpec) -> DataFrame:
+    """The rows of the delete SQL: the id columns of documents that are to go."""
+    return lower_names(_run(spark, spec, spec.delete_sql, []))
+
+
 def _check_columns(spec: SyncSpec, rows: DataFrame, names) -> None:
     if not list(names):
         raise ValueError(f"{spec.name}: no key was given")
