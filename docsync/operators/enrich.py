@@ -86,7 +86,7 @@ def flatten(docs: DataFrame, ext: DataFrame, extension_column: str, keys=None, o
     doc_key, rows = eav(docs, extension_column, ext, order)
     if keys is None:
         return _attach(docs, doc_key, _latest(rows.where(~F.col("item.key").isin(*protected))))
-    keys = [k for k in keys if k not in protected]
+    keys = [k.lower() for k in keys if k.lower() not in protected]
     rows = rows.where(F.col("item.key").isin(*keys))
     if len(keys) > WIDE_KEYS:
         grouped = _latest(rows)

@@ -40,11 +40,16 @@ class Target(Snapshot):
     def ids(self) -> DataFrame:
         return self.read().select(DOC_ID)
 
-    def laid_out(self, docs: DataFrame) -> DataFrame:
-        """Rows in the order they are stored in; sorted files let scans skip by id range."""
+    def laid_out(self, docs: DataFrame, small: bool = False) -> DataFrame:
+        """Rows in the order they are stored in; sorted files let scans skip by id range.
+
+        The few files of a small batch are only sorted within.
+        """
         if not self.sorted_ids:
             return docs
-        return docs.repartitionByRange(DOC_ID).sortWithinPartitions(DOC_ID)
+        if not small:
+            docs = docs.repartitionByRange(DOC_ID)
+        return docs.sortWithinPartitions(DOC_ID)
 
 
 def _as_is(docs: DataFrame, batch: DataFrame | None = None) -> DataFrame:
@@ -125,7 +130,7 @@ def create_if_absent(target: Target, batch: DataFrame, finish=_as_is, order=(),
         if small is not None:
             existing = existing.join(small, DOC_ID, "left_semi")
         fresh = finish(absent(known, existing), known).drop(WRITES)
-        created = target.append(target.laid_out(fresh))
+        created = target.append(target.laid_out(fresh, small is not None))
     return Counts(created, size.writes - created, size.rejected)
 
 

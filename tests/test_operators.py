@@ -283,7 +283,7 @@ def test_hot_extension_id_among_documents(spark, plan):
 # -- documents -----------------------------------------------------------------------------------
 
 MAPPING = parse_mapping("""{"properties": {"pid": {"type": "text"}, "absent": {"type": "text"},
-    "user_ids": {"type": "text", "analyzer": "comma_analyzer"},
+    "user_ids": {"type": "text", "analyzer": "comma"},
     "at": {"type": "date", "format": "strict_date_time"}}}""")
 
 

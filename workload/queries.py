@@ -100,7 +100,7 @@ def q05_refused_rows(spark, sf):
 def q15_mapping(spark, sf):
     lists = rel.member_lists(team_member(spark, sf), team_object(spark, sf))
     docs = with_doc_id(proj(spark, sf).join(lists, F.col("pid") == F.col("object_id")), ("pid",))
-    mapping = DATES | {"user_ids": {"type": "text", "analyzer": "comma_analyzer"},
+    mapping = DATES | {"user_ids": {"type": "text", "analyzer": "comma"},
                        "pid": {"type": "text"}, "absent_field": {"type": "text"}}
     docs = apply_mapping(docs, mapping)
     return docs.select(DOC_ID, "pid", "create_date", "mod_date",
