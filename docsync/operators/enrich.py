@@ -113,9 +113,10 @@ def protected_keys(docs: DataFrame, ext: DataFrame, extension_column: str,
                    id_columns) -> DataFrame:
     """(key, n): how many documents have a custom field named like an id column (it is ignored)."""
     doc_key, rows = eav(docs, extension_column, ext)
-    hits = (rows.select("parent_id", "item.key").where(F.col("key").isin(*id_columns)).distinct())
-    return (docs.join(hits, doc_key == hits["parent_id"], "inner")
-            .groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    hits = (rows.select(F.col("parent_id").alias("_parent_id"), F.col("item.key").alias("_key"))
+            .where(F.col("_key").isin(*id_columns)).distinct())
+    return (docs.join(hits, doc_key == F.col("_parent_id"))
+            .groupBy(F.col("_key").alias("key")).agg(F.count(F.lit(1)).alias("n")))
 
 
 def custom_in_one(docs: DataFrame, ext: DataFrame, extension_column: str, order=(),
