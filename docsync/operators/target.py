@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from docsync import storage
@@ -134,6 +134,12 @@ def create_if_absent(target: Target, batch: DataFrame, finish=_as_is, order=(),
     return Counts(created, size.writes - created, size.rejected)
 
 
+def create_document(target: Target, document: dict) -> Counts:
+    """Insert one document (a dict with its doc_id) if its id is not in the target."""
+    row = target.spark.createDataFrame([Row(**document)])
+    return create_if_absent(target, row)
+
+
 def _without(target: Target, ids: DataFrame, size: _Size) -> DataFrame:
     small = _if_small(target, ids, size)
     return target.read().join(ids if small is None else small, DOC_ID, "left_anti")

@@ -81,6 +81,12 @@ def test_small_batch_does_not_shuffle_the_target(spark, target, plan):
     assert "Exchange hashpartitioning" not in text and "ReadSchema: struct<doc_id:string>" in text
 
 
+def test_one_document(target):
+    assert targets.create_document(target, {"doc_id": "a", "v": "1"}) == Counts(1, 0, 0)
+    assert targets.create_document(target, {"doc_id": "a", "v": "2"}) == Counts(0, 1, 0)
+    assert content(target) == {"a": "1"}
+
+
 @pytest.mark.parametrize("unique", [False, True])
 def test_recreate_nothing(spark, target, unique):
     empty = docs(spark, ("a", "1")).where("v = 'no'")
