@@ -100,8 +100,8 @@ class Powers:
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = max(n, 2 * len(self.up), 1 << 16)
-            self.up, self.down = (np.cumprod(np.concatenate(
-                ([1], np.full(size - 1, b, np.uint64))), dtype=np.uint64)
+            self.up, self.down = (np.cumprod(np.append(
+                np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)), dtype=np.uint64)
                 for b in (self.base, self.inverse))
             if len(self.up) > 1 << 23:  # a giant document: do not keep its tables
                 up, down = self.up, self.down

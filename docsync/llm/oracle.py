@@ -3,8 +3,8 @@
 OP8 = r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, source, t,
-        list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS ws,
-        list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+        list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
       FROM d),
 x AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
 y AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i+1], ws[i+2]) AS c FROM x),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docsync.llm.common import table
 from docsync.llm.mixing import mix
 from docsync.llm.quality import quality
+from docsync.llm.suffixes import dedup
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +18,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op5_mixing": op5_mixing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
