@@ -72,22 +72,18 @@ def host_rates(failures: DataFrame, host: str, failed: str) -> DataFrame:
     host, or without variance, a + b is the mean host size. The posterior rate of a host is
     (failures + a) / (documents + a + b). Rows without a host belong to none.
     """
-    per_host = (failures.filter(F.col(host).isNotNull()).groupBy(F.col(host).alias("host"))
-                .agg(F.count("*").alias("documents"),
-                     F.sum(F.col(failed).cast("long")).alias("failures")))
+    per_host = stage(
+        failures.filter(F.col(host).isNotNull()).groupBy(F.col(host).alias("host"))
+        .agg(F.count("*").alias("documents"), F.sum(F.col(failed).cast("long")).alias("failures")),
+        "hosts")
     rate = F.col("failures") / F.col("documents")
-    prior = per_host.agg(  # one row
-        F.avg(rate).alias("m"), F.coalesce(F.var_samp(rate), F.lit(0.0)).alias("v"),
-        F.avg("documents").alias("size"))
-    strength = F.when(F.col("v") > 1e-12, F.greatest(
-        F.lit(1.0), F.col("m") * (1 - F.col("m")) / F.col("v") - 1)).otherwise(F.col("size"))
-    prior = prior.select("m", strength.alias("strength"))
-    # One row, so the broadcast has a fixed size and each host meets exactly one row.
-    joined = per_host.withColumn("k", F.lit(1)).join(
-        F.broadcast(prior.withColumn("k", F.lit(1))), "k")
-    posterior = ((F.col("failures") + F.col("m") * F.col("strength"))
-                 / (F.col("documents") + F.col("strength")))
-    return joined.select("host", "documents", "failures", posterior.alias("rate"))
+    prior = per_host.agg(F.avg(rate).alias("m"), F.coalesce(F.var_samp(rate), F.lit(0.0)).alias("v"),
+                         F.avg("documents").alias("size")).first()  # one row of three numbers
+    if prior.m is None:
+        return per_host.withColumn("rate", F.lit(0.0))
+    strength = max(1.0, prior.m * (1 - prior.m) / prior.v - 1) if prior.v > 1e-12 else prior.size
+    posterior = ((F.col("failures") + prior.m * strength) / (F.col("documents") + strength))
+    return per_host.withColumn("rate", posterior)
 
 
 def judged(docs: DataFrame, carry: list[str] | None = None,
