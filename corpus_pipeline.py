@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from docsync.llm.common import table
+from docsync.llm.jaccard import one_per_group
 from docsync.llm.mixing import take
+from docsync.llm.packing import placed
 from docsync.llm.quality import keep_good
+from docsync.llm.queries import tokenizer
+from docsync.llm.suffixes import cut_repeats
+from docsync.storage import new_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,19 +19,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest doc_id stays."""
+    return one_per_group(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 200 bytes that occur more than once are cut out of the texts."""
+    return cut_repeats(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it, so also not at all or twice."""
     return take(docs)
 
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens, with their ids."""
+    out = placed(docs, tokenizer(), carry=["doc_id", "lang", "source"], with_ids=True)
+    return out.select("row.*", *[c for c in out.columns if c != "row"])
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("ngram_jaccard", near_duplicates),
+    ("suffix_dedup", suffix_dedup),
     ("source_mix", source_mix),
+    ("best_fit_packing", packing),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from docsync.storage import new_folder
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = new_folder(spark, f"pipeline-{name}")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docsync.llm.common import table
 from docsync.llm.jaccard import similar
 from docsync.llm.mixing import mix
+from docsync.llm.packing import matrices, pack
 from docsync.llm.quality import quality
 from docsync.llm.suffixes import dedup
 
@@ -15,6 +16,19 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar(table(spark, sf_dir, "documents"))
 
 
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer())
+
+
+def op6_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrices(table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -29,6 +43,8 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_token_matrices": op6_token_matrices,
     "op5_mixing": op5_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
