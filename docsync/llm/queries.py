@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docsync.llm.classifier import scored
 from docsync.llm.common import table
+from docsync.llm.fingerprints import fingerprints
 from docsync.llm.jaccard import similar
 from docsync.llm.mixing import mix
 from docsync.llm.packing import matrices, pack
@@ -16,6 +18,10 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar(table(spark, sf_dir, "documents"))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def tokenizer(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -41,11 +47,17 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_document_fingerprints": op3_document_fingerprints,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_token_matrices": op6_token_matrices,
     "op5_mixing": op5_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
