@@ -44,7 +44,7 @@ def ordered_concat(rows: DataFrame, key: str, item: Column, text: Callable[[Colu
     cut = (rows.join(hot, is_hot, "left_semi").repartitionByRange(key, "_item")
            .withColumn("_piece", F.spark_partition_id()))
     pieces = (_concat(cut, (key, "_piece"), text, separator, "_text")
-              .where(F.col("_text").isNotNull())
-              .select(key, F.struct("_piece", "_text").alias("_item")))
+              .select(key, F.when(F.col("_text").isNotNull(), F.struct("_piece", "_text"))
+                      .alias("_item")))  # a piece without items only keeps its key
     joined = _concat(pieces, (key,), lambda piece: piece["_text"], separator, name)
     return plain.unionByName(joined)

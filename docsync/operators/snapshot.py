@@ -1,100 +1,297 @@
-"""A stored table that is only ever replaced or appended to in one step."""
+"""A stored table of documents that several writers may change at the same time."""
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsync import storage
+from docsync.operators.ids import DOC_ID
 
-CURRENT = "_CURRENT"
+LOG = "_log"
+# Readers may stay on a state of the table for so many commits.
+KEPT = 10
+# Ids of removed documents are broadcast up to this many.
+BROADCAST_IDS = 1_000_000
+
+_ENTRY = re.compile(r"(\d{12})\.json")
 
 
 class Snapshot:
-    """A folder of generations; ``_CURRENT`` names the valid generation and its parts.
+    """A folder of parts and a log of numbered states; the last state is the table.
 
-    A write becomes visible when ``_CURRENT`` is replaced, after all its files are complete; what
-    a failed write left behind is never read.  One writer at a time; readers keep the generation
-    they started on until the one after the next is written.
+    A state lists its parts in order: ``rows`` parts hold documents, ``gone`` parts the ids of
+    documents that the parts before them no longer count for. A write stores its part under a
+    name of its own and then commits: it creates the next state, which only one writer can. A
+    writer that comes second looks at what the first has committed, adapts, and tries again. What a
+    failed write left behind is never read.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _current(self) -> dict | None:
-        pointer = f"{self.path}/{CURRENT}"
-        if not storage.exists(self.spark, pointer):
-            return None
-        return json.loads(storage.read_text(self.spark, pointer))
+    # -- states ------------------------------------------------------------------------------
+
+    def _entry(self, version: int) -> str:
+        return f"{self.path}/{LOG}/{version:012d}.json"
+
+    def _versions(self) -> list[int]:
+        names = storage.files(self.spark, f"{self.path}/{LOG}")
+        return sorted(int(m[1]) for m in map(_ENTRY.fullmatch, names) if m)
+
+    def _state(self, version: int) -> dict:
+        return json.loads(storage.read_text(self.spark, self._entry(version)))
+
+    def current(self) -> dict | None:
+        """The last state, None before the first write."""
+        versions = self._versions()
+        return self._state(versions[-1]) | {"version": versions[-1]} if versions else None
 
-    def _point_to(self, current: dict) -> None:
-        storage.write_text(self.spark, f"{self.path}/{CURRENT}", json.dumps(current))
+    def _commit(self, build: Callable[[dict | None], dict | None]) -> dict | None:
+        """Commit what ``build`` makes of the last state (None: nothing). ``build`` runs again when
+        another writer committed in between, so it must look at what it is given."""
+        while True:
+            current = self.current()
+            state = build(current)
+            if state is None:
+                return None
+            version = current["version"] + 1 if current else 1
+            state = {k: v for k, v in state.items() if k != "version"}
+            if storage.create_text(self.spark, self._entry(version), json.dumps(state)):
+                self._sweep(version)
+                return state
 
-    def _part(self, generation: str, number: int) -> str:
-        return f"{self.path}/{generation}/part-{number:06d}"
+    def _sweep(self, version: int) -> None:
+        """Delete states that are KEPT commits old, and the parts that only they had."""
+        versions = self._versions()
+        old = [v for v in versions if v <= version - KEPT]
+        if not old:
+            return
+        live = {p["name"] for v in versions if v not in old for p in self._state(v)["parts"]}
+        for v in old:
+            for part in self._state(v)["parts"]:
+                if part["name"] not in live:
+                    storage.delete(self.spark, f"{self.path}/{part['name']}")
+            storage.delete(self.spark, self._entry(v))
 
     def exists(self) -> bool:
-        return self._current() is not None
+        return bool(self._versions())
 
     def parts(self) -> int:
-        current = self._current()
-        return current["parts"] if current else 0
+        """The number of parts with documents."""
+        current = self.current()
+        return sum(p["kind"] == "rows" for p in current["parts"]) if current else 0
 
     def written_rows(self) -> int:
         """The number of rows by the record of the writes, without reading them."""
-        current = self._current()
+        current = self.current()
         return current["rows"] if current else 0
 
+    # -- reading -----------------------------------------------------------------------------
+
+    def _files(self, parts, schema: T.StructType) -> DataFrame:
+        paths = [f"{self.path}/{p['name']}" for p in parts]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def _rows(self, parts, schema: T.StructType) -> DataFrame:
+        """The documents of consecutive parts. Parts between the same removals are one scan."""
+        scans, gone, held = [], [], []
+        ids = T.StructType([T.StructField(DOC_ID, T.StringType())])
+
+        def scan():
+            rows = self._files(held, schema)
+            if gone:
+                left_out = self._files(gone, ids)
+                if sum(p["rows"] for p in gone) <= BROADCAST_IDS:
+                    left_out = F.broadcast(left_out)
+                rows = rows.join(left_out, DOC_ID, "left_anti").select(rows.columns)
+            return rows
+
+        for part in reversed(parts):
+            if part["kind"] == "rows":
+                held.insert(0, part)
+            else:
+                if held:
+                    scans.insert(0, scan())
+                    held = []
+                gone = [part, *gone]
+        if held or not scans:
+            scans.insert(0, scan())
+        out = scans[0]
+        for rows in scans[1:]:
+            out = out.unionByName(rows)
+        return out
+
     def read(self) -> DataFrame:
-        current = self._current()
+        current = self.current()
         if current is None:
             raise FileNotFoundError(f"nothing has been written to {self.path}")
-        paths = [self._part(current["generation"], n) for n in range(current["parts"])]
-        schema = T.StructType.fromJson(current["schema"])
-        return self.spark.read.schema(schema).parquet(*paths)
+        return self._read(current)
+
+    def _read(self, state: dict) -> DataFrame:
+        return self._rows(state["parts"], _schema(state))
 
     def count(self) -> int:
         return self.read().count()
 
+    # -- writing -----------------------------------------------------------------------------
+
+    def laid_out(self, rows: DataFrame) -> DataFrame:
+        """Rows in the order they are stored in."""
+        return rows
+
+    def _write(self, rows: DataFrame, kind: str = "rows") -> dict:
+        name = f"part-{uuid.uuid4().hex}"
+        rows.write.mode("error").parquet(f"{self.path}/{name}")
+        n = self.spark.read.schema(rows.schema).parquet(f"{self.path}/{name}").count()  # footers
+        return {"kind": kind, "name": name, "rows": n}
+
+    def _newer(self, base: dict | None, current: dict | None) -> list[dict]:
+        """The parts that were committed after ``base``."""
+        known = {p["name"] for p in base["parts"]} if base else set()
+        return [p for p in current["parts"] if p["name"] not in known] if current else []
+
     def replace(self, rows: DataFrame) -> int:
-        """Make ``rows`` the whole content; returns their number."""
-        before = self._current()
-        generation = f"gen-{uuid.uuid4().hex}"
-        part = self._part(generation, 0)
-        rows.write.mode("overwrite").parquet(part)
-        n = self._rows_in(part, rows.schema)
-        self._point_to({"generation": generation, "parts": 1, "rows": n,
-                        "schema": _nullable(rows.schema).jsonValue()})
-        keep = {generation, before["generation"] if before else generation}
-        for old in storage.folders(self.spark, self.path):
-            if old.startswith("gen-") and old not in keep:
-                storage.delete(self.spark, f"{self.path}/{old}")
-        return n
-
-    def append(self, rows: DataFrame) -> int:
-        """Add ``rows``; returns their number.  Fields seen for the first time join the schema."""
-        current = self._current()
-        if current is None:
-            return self.replace(rows)
-        schema = _merged(T.StructType.fromJson(current["schema"]), rows.schema)
-        part = self._part(current["generation"], current["parts"])
-        rows.write.mode("overwrite").parquet(part)
-        n = self._rows_in(part, rows.schema)
-        if n:
-            self._point_to({**current, "parts": current["parts"] + 1,
-                            "rows": current["rows"] + n, "schema": schema.jsonValue()})
-        return n
+        """Make ``rows`` the whole content; returns how many were stored.
+
+        What other writers commit meanwhile stays, and counts instead of a row of the same id.
+        """
+        base = self.current()
+        part, schema = self._write(rows), _nullable(rows.schema)
+        stored = part["rows"]
+
+        def build(current):
+            nonlocal stored
+            stored = part["rows"]
+            newer = self._newer(base, current)
+            if not newer:
+                return {"parts": [part], "rows": stored, "schema": schema.jsonValue()}
+            both = _merged(_schema(current), rows.schema)
+            late = self._rows(newer, both).select(DOC_ID)
+            gone = self._write(late.distinct(), "gone")
+            parts = [part, gone, *newer]
+            total = self._rows(parts, both).count()
+            stored = total - gone["rows"]
+            return {"parts": parts, "rows": total, "schema": both.jsonValue()}
+
+        self._commit(build)
+        return stored
+
+    def append(self, rows: DataFrame, base: dict | None = None) -> int:
+        """Add ``rows``, whose ids are not in the state ``base``; returns how many were stored.
+
+        Ids that other writers added since ``base`` are left out. New fields join the schema.
+        """
+        if base is not None:
+            _merged(_schema(base), rows.schema)  # an unfit schema is an error before writing
+        first = self._write(rows)
+        stored = first["rows"]
+
+        def build(current):
+            nonlocal stored
+            stored, part = first["rows"], first
+            if current is None:
+                return {"parts": [part], "rows": stored,
+                        "schema": _nullable(rows.schema).jsonValue()}
+            if not stored:
+                return None
+            schema = _merged(_schema(current), rows.schema)
+            newer = self._newer(base, current)
+            if base is not None and newer:
+                late = self._rows(newer, schema).select(DOC_ID)
+                part = self._write(self._files([first], rows.schema).join(late, DOC_ID, "left_anti")
+                                   .select(rows.columns))
+                stored = part["rows"]
+                if not stored:
+                    return None
+            return {"parts": [*current["parts"], part], "rows": current["rows"] + stored,
+                    "schema": schema.jsonValue()}
+
+        self._commit(build)
+        return stored
+
+    def exchange(self, ids: DataFrame, rows: DataFrame | None = None) -> int:
+        """Remove the documents with the given ids and add ``rows``; returns how many of the ids
+        there were. Stored parts are not touched: the ids are a part of their own, and merging
+        folds them in."""
+        gone = self._write(ids.select(DOC_ID).distinct(), "gone")
+        part = self._write(rows) if rows is not None else None
+        known = self._files([gone], T.StructType([T.StructField(DOC_ID, T.StringType())]))
+        if gone["rows"] <= BROADCAST_IDS:
+            known = F.broadcast(known)
+        there = 0
+
+        def build(current):
+            nonlocal there
+            schema = _schema(current)
+            there = self._read(current).join(known, DOC_ID, "left_semi").count()
+            if part is None:
+                return {**current, "parts": [*current["parts"], gone],
+                        "rows": current["rows"] - there} if there else None
+            return {"parts": [*current["parts"], gone, part],
+                    "rows": current["rows"] - there + part["rows"],
+                    "schema": _merged(schema, rows.schema).jsonValue()}
+
+        self._commit(build)
+        return there
 
     def compact(self) -> int:
-        """Rewrite many appended parts as one."""
-        return self.replace(self.read())
+        """Fold all parts into one; returns the number of documents."""
+        self._fold(lambda parts: parts)
+        return self.written_rows()
+
+    def merge(self, limit: int) -> bool:
+        """Keep the number of parts within ``limit``; readers keep the state they started on.
+
+        The parts after the first, largest one are folded together; when they have grown to half
+        of it, all are. So a document is rewritten a logarithmic number of times.
+        """
+        current = self.current()
+        if current is None or len(current["parts"]) <= limit:
+            return False
+
+        def choose(parts):
+            rest = sum(p["rows"] for p in parts[1:])
+            return parts[1:] if 2 * rest < parts[0]["rows"] and len(parts) > 2 else parts
+
+        return self._fold(choose)
+
+    def _fold(self, choose) -> bool:
+        base = self.current()
+        group = choose(base["parts"])
+        names = [p["name"] for p in group]
+        if len(group) < 2:
+            return False
+        schema = _schema(base)
+        whole = len(group) == len(base["parts"])
+        folded = [self._write(self.laid_out(self._rows(group, schema)))]
+        gone = [p for p in group if p["kind"] == "gone"]
+        if gone and not whole:  # they also remove documents of the parts before
+            ids = self._files(gone, T.StructType([T.StructField(DOC_ID, T.StringType())]))
+            folded.insert(0, self._write(ids.distinct(), "gone"))
+
+        def build(current):
+            have = [p["name"] for p in current["parts"]]
+            at = have.index(names[0]) if names[0] in have else -1
+            if at < 0 or have[at:at + len(names)] != names:
+                return None  # another writer replaced or folded them
+            parts = current["parts"]
+            return {**current, "parts": [*parts[:at], *folded, *parts[at + len(names):]]}
+
+        return self._commit(build) is not None
+
 
-    def _rows_in(self, part: str, schema: T.StructType) -> int:
-        return self.spark.read.schema(schema).parquet(part).count()  # from the file footers
+def _schema(state: dict) -> T.StructType:
+    return T.StructType.fromJson(state["schema"])
 
 
 def _nullable(schema: T.StructType) -> T.StructType:

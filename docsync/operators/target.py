@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docsync import storage
 from docsync.operators.ids import DOC_ID, WRITES, absent, first_per_id, last_per_id
@@ -40,16 +41,11 @@ class Target(Snapshot):
     def ids(self) -> DataFrame:
         return self.read().select(DOC_ID)
 
-    def laid_out(self, docs: DataFrame, small: bool = False) -> DataFrame:
-        """Rows in the order they are stored in; sorted files let scans skip by id range.
-
-        The few files of a small batch are only sorted within.
-        """
+    def laid_out(self, docs: DataFrame) -> DataFrame:
+        """Rows in the order they are stored in; sorted files let scans skip by id range."""
         if not self.sorted_ids:
             return docs
-        if not small:
-            docs = docs.repartitionByRange(DOC_ID)
-        return docs.sortWithinPartitions(DOC_ID)
+        return docs.repartitionByRange(DOC_ID).sortWithinPartitions(DOC_ID)
 
 
 def _as_is(docs: DataFrame, batch: DataFrame | None = None) -> DataFrame:
@@ -118,7 +114,8 @@ def create_if_absent(target: Target, batch: DataFrame, finish=_as_is, order=(),
     A small batch is compared by broadcasting its ids, so the target is not shuffled; a large one
     by a shuffled anti join.  Only new rows go through ``finish``.
     """
-    if not target.exists():
+    base = target.current()
+    if base is None:
         return recreate(target, batch, finish, order, unique)
     with storage.staged(first_per_id(batch, order, unique), target.name) as rows:
         size = _measure(rows)
@@ -130,45 +127,47 @@ def create_if_absent(target: Target, batch: DataFrame, finish=_as_is, order=(),
         if small is not None:
             existing = existing.join(small, DOC_ID, "left_semi")
         fresh = finish(absent(known, existing), known).drop(WRITES)
-        created = target.append(target.laid_out(fresh, small is not None))
+        created = target.append(target.laid_out(fresh), base)
     return Counts(created, size.writes - created, size.rejected)
 
 
 def create_document(target: Target, document: dict) -> Counts:
-    """Insert one document (a dict with its doc_id) if its id is not in the target."""
-    row = target.spark.createDataFrame([Row(**document)])
-    return create_if_absent(target, row)
-
+    """Insert one document (a dict with its doc_id) if its id is not in the target.
 
-def _without(target: Target, ids: DataFrame, size: _Size) -> DataFrame:
-    small = _if_small(target, ids, size)
-    return target.read().join(ids if small is None else small, DOC_ID, "left_anti")
+    Fields the target knows are read by its types; only new ones are inferred, and a new field
+    without a value is left out.
+    """
+    spark = target.spark
+    state = target.current()
+    known = {f["name"]: f for f in state["schema"]["fields"]} if state else {}
+    document = {k: v for k, v in document.items() if k in known or v is not None}
+    fields = [T.StructField.fromJson(known[k]) if k in known else T.StructField(
+        k, spark.createDataFrame([Row(v=v)]).schema["v"].dataType) for k, v in document.items()]
+    row = spark.createDataFrame([tuple(document.values())], T.StructType(fields))
+    if DOC_ID not in row.columns:
+        return Counts(rejected=1)
+    return create_if_absent(target, row.withColumn(DOC_ID, F.col(DOC_ID).cast("string")))
 
 
 def upsert(target: Target, batch: DataFrame, finish=_as_is, order=(),
            unique: bool = False) -> Counts:
-    """Insert or update: the last row of an id replaces what the target holds (new generation)."""
+    """Insert or update: the last row of an id counts instead of what the target holds.
+
+    The new documents and their ids are written; stored documents are only read for their ids.
+    """
     with storage.staged(last_per_id(batch, order, unique), target.name) as rows:
         size = _measure(rows)
         if size.ids == 0 and target.exists():
             return Counts(rejected=size.rejected)
         known = rows.where(F.col(DOC_ID).isNotNull())
-        docs = finish(known, known).drop(WRITES)
+        docs = target.laid_out(finish(known, known).drop(WRITES))
         if not target.exists():
-            created = target.replace(target.laid_out(docs))
-            return Counts(created, size.writes - size.ids, size.rejected)
-        before = target.written_rows()
-        kept = _without(target, known.select(DOC_ID), size)
-        both = kept.unionByName(docs, allowMissingColumns=True)
-        after = target.replace(target.laid_out(both))
-    created = after - before
-    return Counts(created, size.writes - size.ids, size.rejected, size.ids - created)
+            created = target.replace(docs)
+            return Counts(created, size.writes - size.ids, size.rejected, size.ids - created)
+        updated = target.exchange(known.select(DOC_ID), docs)
+    return Counts(size.ids - updated, size.writes - size.ids, size.rejected, updated)
 
 
 def delete(target: Target, keys: DataFrame) -> int:
     """Remove the documents with the given ids; returns how many there were."""
-    ids = keys.select(DOC_ID).where(F.col(DOC_ID).isNotNull()).distinct()
-    with storage.staged(ids.withColumn(WRITES, F.lit(1)), target.name) as rows:
-        before = target.written_rows()
-        kept = _without(target, rows.select(DOC_ID), _measure(rows))
-        return before - target.replace(target.laid_out(kept))
+    return target.exchange(keys.select(DOC_ID).where(F.col(DOC_ID).isNotNull()))

@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from docsync import Specs, SyncSpec, storage
 from docsync.operators import reconcile as rec
 from docsync.operators import target as targets
 from docsync.operators.ids import DOC_ID
-from docsync.operators.snapshot import CURRENT
+from docsync.operators import snapshot
 from docsync.operators.state import RefreshState, latest_state
 from docsync.operators.target import Counts, Target
 from docsync.plans import (Home, delete_once, fix, init, repair_missing, report_frame, run_all,
@@ -110,14 +111,15 @@ def test_readers_keep_their_generation(spark, target):
     reader = target.read()
     targets.recreate(target, docs(spark, ("b", "1")))
     assert [r.doc_id for r in reader.collect()] == ["a"]
-    targets.recreate(target, docs(spark, ("c", "1")))
-    generations = [f for f in storage.folders(spark, target.path) if f.startswith("gen-")]
-    assert len(generations) == 2 and content(target) == {"c": "1"}
+    for i in range(snapshot.KEPT + 3):
+        targets.recreate(target, docs(spark, ("c", str(i))))
+    parts = [f for f in storage.folders(spark, target.path) if f.startswith("part-")]
+    assert len(parts) == snapshot.KEPT and content(target) == {"c": str(snapshot.KEPT + 2)}
 
 
 def test_failed_write_changes_nothing(spark, target):
     targets.create_if_absent(target, docs(spark, ("a", "1")))
-    before = storage.read_text(spark, f"{target.path}/{CURRENT}")
+    before = target.current()
 
     def broken(rows, batch=None):
         return rows.withColumn("v", F.when(F.col("v") == "bad", F.raise_error(F.lit("sink"))
@@ -126,7 +128,7 @@ def test_failed_write_changes_nothing(spark, target):
     batch = docs(spark, ("b", "1"), ("c", "bad"))
     with pytest.raises(Exception, match="sink"):
         targets.create_if_absent(target, batch, broken)
-    assert storage.read_text(spark, f"{target.path}/{CURRENT}") == before
+    assert target.current() == before
     assert targets.create_if_absent(target, batch) == Counts(2, 0, 0)
     assert content(target) == {"a": "1", "b": "1", "c": "bad"}
 
@@ -152,6 +154,103 @@ def test_upsert_and_delete(spark, target, way):
     assert content(target) == {"b": "9", "c": "1"}
 
 
+def between(monkeypatch, target, other):
+    """``other`` runs after the next write of the target, before its commit."""
+    write, pending = Target._write, [other]
+
+    def writing(self, rows, kind="rows"):
+        part = write(self, rows, kind)
+        if pending and self is target:
+            pending.pop()()
+        return part
+
+    monkeypatch.setattr(Target, "_write", writing)
+
+
+@pytest.mark.parametrize("first", ["append", "replace", "upsert", "delete"])
+@pytest.mark.parametrize("second", ["append", "replace", "upsert", "delete", "compact"])
+def test_two_writers(spark, target, monkeypatch, first, second):
+    """Whatever another writer commits in between: nothing is lost or doubled."""
+    targets.create_if_absent(target, docs(spark, ("a", "1"), ("b", "1")))
+    targets.create_if_absent(target, docs(spark, ("c", "1")))
+    other = Target(spark, target.path.rpartition("/")[0], "docs")
+
+    def run(kind, on, mark, *ids):
+        batch = docs(spark, *[(i, mark) for i in ids])
+        if kind == "append":
+            return targets.create_if_absent(on, batch)
+        if kind == "replace":
+            return targets.recreate(on, batch)
+        if kind == "upsert":
+            return targets.upsert(on, batch)
+        return targets.delete(on, batch) if kind == "delete" else on.compact()
+
+    counts = []
+    between(monkeypatch, target, lambda: counts.append(run(second, other, "2", "b", "x", "y")))
+    counts.append(run(first, target, "3", "a", "x", "z"))
+    rows = target.read().collect()
+    ids = sorted(r.doc_id for r in rows)
+    assert len(ids) == len(set(ids)) == target.written_rows()
+    if second in ("append", "replace", "upsert"):
+        gone = {"x"} if first == "delete" else set()
+        assert {"x", "y"} - gone <= set(ids)
+    if first in ("append", "replace", "upsert"):
+        assert {"x", "z"} <= set(ids) or second == "delete"
+    if "delete" not in (first, second) and "replace" not in (first, second):
+        assert {"a", "b", "c"} <= set(ids)
+        assert sum(c.created for c in counts if isinstance(c, Counts)) == len(ids) - 3
+    if second != "compact" and first == second == "append":
+        assert counts[1] == Counts(1, 2, 0)  # "x" became a conflict
+
+
+def test_parallel_writers(spark, target):
+    targets.create_if_absent(target, docs(spark, ("0", "x")))
+
+    def load(k):
+        return targets.create_if_absent(target, docs(spark, *[(str(i), "x")
+                                                             for i in range(k, k + 6)])).created
+    with ThreadPoolExecutor(4) as pool:
+        created = list(pool.map(load, range(1, 13, 3)))
+    assert sorted(content(target)) == sorted(str(i) for i in range(0, 16))
+    assert sum(created) == 15 == target.written_rows() - 1
+
+
+def test_upsert_leaves_stored_parts_alone(spark, target, plan):
+    targets.recreate(target, docs(spark, *[(str(i), "x") for i in range(200)]))
+    before = target.current()["parts"]
+    assert targets.upsert(target, docs(spark, ("7", "new"))) == Counts(0, 0, 0, 1)
+    after = target.current()["parts"]
+    assert after[:1] == before and [p["rows"] for p in after] == [200, 1, 1]
+    assert content(target)["7"] == "new" and target.count() == 200
+    assert "Exchange hashpartitioning" not in plan(target.read())
+
+
+def test_merging_many_small_parts(spark, target, monkeypatch):
+    monkeypatch.setattr(snapshot, "KEPT", 3)
+    targets.recreate(target, docs(spark, *[(f"base{i}", "x") for i in range(40)]))
+    expected = {f"base{i}": "x" for i in range(40)}
+    for i in range(25):
+        ids = [(f"n{i}", "n"), (f"base{i % 7}", str(i))]
+        targets.upsert(target, docs(spark, *ids))
+        expected.update(ids)
+        reader = target.read()
+        target.merge(5)
+        assert len(target.current()["parts"]) <= 5
+        assert reader.count() == len(expected)
+    assert content(target) == expected and target.written_rows() == len(expected)
+    assert len(storage.folders(spark, target.path)) < 30
+
+
+def test_one_document_of_stored_types(spark, target):
+    first = spark.createDataFrame([("a", 1, "x", None)], "doc_id string, n int, v string, d date")
+    targets.create_if_absent(target, first)
+    assert targets.create_document(target, {"doc_id": "b", "n": 2, "v": None}) == Counts(1)
+    assert targets.create_document(target, {"doc_id": "c", "n": None, "w": 1.5, "u": None}) == Counts(1)
+    assert targets.create_document(target, {"doc_id": None, "n": 2}) == Counts(0, 0, 1)
+    assert sorted((r.doc_id, r.n, r.w) for r in target.read().collect()) == [
+        ("a", 1, None), ("b", 2, None), ("c", None, 1.5)]
+
+
 def test_nothing_staged_is_left(spark, target):
     before = storage.folders(spark, storage.work_dir(spark))
     targets.create_if_absent(target, docs(spark, ("a", "1")))
