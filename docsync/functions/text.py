@@ -45,9 +45,13 @@ def typed_value(df: DataFrame, string: str, date: str, number: str) -> Column:
     return F.coalesce(F.col(string), iso_date(F.col(date)), column_text(df, number))
 
 
-def doc_id(columns, separator: str = "-") -> Column:
-    """Id text: the columns joined by the separator, null as soon as one of them is null."""
-    parts = [F.col(f"`{c}`").cast("string") for c in columns]
+def doc_id(df: DataFrame, columns, separator: str = "-") -> Column:
+    """Id text: the columns joined by the separator, null as soon as one of them is null.
+
+    Decimals are written as in join keys, so a NUMBER that a driver reads with ten decimals has
+    the id 1, not 1.0000000000.
+    """
+    parts = [column_text(df, c) for c in columns]
     if len(parts) == 1:
         return parts[0]
     joined = parts[0]
@@ -56,8 +60,13 @@ def doc_id(columns, separator: str = "-") -> Column:
     return joined
 
 
+def pattern_tokens(c: Column, pattern: str) -> Column:
+    """What lies between the matches of a pattern; empty tokens do not count."""
+    return F.filter(F.split(c, pattern), lambda token: token != "")
+
+
 def comma_tokens(c: Column) -> Column:
-    return F.filter(F.split(c, ","), lambda token: token != "")
+    return pattern_tokens(c, ",")
 
 
 def pair_text(key: Column, value: Column) -> Column:

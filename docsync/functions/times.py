@@ -8,11 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The text formats documents use.
-STRICT_DATE_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-SECOND_DATE_TIME = "yyyy-MM-dd'T'HH:mm:ss'.000Z'"
-ISO_DATE = "yyyy-MM-dd"
-
 
 def as_utc(value: datetime | str) -> datetime:
     """The naive UTC datetime of a datetime (naive = UTC) or ISO text."""
@@ -45,15 +40,33 @@ def time_literal(value: datetime | str, data_type: T.DataType | str = "timestamp
     return F.expr(sql_time(value, data_type))
 
 
+def utc_text(c) -> Column:
+    """``yyyy-MM-dd HH:mm:ss[.ffffff]`` in UTC, whatever the time zone of the session.
+
+    An instant is counted from the epoch; times without a zone, dates and text are taken as they
+    are. ``date_format`` would write instants in the session's zone.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    micros = F.unix_micros(c.cast("timestamp"))
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    counted = F.timestamp_add("MICROSECOND", micros, epoch)
+    naive = F.when(F.typeof(c) == "timestamp", counted).otherwise(c.cast("timestamp_ntz"))
+    return naive.cast("string")
+
+
 def strict_date_time(c) -> Column:
     """Milliseconds, 24-hour clock."""
-    return F.date_format(c, STRICT_DATE_TIME)
+    text = utc_text(c)
+    millis = F.rpad(F.substring(text, 21, 3), 3, "0")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."),
+                    millis, F.lit("Z"))
 
 
 def second_date_time(c) -> Column:
     """As strict_date_time, with the milliseconds written as .000."""
-    return F.date_format(c, SECOND_DATE_TIME)
+    text = utc_text(c)
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit(".000Z"))
 
 
 def iso_date(c) -> Column:
-    return F.date_format(c, ISO_DATE)
+    return F.substring(utc_text(c), 1, 10)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsync.functions.text import column_text, comma_tokens
-from docsync.functions.times import strict_date_time
+from docsync.functions.text import column_text, pattern_tokens
+from docsync.functions.times import iso_date, strict_date_time, utc_text
 from docsync.operators.enrich import CUSTOM_MAP
 from docsync.operators.ids import DOC_ID, WRITES
 
@@ -19,34 +21,94 @@ BULK_SIZE = 12000
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
+# Field types by the Spark type of their values, and types whose values stay as
+# they are for the store to read.
+_CASTS = {"long": "bigint", "integer": "int", "short": "smallint", "byte": "tinyint",
+          "unsigned_long": "decimal(20,0)", "double": "double", "float": "float",
+          "half_float": "float", "boolean": "boolean"}
+_TEXTS = ("text", "keyword", "constant_keyword", "wildcard", "match_only_text")
+_AS_IS = ("object", "nested", "flattened", "ip", "geo_point", "geo_shape", "binary", "alias",
+          "completion", "scaled_float", "version")
+# Named date formats.
+_DATES = {"strict_date_time": strict_date_time, "date_time": strict_date_time,
+          "strict_date_optional_time": strict_date_time, "date_optional_time": strict_date_time,
+          "strict_date": iso_date, "date": iso_date, "yyyy-MM-dd": iso_date,
+          "epoch_millis": lambda c: F.unix_millis(c.cast("timestamp")),
+          "epoch_second": lambda c: F.unix_seconds(c.cast("timestamp"))}
+_PATTERN = re.compile(r"[yMdHmsS'TZ:./ -]+")
+
+
 def parse_mapping(text: str) -> dict:
     """The field declarations of a mapping text."""
     return json.loads(text).get("properties", {})
 
 
-def apply_mapping(docs: DataFrame, mapping, tokenize: bool = True) -> DataFrame:
+def parse_analyzers(text: str) -> dict[str, str]:
+    """Analyzer names with the pattern of their tokenizer, from a settings text.
+
+    Analyzers with another kind of tokenizer are left to the store.
+    """
+    settings = json.loads(text)
+    settings = settings.get("settings", settings)
+    analysis = settings.get("analysis") or settings.get("index", {}).get("analysis") or {}
+    tokenizers, found = analysis.get("tokenizer", {}), {}
+    for name, analyzer in analysis.get("analyzer", {}).items():
+        tokenizer = tokenizers.get(analyzer.get("tokenizer"), {})
+        if tokenizer.get("type") == "pattern" and int(tokenizer.get("group", -1)) == -1:
+            flags = "(?i)" * ("CASE_INSENSITIVE" in tokenizer.get("flags", ""))
+            found[name] = flags + tokenizer.get("pattern", r"\W+")
+        elif analyzer.get("type") == "pattern":
+            found[name] = analyzer.get("pattern", r"\W+")
+    return found
+
+
+def _strict_cast(c: Column, name: str, kind: str) -> Column:
+    """A cast that fails on a value that does not fit, also without ANSI mode."""
+    fit = c.try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"field {name} is declared {kind}, got: "), c.cast("string")))
+    return F.when(c.isNotNull() & fit.isNull(), bad.cast(kind)).otherwise(fit)
+
+
+def _date(c: Column, f: T.StructField, name: str) -> Column:
+    """Dates as declared. Text is taken to be in the declared format already."""
+    form = name.split("||")[0].strip()
+    if form not in _DATES and not (_PATTERN.fullmatch(form) and "y" in form):
+        raise ValueError(f"field {f.name}: unknown date format {form}")
+    if not isinstance(f.dataType, _TIMES):
+        return c
+    if form in _DATES:
+        if form.startswith("epoch") and not isinstance(f.dataType, T.TimestampType):
+            c = F.to_timestamp_ltz(F.concat(utc_text(c), F.lit("+00:00")))
+        return _DATES[form](c)
+    return F.date_format(utc_text(c).cast("timestamp_ntz"), form)
+
+
+def apply_mapping(docs: DataFrame, mapping, tokenize: bool = True,
+                  analyzers: Mapping[str, str] | None = None, fields=None) -> DataFrame:
     """Cast the declared fields; undeclared ones stay, declared but missing ones are skipped.
 
-    text becomes a string, date becomes strict_date_time text (text stays as it is), and a text
-    field with an analyzer becomes its comma tokens unless ``tokenize`` is off.
+    Text and keyword become strings; numbers and booleans are cast, and a value that does not fit
+    is an error; dates become text (or a count) in the first declared format. A text field whose
+    analyzer is among ``analyzers`` (name, pattern between tokens) becomes its tokens unless
+    ``tokenize`` is off; with any other analyzer it stays whole. Objects, addresses and the like
+    stay as they are. ``fields`` restricts the work to some columns.
     """
-    fields = mapping.get("properties", mapping)
-    declared = {name.lower(): rule for name, rule in fields.items()}
+    declared = {name.lower(): rule for name, rule in mapping.get("properties", mapping).items()}
     out = []
     for f in docs.schema.fields:
         c, rule = F.col(f"`{f.name}`"), declared.get(f.name)
-        if rule is not None and f.name != WRITES:
-            kind = rule.get("type")
-            if kind == "text":
+        if rule is not None and f.name != WRITES and (fields is None or f.name in fields):
+            kind = rule.get("type", "object")
+            if kind in _TEXTS:
                 c = column_text(docs, f.name)
-                if rule.get("analyzer") and tokenize:
-                    c = comma_tokens(c)
+                pattern = (analyzers or {}).get(rule.get("analyzer"))
+                if pattern is not None and tokenize:
+                    c = pattern_tokens(c, pattern)
             elif kind == "date":
-                if rule.get("format", "strict_date_time") != "strict_date_time":
-                    raise ValueError(f"field {f.name}: unknown date format {rule['format']}")
-                if isinstance(f.dataType, _TIMES):
-                    c = strict_date_time(c)
-            else:
+                c = _date(c, f, rule.get("format", "strict_date_time"))
+            elif kind in _CASTS:
+                c = _strict_cast(c, f.name, _CASTS[kind])
+            elif kind not in _AS_IS:
                 raise ValueError(f"field {f.name}: unknown type {kind}")
         out.append(c.alias(f.name))
     return docs.select(*out)

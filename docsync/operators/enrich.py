@@ -49,12 +49,13 @@ def batch_rows(ext: DataFrame, docs: DataFrame, extension_column: str) -> DataFr
     """
     ext = _lower(ext)
     parent = ext.schema.fields[0]
-    ids = docs.select(column_text(docs, extension_column).alias("_id")).where("_id IS NOT NULL")
-    few = [r["_id"] for r in ids.distinct().limit(PUSH_IDS + 1).collect()]
+    doc_key, ext_key = join_keys(docs, extension_column, ext, parent.name)
+    ids = docs.select(doc_key.alias("_id")).where("_id IS NOT NULL").distinct()
+    few = [r["_id"] for r in ids.limit(PUSH_IDS + 1).collect()]
     if len(few) <= PUSH_IDS:
         typed = [F.lit(i).try_cast(parent.dataType) for i in few]
         return ext.where(F.col(f"`{parent.name}`").isin(typed))
-    return ext.join(ids, column_text(ext, parent.name) == ids["_id"], "left_semi")
+    return ext.join(ids, ext_key == ids["_id"], "left_semi")
 
 
 def extension_ids(docs: DataFrame, extension_column: str) -> DataFrame:
@@ -63,9 +64,25 @@ def extension_ids(docs: DataFrame, extension_column: str) -> DataFrame:
 
 
 def _attach(docs: DataFrame, key: Column, grouped: DataFrame) -> DataFrame:
-    """Left join: every document stays, null ids match nothing."""
-    grouped = grouped.withColumnRenamed("parent_id", "_parent_id")
-    return docs.join(grouped, key == F.col("_parent_id"), "left").drop("_parent_id")
+    """Left join: every document stays, null ids match nothing.
+
+    A field of the documents with the name of an attached one is replaced where there is an
+    attached value, and kept elsewhere.
+    """
+    names = [c for c in grouped.columns if c != "parent_id"]
+    grouped = grouped.select(F.col("parent_id").alias("_ext_parent"),
+                             *[F.col(c).alias(f"_ext_{c}") for c in names])
+    joined = docs.join(grouped, key == F.col("_ext_parent"), "left")
+    out = []
+    for c in docs.columns:
+        own = F.col(f"`{c}`")
+        if c in names:
+            kind = grouped.schema[f"_ext_{c}"].dataType
+            same = docs.schema[c].dataType == kind
+            own = F.coalesce(F.col(f"_ext_{c}"), own if same else (
+                own.cast("string") if kind.simpleString() == "string" else F.lit(None)))
+        out.append(own.alias(c))
+    return joined.select(*out, *[F.col(f"_ext_{c}").alias(c) for c in names if c not in docs.columns])
 
 
 def _latest(rows: DataFrame) -> DataFrame:
@@ -89,9 +106,9 @@ def flatten(docs: DataFrame, ext: DataFrame, extension_column: str, keys=None, o
     keys = [k.lower() for k in keys if k.lower() not in protected]
     rows = rows.where(F.col("item.key").isin(*keys))
     if len(keys) > WIDE_KEYS:
-        grouped = _latest(rows)
-        custom = {k: F.try_element_at(CUSTOM_MAP, F.lit(k)) for k in keys}
-        present = {k: F.map_contains_key(CUSTOM_MAP, k) for k in keys}
+        grouped = _latest(rows).withColumnRenamed(CUSTOM_MAP, "_custom_map")
+        custom = {k: F.try_element_at("_custom_map", F.lit(k)) for k in keys}
+        present = {k: F.coalesce(F.map_contains_key("_custom_map", k), F.lit(False)) for k in keys}
     else:
         grouped = rows.groupBy("parent_id").agg(*[
             F.max(F.when(F.col("item.key") == k, F.col("item"))).alias(f"_c{i}")

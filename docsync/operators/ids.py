@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsync.functions.text import doc_id, is_whole
+from docsync.functions.text import column_text, doc_id, is_whole
 
 DOC_ID = "doc_id"
 # Number of source rows behind one document of a load
@@ -24,7 +24,7 @@ def with_doc_id(rows: DataFrame, id_columns, separator: str = "-") -> DataFrame:
     if DOC_ID in rows.columns and id_columns != [DOC_ID]:
         raise ValueError(f"the source already has a column {DOC_ID}; rename it")
     rest = [F.col(f"`{c}`") for c in rows.columns if c != DOC_ID]
-    return rows.select(doc_id(id_columns, separator).alias(DOC_ID), *rest)
+    return rows.select(doc_id(rows, id_columns, separator).alias(DOC_ID), *rest)
 
 
 def rejected(docs: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def _one_per_id(docs: DataFrame, order, pick, pick_by, by: str | None) -> DataFr
         out[by] = F.col(f"`{by}`")
     return (docs.groupBy(F.col(f"`{group}`"))
             .agg(row.alias("_row"), F.count(F.lit(1)).alias(WRITES))
-            .select(F.col(f"`{group}`").cast("string").alias(DOC_ID),
+            .select(column_text(docs, group).alias(DOC_ID),
                     *[out[c] for c in docs.columns if c != DOC_ID], WRITES))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docsync.functions.times import as_utc, utc_now, window_start
 from docsync.operators import target as targets
 from docsync.operators.document import apply_mapping
-from docsync.operators.enrich import batch_rows, enrich, extension_ids
+from docsync.operators.enrich import batch_rows, enrich
 from docsync.operators.ids import absent, native_id, with_doc_id
 from docsync.operators.state import RefreshState
 from docsync.operators.target import Counts, Target
@@ -68,14 +68,16 @@ def documents(rows: DataFrame, spec: SyncSpec) -> DataFrame:
 def complete(spark: SparkSession, spec: SyncSpec, docs: DataFrame,
              batch: DataFrame | None = None) -> DataFrame:
     """Enrichment and mapping.  With a batch, only its extension rows are grouped."""
-    ext = None
-    if spec.extension_column is not None:
-        ids = extension_ids(docs if batch is None else batch, spec.extension_column)
-        ext = sql.extension_rows(spark, spec, ids)
-        if ext is not None and batch is not None:
-            ext = batch_rows(ext, batch, spec.extension_column)
-    docs = enrich(docs, ext, spec)
-    return apply_mapping(docs, spec.mapping) if spec.mapping else docs
+    ext = sql.extension_rows(spark, spec)
+    if ext is not None and batch is not None:
+        ext = batch_rows(ext, batch, spec.extension_column)
+    if not spec.mapping:
+        return enrich(docs, ext, spec)
+    if ext is not None and spec.fields_mode == "flatten" and spec.ext_keys:
+        # A custom field may take the place of one: the own values of the other documents are
+        # written as declared before they become text.
+        docs = apply_mapping(docs, spec.mapping, False, fields=spec.ext_keys)
+    return apply_mapping(enrich(docs, ext, spec), spec.mapping, analyzers=spec.analyzers)
 
 
 def _finish(spark: SparkSession, spec: SyncSpec):
@@ -121,6 +123,7 @@ def sync_once(spark: SparkSession, home: Home, spec: SyncSpec, now=None) -> Repo
     batch = documents(sql.window(spark, spec, lo, now), spec)
     counts = _write(spark, home, spec, batch)
     home.state.save(spec.name, now)
+    home.target(spec).merge(spec.max_parts)
     return Report(spec.name, "sync", lo=lo, hi=now, counts=counts)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from docsync.operators.document import parse_mapping
+from docsync.operators.document import parse_analyzers, parse_mapping
 from docsync.spec import Specs, SyncSpec
 
 
@@ -27,18 +27,19 @@ def load_spec(folder: str | Path, **overrides) -> SyncSpec:
 
     ``sql/init.sql``, ``sync.sql``, ``extension.sql`` and ``delete.sql`` hold the SQL, of which
     only init is required; ``sql/sql.properties`` has ``id_columns`` and ``extension_column``;
-    ``mapping.json`` declares fields.  Keyword arguments set the other fields of the spec.
+    ``mapping.json`` declares fields, ``settings.json`` analyzers.  Keyword arguments set the other fields of the spec.
     """
     folder = Path(folder)
     sql = folder / "sql"
     properties = _properties(_text(sql / "sql.properties"))
-    mapping = _text(folder / "mapping.json")
+    mapping, settings = _text(folder / "mapping.json"), _text(folder / "settings.json")
     parts = {
         "name": folder.name, "init_sql": _text(sql / "init.sql"),
         "sync_sql": _text(sql / "sync.sql"), "ext_sql": _text(sql / "extension.sql"),
         "delete_sql": _text(sql / "delete.sql"), "id_columns": properties.get("id_columns", ""),
         "extension_column": properties.get("extension_column"),
         "mapping": parse_mapping(mapping) if mapping else None,
+        "analyzers": parse_analyzers(settings) if settings else {},
     }
     return SyncSpec(**(parts | overrides))
 

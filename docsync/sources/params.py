@@ -11,6 +11,22 @@ def count(sql: str) -> int:
     return sum(1 for m in _SKIP_OR_MARK.finditer(sql) if m.group(1))
 
 
+_ID_LIST = re.compile(_SKIP_OR_MARK.pattern.replace(
+    r"(\?)", r"(?P<no>\bnot\s+)?\bin\s*\(\s*(?P<mark>\?)\s*\)"), re.S | re.I)
+
+
+def without_id_list(sql: str) -> str:
+    """``<expr> in (?)`` becomes ``<expr> is not null``: the rows are then chosen around the text,
+    by a filter that the scan or the database evaluates."""
+    def put(m):
+        if not m["mark"]:
+            return m[0]
+        if m["no"]:
+            raise ValueError("an id list cannot be negated")
+        return "is not null"
+    return _ID_LIST.sub(put, sql)
+
+
 def fill(sql: str, texts) -> str:
     """Replace the placeholders, in order, by the given SQL texts."""
     texts = list(texts)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docsync.functions.text import join_keys
 from docsync.functions.times import time_literal
 from docsync.sources import params
 from docsync.sources.changes import changed_between
@@ -85,10 +85,12 @@ def _check_columns(spec: SyncSpec, rows: DataFrame, names) -> None:
 
 
 def extension_rows(spark: SparkSession, spec: SyncSpec, ids: DataFrame | None = None):
-    """The (parent id, key, value) rows of a spec, or None for a spec without extension.
+    """The (parent id, key, value) rows of a spec, or None for a spec without extension; with
+    ``ids`` (one column) those of the ids.
 
-    An ``in (?)`` in the SQL becomes a subquery over ``ids`` (one column), which Spark plans as a
-    semi join, so ids never pass through the driver or the SQL text.
+    An ``in (?)`` in the SQL stands for the ids of a batch. It is taken out of the text, so that a
+    full load, which needs all rows, does not read the source again for its ids; a batch puts its
+    ids around the text (``enrich.batch_rows``). Ids never become part of the SQL.
     """
     if spec.extension_column is None:
         return None
@@ -96,18 +98,11 @@ def extension_rows(spark: SparkSession, spec: SyncSpec, ids: DataFrame | None =
         return spec.ext_source(spark)
     if spec.ext_sql is None:
         return None
-    marks = params.count(spec.ext_sql)
-    if marks == 0:
-        return _run(spark, spec, spec.ext_sql, [])
-    if spec.jdbc is not None:
-        raise ValueError(f"{spec.name}: leave the id list out of ext_sql when it runs over JDBC; "
-                         "the rows are joined in Spark")
+    text = params.without_id_list(spec.ext_sql)
+    if params.count(text):
+        raise ValueError(f"{spec.name}: ext_sql may have a ? only as an id list, in (?)")
+    rows = _run(spark, spec, text, [])
     if ids is None:
-        raise ValueError(f"{spec.name}: ext_sql has a ? but no ids were given")
-    view = f"docsync_ids_{uuid.uuid4().hex}"
-    ids.createOrReplaceTempView(view)
-    try:
-        picked = f"SELECT `{ids.columns[0]}` FROM {view}"
-        return spark.sql(params.fill(spec.ext_sql, [picked] * marks))
-    finally:
-        spark.catalog.dropTempView(view)
+        return rows
+    wanted, parent = join_keys(ids, ids.columns[0], rows, rows.columns[0])
+    return rows.join(ids.select(wanted.alias("_wanted")), parent == F.col("_wanted"), "left_semi")

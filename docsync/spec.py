@@ -48,6 +48,8 @@ class SyncSpec:
     ext_keys: tuple[str, ...] | None = None
     ext_repeat: int = 1
     mapping: Mapping | None = None
+    # Pattern between tokens by analyzer name; text with another analyzer stays whole
+    analyzers: Mapping[str, str] = field(default_factory=dict)
     fields_mode: str = "custom_in_one"
     op: str = "create"
     lookback: timedelta = timedelta(seconds=1)
@@ -59,6 +61,8 @@ class SyncSpec:
     # Store documents sorted by id, so that windows whose ids lie close together (rising numbers,
     # time-ordered ids) read little of a large target.  Costs a shuffle in the full load
     sorted_ids: bool = False
+    # Parts of a target beyond which sync folds the small ones together
+    max_parts: int = 16
     # Type that ``?`` is bound as; timestamp_ntz matches parquet files without a time zone
     time_type: str = "timestamp"
     # Connection options; when set, SQL text runs in that database, in its own dialect

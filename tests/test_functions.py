@@ -56,12 +56,18 @@ def test_typed_value_takes_the_first_variant(spark):
 
 def test_doc_id(spark):
     df = spark.createDataFrame([("1-2", "3"), ("1", "2-3"), (None, "5")], "a string, b string")
-    assert [r[0] for r in df.select(text.doc_id(("a", "b"))).collect()] == ["1-2-3", "1-2-3", None]
-    assert df.select(text.doc_id(("a", "b"), "|")).first()[0] == "1-2|3"
-    assert df.select(text.doc_id(("b",))).first()[0] == "3"
+    assert [r[0] for r in df.select(text.doc_id(df, ("a", "b"))).collect()] == ["1-2-3", "1-2-3", None]
+    assert df.select(text.doc_id(df, ("a", "b"), "|")).first()[0] == "1-2|3"
+    assert df.select(text.doc_id(df, ("b",))).first()[0] == "3"
 
 
 def test_null_value_is_written_as_a_word(spark):
     df = spark.createDataFrame([("k", None), ("k", "v")], "k string, v string")
     got = [r[0] for r in df.select(text.pair_text(F.col("k"), F.col("v"))).collect()]
     assert got == ["k null ", "k v "]
+
+
+def test_decimal_ids_are_written_as_their_join_keys(spark):
+    df = spark.sql("SELECT CAST(1 AS DECIMAL(38, 10)) AS a, CAST(1.50 AS DECIMAL(18, 2)) AS b, 7 AS c")
+    assert df.select(text.doc_id(df, ("a", "b", "c"))).first()[0] == "1-1.5-7"
+    assert df.select(text.doc_id(df, ("a",))).first()[0] == "1"

@@ -9,7 +9,7 @@ from docsync.operators import enrich as en
 from docsync.operators import ids
 from docsync.operators import relational as rel
 from docsync.operators.concat import ordered_concat
-from docsync.operators.document import apply_mapping, export_bulk, parse_mapping, to_ndjson
+from docsync.operators.document import apply_mapping, export_bulk, parse_analyzers, parse_mapping, to_ndjson
 from docsync.operators.ids import DOC_ID, WRITES
 
 LO, HI = "2024-01-01", "2024-01-02"
@@ -201,6 +201,19 @@ def test_custom_in_one(projects, ext):
         "label_11 value 11 " * 3 + "label_12 value 12 " * 3)
 
 
+def test_names_that_clash(spark, projects, ext):
+    """A source column named like an attached one: the custom value where there is one."""
+    own = projects.withColumns({"custom_fields": F.lit("own"), "custom": F.lit("own")})
+    got = en.custom_in_one(own, ext, "pid")
+    plain = {r.doc_id: r.custom_fields for r in en.custom_in_one(projects, ext, "pid").collect()}
+    assert got.columns == own.columns
+    assert {r.doc_id: r.custom_fields for r in got.collect()} == {
+        k: v or "own" for k, v in plain.items()}
+    assert en.flatten(own, ext, "pid").columns == own.columns
+    wide = en.flatten(own, ext, "pid", [f"k{i}" for i in range(en.WIDE_KEYS + 1)])
+    assert {r.custom for r in wide.collect()} == {"own"}
+
+
 def test_all_in_one(projects, ext):
     out = en.all_in_one(en.custom_in_one(projects, ext, "pid", ("seq",)))
     assert {r.doc_id: r.all_fields for r in out.collect()}["2"] == "pid 2 name p2 a x a y k null "
@@ -289,16 +302,54 @@ MAPPING = parse_mapping("""{"properties": {"pid": {"type": "text"}, "absent": {"
 def test_mapping(spark):
     df = spark.sql("SELECT '1' AS doc_id, 1 AS pid, ',2,,3' AS user_ids, 'n' AS name, "
                    "TIMESTAMP_NTZ '2024-03-01 13:05:06.789123' AS at")
-    out = apply_mapping(df, MAPPING)
+    out = apply_mapping(df, MAPPING, analyzers={"comma": ","})
     assert tuple(out.first()) == ("1", "1", ["2", "3"], "n", "2024-03-01T13:05:06.789Z")
-    assert apply_mapping(df, MAPPING, tokenize=False).first().user_ids == ",2,,3"
+    assert apply_mapping(df, MAPPING, False, {"comma": ","}).first().user_ids == ",2,,3"
+    assert apply_mapping(df, MAPPING, analyzers={"other": ","}).first().user_ids == ",2,,3"
     text = apply_mapping(df.withColumn("at", F.lit("as it is")), MAPPING)
     assert text.first()["at"] == "as it is"
-    for bad in ({"pid": {"type": "nested"}}, {"at": {"type": "date", "format": "epoch"}}):
+    for bad in ({"pid": {"type": "colour"}}, {"at": {"type": "date", "format": "epoch"}}):
         with pytest.raises(ValueError):
             apply_mapping(df, bad)
 
 
+def test_mapping_of_numbers_and_dates(spark):
+    df = spark.sql("""SELECT '7' AS i, '12' AS l, 1.5D AS d, 'true' AS b, 3 AS k, named_struct('a', 1) AS o,
+        TIMESTAMP '2024-03-01 13:05:06.789Z' AS t, TIMESTAMP_NTZ '2024-03-01 13:05:06.789' AS u,
+        DATE '2024-03-01' AS v, TIMESTAMP '2024-03-01 13:05:06Z' AS w""")
+    mapping = {"i": {"type": "integer"}, "l": {"type": "long"}, "d": {"type": "float"},
+               "b": {"type": "boolean"}, "k": {"type": "keyword"}, "o": {"type": "object"},
+               "t": {"type": "date", "format": "epoch_millis"},
+               "u": {"type": "date", "format": "epoch_second||yyyy"},
+               "v": {"type": "date", "format": "yyyy-MM-dd"},
+               "w": {"type": "date", "format": "yyyy/MM/dd HH:mm"}}
+    out = apply_mapping(df, mapping)
+    assert [f.dataType.simpleString() for f in out.schema] == [
+        "int", "bigint", "float", "boolean", "string", "struct<a:int>", "bigint", "bigint",
+        "string", "string"]
+    assert tuple(out.first()) == (7, 12, 1.5, True, "3", (1,), 1709298306789, 1709298306,
+                                  "2024-03-01", "2024/03/01 13:05")
+    nulls = apply_mapping(df.withColumn("i", F.lit(None).cast("string")), mapping)
+    assert nulls.first().i is None
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="declared int, got: x7"):
+                apply_mapping(df.withColumn("i", F.lit("x7")), mapping).collect()
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_analyzers_of_a_settings_text():
+    text = """{"settings": {"index": {"number_of_shards": 5}, "analysis": {
+        "analyzer": {"a": {"type": "custom", "tokenizer": "comma"}, "b": {"tokenizer": "standard"},
+                     "c": {"type": "pattern", "pattern": ";+"}, "d": {"tokenizer": "case"}},
+        "tokenizer": {"comma": {"type": "pattern", "pattern": ",", "group": -1},
+                      "case": {"type": "pattern", "pattern": "x", "flags": "CASE_INSENSITIVE"}}}}}"""
+    assert parse_analyzers(text) == {"a": ",", "c": ";+", "d": "(?i)x"}
+    assert parse_analyzers("{}") == {}
+
+
 def test_ndjson(spark):
     df = spark.sql("SELECT 'a\"b' AS doc_id, 1 AS n, CAST(null AS STRING) AS t")
     action, body = to_ndjson(df, "ix").first().value.split("\n")

@@ -110,8 +110,30 @@ def test_extension_ids_become_a_semi_join(spark, projects):
     assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("docsync_ids")]
     assert extension_rows(spark, projects) is None
-    with pytest.raises(ValueError):
+    assert extension_rows(spark, spec).count() == spark.table("src_ext").where(
+        "pid IS NOT NULL").count()
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("SELECT a, b, c FROM e WHERE a in (?)", "SELECT a, b, c FROM e WHERE a is not null"),
+    ("select x.a, b, c from e x\nwhere x.a IN ( ? ) and b <> 'in (?)' order by 1",
+     "select x.a, b, c from e x\nwhere x.a is not null and b <> 'in (?)' order by 1"),
+    ("select 1 -- in (?)\n from e where min(a) in(?)", "select 1 -- in (?)\n from e where min(a) is not null"),
+    ("select a from e", "select a from e"), ("select a from e where a > ?", None),
+    ("select a from e where a not in (?)", None)])
+def test_id_list_is_taken_out_of_the_text(spark, monkeypatch, text, expected):
+    """As text only: no database is used."""
+    seen = []
+    monkeypatch.setattr("docsync.sources.sql.jdbc_query", lambda s, options, sql, times, split:
+                        seen.append(sql))
+    spec = SyncSpec(name="p", id_columns="id", init_sql="x", jdbc={"url": "jdbc:x"},
+                    extension_column="id", ext_sql=text)
+    if expected is None:
+        with pytest.raises(ValueError):
+            extension_rows(spark, spec)
+    else:
         extension_rows(spark, spec)
+        assert seen == [expected]
 
 
 def test_specs():
@@ -196,5 +218,5 @@ def test_jdbc_spec_runs_its_sql_in_the_database(monkeypatch, spark):
                     ext_sql="select a, b, c from e where a in (?)")
     full(spark, spec, NOW)
     assert seen == [({"url": "jdbc:x"}, spec.init_sql, [NOW], {"column": "id"})]
-    with pytest.raises(ValueError, match="id list"):
-        extension_rows(spark, spec, spark.range(1))
+    extension_rows(spark, spec)
+    assert seen[1][1:] == ("select a, b, c from e where a is not null", [], {"column": "id"})

@@ -71,6 +71,22 @@ _FANOUT = f"""fanout AS (
   WHERE class_id = 1000000 AND current_record = 1 GROUP BY object_id)"""
 
 
+_GAPS = """gaps AS (
+  SELECT CASE WHEN pid % 5 <> 0 THEN pid END AS pid, CASE WHEN pid % 3 <> 0 THEN cust END AS cust,
+    prio, create_date, mod_date FROM proj)"""
+
+
+def _gap_report(flow: str, lo: str | None, hi: str) -> str:
+    """A window reads from one second before the last; rows of that second are conflicts."""
+    start = f"{CHANGE} > {_ts(lo)} - INTERVAL 1 SECOND AND" if lo else ""
+    again = f"{CHANGE} < {_ts(lo)}" if lo else "false"
+    return f"""SELECT '{flow}' AS flow, strftime({_ts(hi)}, '%Y-%m-%dT%H:%M:%S.%gZ') AS hi,
+  count(*) FILTER (pid IS NOT NULL AND NOT ({again})) AS created,
+  count(*) FILTER (pid IS NOT NULL AND {again}) AS conflicts,
+  count(*) FILTER (pid IS NULL) AS rejected
+FROM gaps WHERE {start} {CHANGE} < {_ts(hi)}"""
+
+
 _LINE_ATTRIBUTES = """attributes AS (
   SELECT l_orderkey, 'line_' || l_linenumber AS key,
     CASE l_linenumber % 3 WHEN 0 THEN l_returnflag WHEN 1 THEN strftime(l_shipdate, '%Y-%m-%d')
@@ -226,4 +242,29 @@ WHERE {CHANGE} IS NOT NULL""",
 SELECT {_PROJ_DOC}, line_1, line_2, line_3, line_4, line_5, line_6, line_7 FROM proj LEFT JOIN (
   SELECT l_orderkey, {_LINE_FIELDS} FROM attributes GROUP BY l_orderkey) a ON l_orderkey = pid
 WHERE {CHANGE} < {_ts(T3)}""",
+    "q33_rows_without_ids": f"""WITH {PROJ_SQL}, {_GAPS}
+{_gap_report('init', None, T0)} UNION ALL {_gap_report('sync', T0, T1)}
+UNION ALL {_gap_report('sync', T1, T3)}""",
+    "q34_null_extension_ids": f"""WITH {PROJ_SQL}, {_GAPS}, {_LATEST}
+SELECT CAST(pid AS VARCHAR) AS doc_id, pid, cust, prio, {_text('create_date')},
+  {_text('mod_date')}, max(value) FILTER (WHERE key = 'click') AS click,
+  max(value) FILTER (WHERE key = 'view') AS view,
+  max(value) FILTER (WHERE key = 'purchase') AS purchase,
+  max(value) FILTER (WHERE key = 'signup') AS signup,
+  max(value) FILTER (WHERE key = 'error') AS error
+FROM gaps LEFT JOIN latest ON user_id = cust
+WHERE pid IS NOT NULL AND {CHANGE} < {_ts(T3)} GROUP BY pid, cust, prio, create_date, mod_date""",
+    "q35_mapped_types": """
+SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(o_custkey AS VARCHAR) AS o_custkey,
+  CAST(o_orderkey AS INTEGER) AS code, o_totalprice, starts_with(o_orderpriority, '1') AS urgent,
+  epoch_ms(o_orderdate) AS o_orderdate, strftime(o_orderdate, '%Y-%m-%d') AS day,
+  o_orderpriority AS whole,
+  list_filter(string_split(o_orderpriority, '-'), lambda x: x <> '')[-1] AS last_token,
+  CAST(len(list_filter(string_split(o_orderpriority, ' '), lambda x: x <> '')) AS INTEGER) AS n_words
+FROM orders""",
+    "q36_single_documents": """
+SELECT count(*) + 1 AS documents, count(n_name) AS names, CAST(1 AS BIGINT) AS notes,
+  count(*) FILTER (n_nationkey <= 3) AS created,
+  count(*) FILTER (n_nationkey BETWEEN 4 AND 5) AS conflicts, CAST(1 AS BIGINT) AS rejected
+FROM nation""",
 }

@@ -15,7 +15,8 @@ from docsync.operators import ids as doc_ids
 from docsync.operators import reconcile as rec
 from docsync.operators import relational as rel
 from docsync.operators import target as targets
-from docsync.operators.document import apply_mapping, export_bulk, to_ndjson
+from docsync.operators.document import (apply_mapping, export_bulk, parse_analyzers,
+                                        to_ndjson)
 from docsync.operators.ids import DOC_ID, with_doc_id
 from docsync.operators.state import latest_state
 from docsync.plans import Home, delete_once, fix, init, repair_missing, report_frame, run_all, sync_once
@@ -102,7 +103,7 @@ def q15_mapping(spark, sf):
     docs = with_doc_id(proj(spark, sf).join(lists, F.col("pid") == F.col("object_id")), ("pid",))
     mapping = DATES | {"user_ids": {"type": "text", "analyzer": "comma"},
                        "pid": {"type": "text"}, "absent_field": {"type": "text"}}
-    docs = apply_mapping(docs, mapping)
+    docs = apply_mapping(docs, mapping, analyzers={"comma": ","})
     return docs.select(DOC_ID, "pid", "create_date", "mod_date",
                        F.explode("user_ids").alias("token"))
 
@@ -288,20 +289,18 @@ def q22_stream_ticks(spark, sf):
 
 
 def q23_stream_feed(spark, sf):
-    """Events delivered as three overlapping files; the overlap is a day, the lookback two."""
+    """Events delivered three times, overlapping; the overlap is a day, the lookback two."""
     root = storage.new_folder(spark, "q23")
     events = table(spark, sf, "events")
     cuts = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
     day = timedelta(days=1)
     deliveries = [(None, cuts[0]), (window_start(cuts[0], day), cuts[1]),
                   (window_start(cuts[1], day), None)]
-    for lo, hi in deliveries:
-        part = changed_between(events, lo, hi, None, "ts")
-        part.coalesce(1).write.mode("append").parquet(f"{root}/feed")
-    feed = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-            .parquet(f"{root}/feed"))
-    docs = distinct_feed(feed, ("event_id",), "ts", "2 days")
-    write_feed(docs, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    for i, (lo, hi) in enumerate(deliveries):  # one run per delivery, on one checkpoint
+        changed_between(events, lo, hi, None, "ts").write.parquet(f"{root}/feed/delivery={i}")
+        feed = spark.readStream.schema(events.schema).parquet(f"{root}/feed/delivery=*")
+        docs = distinct_feed(feed, ("event_id",), "ts", "2 days")
+        write_feed(docs, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     out = spark.read.schema(docs.schema).parquet(f"{root}/out")
     return _dates_as_text(out.select(DOC_ID, "ts", "user_id", "event_type"), "ts")
 
@@ -402,6 +401,83 @@ def q32_windows_enriched(spark, sf):
     return home.target("proj").read()
 
 
+def _gaps_spec(spark: SparkSession, sf: str, **more) -> SyncSpec:
+    """Orders of which every fifth has no id and every third no extension id."""
+    proj(spark, sf).createOrReplaceTempView("proj")
+    event_eav(spark, sf).createOrReplaceTempView("event_eav")
+    rows = ("(SELECT CASE WHEN pid % 5 <> 0 THEN pid END AS pid, "
+            "CASE WHEN pid % 3 <> 0 THEN cust END AS cust, prio, create_date, mod_date FROM proj)")
+    return SyncSpec(**({
+        "name": "gaps", "id_columns": "pid", "time_type": "timestamp_ntz", "mapping": DATES,
+        "extension_column": "cust", "fields_mode": "flatten", "ext_keys": EVENT_KEYS,
+        "ext_order": ("ts", "event_id"),
+        "ext_sql": "SELECT user_id, event_type, value, ts, event_id FROM event_eav "
+                   "WHERE user_id in (?)",
+        "init_sql": f"SELECT * FROM {rows} WHERE coalesce(mod_date, create_date) < ?",
+        "sync_sql": f"SELECT * FROM {rows} WHERE coalesce(mod_date, create_date) > ? "
+                    "AND coalesce(mod_date, create_date) < ?"} | more))
+
+
+def q33_rows_without_ids(spark, sf):
+    """Rows without an id are counted as rejected by the full load and by each window."""
+    home, spec = _home(spark, "q33"), _gaps_spec(spark, sf)
+    frame = report_frame(spark, _init_and_sync(spark, home, spec))
+    return frame.select("flow", strict_date_time("hi").alias("hi"), "created", "conflicts",
+                        "rejected")
+
+
+def q34_null_extension_ids(spark, sf):
+    """An extension SQL with an id list, in a full load and two windows; documents without an
+    extension id stay, without custom fields."""
+    home, spec = _home(spark, "q34"), _gaps_spec(spark, sf)
+    _init_and_sync(spark, home, spec)
+    return home.target("gaps").read()
+
+
+def q35_mapped_types(spark, sf):
+    """Numbers, keywords, other dates, and two declared analyzers beside an undeclared one."""
+    analyzers = parse_analyzers("""{"settings": {"analysis": {
+        "analyzer": {"dash": {"type": "custom", "tokenizer": "dash_tokenizer"},
+                     "blank": {"type": "custom", "tokenizer": "blank_tokenizer"},
+                     "plain": {"type": "custom", "tokenizer": "standard"}},
+        "tokenizer": {"dash_tokenizer": {"type": "pattern", "pattern": "-"},
+                      "blank_tokenizer": {"type": "pattern", "pattern": " +"}}}}}""")
+    orders = table(spark, sf, "orders").withColumns({
+        "code": F.col("o_orderkey").cast("string"), "words": F.col("o_orderpriority"),
+        "whole": F.col("o_orderpriority"), "urgent": F.col("o_orderpriority").startswith("1")
+        .cast("string"), "day": F.col("o_orderdate")})
+    mapping = {"o_custkey": {"type": "keyword"}, "code": {"type": "integer"},
+               "o_totalprice": {"type": "double"}, "urgent": {"type": "boolean"},
+               "o_orderpriority": {"type": "text", "analyzer": "dash"},
+               "words": {"type": "text", "analyzer": "blank"},
+               "whole": {"type": "text", "analyzer": "plain"},
+               "o_orderdate": {"type": "date", "format": "epoch_millis"},
+               "day": {"type": "date", "format": "yyyy-MM-dd||epoch_millis"}}
+    docs = apply_mapping(with_doc_id(orders, ("o_orderkey",)), mapping, analyzers=analyzers)
+    return docs.select(DOC_ID, "o_custkey", "code", "o_totalprice", "urgent", "o_orderdate", "day",
+                       "whole", F.element_at("o_orderpriority", -1).alias("last_token"),
+                       F.size("words").alias("n_words"))
+
+
+def q36_single_documents(spark, sf):
+    """One document at a time beside a full load: a new one, a known one, one without an id."""
+    home = _home(spark, "q36")
+    target = home.target("nation")
+    docs = with_doc_id(table(spark, sf, "nation"), ("n_nationkey",))
+    targets.recreate(target, docs.where("n_nationkey > 3"))
+    known = docs.where("n_nationkey < 6").orderBy("n_nationkey").limit(6).collect()
+    counts = [targets.create_document(target, row.asDict()) for row in known]
+    counts.append(targets.create_document(target, {DOC_ID: None, "n_name": "nowhere"}))
+    targets.create_document(target, {DOC_ID: "new", "n_name": None, "note": "first of its field"})
+    totals = spark.createDataFrame([(sum(c.created for c in counts), sum(c.conflicts for c in counts),
+                                     sum(c.rejected for c in counts))],
+                                   "created long, conflicts long, rejected long")
+    return target.read().groupBy().agg(
+        F.count("*").alias("documents"), F.count("n_name").alias("names"),
+        F.count("note").alias("notes")).withColumn("k", F.lit(1)).join(
+        totals.withColumn("k", F.lit(1)), "k").drop("k")
+
+
 QUERIES = {f.__name__: f for f in (
     q01_full_scan_bound, q02_window_scan, q03_doc_id_composite, q04_create_if_absent,
     q05_outcomes, q05_refused_rows, q06_ext_flatten, q06_ext_flatten_open, q07_ext_custom_in_one,
@@ -410,4 +486,5 @@ QUERIES = {f.__name__: f for f in (
     q16_bulk_payload, q16_bulk_export, q17_recreate_target, q18_latest_state, q19_init_then_sync, q20_fix_by_key,
     q20_fix_many_keys, q21_run_report, q22_stream_ticks, q23_stream_feed, q24_reconcile,
     q24_counts, q24_table_counts, q24_repair, q25_delete, q26_all_in_one, q27_upsert, q28_pushed_window,
-    q29_protected_ids, q30_follow_members, q31_full_load_enriched, q32_windows_enriched)}
+    q29_protected_ids, q30_follow_members, q31_full_load_enriched, q32_windows_enriched,
+    q33_rows_without_ids, q34_null_extension_ids, q35_mapped_types, q36_single_documents)}
