@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -11,9 +13,26 @@ import pyarrow as pa
 
 from docsync.llm.common import STEP_BYTES, encoded, prefix_hashes, span_hash, steps
 
-SLOTS = 1 << 20
+SLOTS = 1 << 22
 #: Ids held before the memory of words starts anew.
-POOL = 1 << 23
+POOL = 1 << 24
+#: Parts of words held by one worker.
+PARTS = 300_000
+
+# The split pattern of the lower-casing vocabulary, and the places of the bytes that
+# its alphabet shows as themselves.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SHOWN = (*range(33, 127), *range(161, 173), *range(174, 256))
+
+#: The same split for words of printable ASCII and the Latin-1 letters but sharp s.
+_EASY = re.compile(r"[\x21-\x7eÀ-ÖØ-Þà-öø-ÿ]*")
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-z0-9à-öø-ÿ]+")
+
+
+def _alphabet() -> dict[int, str]:
+    """Byte to character: those not shown as themselves follow from 256 on, in order."""
+    hidden = [b for b in range(256) if b not in SHOWN]
+    return {b: chr(b) if b in SHOWN else chr(256 + hidden.index(b)) for b in range(256)}
 
 
 class WordTokens:
@@ -30,17 +49,41 @@ class WordTokens:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.keys = np.zeros(SLOTS, np.uint64)
-        self.start = np.zeros(SLOTS, np.int64)
-        self.count = np.zeros(SLOTS, np.int64)
+        self.start = np.zeros(SLOTS, np.int32)
+        self.count = np.zeros(SLOTS, np.int32)
         self.pool = np.zeros(POOL, np.uint32)
         self.used = 0
+        self.model, self.alphabet, self.parts = self.tokenizer.model, _alphabet(), {}
+        made = json.loads(self.tokenizer.to_str())
+        steps_ = (made.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        #: Whether easy words may skip the library's own normalising and splitting.
+        self.easy = (
+            [n["type"] for n in (made.get("normalizer") or {}).get("normalizers", [])]
+            == ["NFC", "Replace", "Lowercase"]
+            and [p["type"] for p in steps_] == ["Split", "ByteLevel"]
+            and steps_[0]["pattern"] == {"Regex": SPLIT})
+
+    def _word(self, word: str) -> list[int]:
+        """Ids of a word. Easy words are split here and merged by the library's model, which is
+        the same and much faster than its whole way for one word."""
+        if not (self.easy and _EASY.fullmatch(word)) or "<|" in word:
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        out: list[int] = []
+        for part in _PARTS.findall(word.lower()):
+            ids = self.parts.get(part)
+            if ids is None:
+                if len(self.parts) >= PARTS:
+                    self.parts.clear()
+                shown = part if part.isascii() else \
+                    part.encode("utf-8").decode("latin-1").translate(self.alphabet)
+                ids = self.parts[part] = [t.id for t in self.model.tokenize(shown)]
+            out += ids
+        return out
 
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         raw = data.tobytes()
-        found = self.tokenizer.encode_batch(
-            [raw[a:b].decode("utf-8") for a, b in zip(starts.tolist(), ends.tolist())],
-            add_special_tokens=False)
-        ids = [f.ids for f in found]
+        ids = [self._word(raw[a:b].decode("utf-8"))
+               for a, b in zip(starts.tolist(), ends.tolist())]
         count = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum()))
         return flat, count
