@@ -29,4 +29,61 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b LEFT JOIN k ON b.source = k.source
 """
 
-ORACLE = {"op8_quality_rules": OP8}
+OP2 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_sort(list_distinct(list_transform(range(1, len(ws) - 3),
+             lambda i: array_to_string(ws[i:i + 4], ' ')))) END AS sh FROM w),
+c AS (SELECT min(doc_id) AS id, len(sh) AS n, sh FROM s WHERE len(sh) > 0 GROUP BY sh),
+t AS (SELECT id, n, unnest(sh) AS x FROM c),
+common AS (SELECT x FROM t GROUP BY x HAVING count(*) > 1),
+p AS (SELECT a.id AS a, b.id AS b, a.n AS na, b.n AS nb, count(*) AS k
+      FROM (SELECT * FROM t SEMI JOIN common USING (x)) a JOIN t b ON a.x = b.x AND a.id < b.id
+      GROUP BY ALL HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r(id, other) AS (SELECT id, id FROM c UNION SELECT r.id, e.b FROM r JOIN e ON r.other = e.a),
+m AS (SELECT id, min(other) AS root FROM r GROUP BY id)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(root, s.doc_id) AS component_id
+FROM s LEFT JOIN c ON s.sh = c.sh LEFT JOIN m ON m.id = c.id
+"""
+
+OP7 = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes, sha1(body) AS h,
+        min(page_id) OVER (PARTITION BY body) AS first_id FROM p)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(((
+      (strpos('0123456789abcdef', substr(h, 1 + (5 * i) // 4, 1)) - 1) * 16
+      + strpos('0123456789abcdef', substr(h, 2 + (5 * i) // 4, 1)) - 1)
+      >> CAST(3 - (5 * i) % 4 AS INTEGER)) % 32 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d
+"""
+
+OP9 = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, unnest(range(0, length(h) // 2 - 199)) AS i, h FROM d WHERE length(h) >= 400),
+g AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS k FROM s),
+twice AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY k) > 1),
+o AS (SELECT doc_id, i, lag(i) OVER w AS before, lead(i) OVER w AS after
+      FROM twice WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+f AS (SELECT doc_id, CAST(sum(least(200, coalesce(after - i, 200))) AS BIGINT) AS n_removed,
+        CAST(count(*) FILTER (before IS NULL OR i - before > 200) AS BIGINT) AS n_spans
+      FROM o GROUP BY doc_id),
+gaps AS (SELECT doc_id, i + 200 AS low, coalesce(after, 1000000000) AS high FROM o
+         WHERE after IS NULL OR after > i + 200
+         UNION ALL SELECT doc_id, 0, min(i) FROM o GROUP BY doc_id),
+kept AS (SELECT g.doc_id, string_agg(substr(h, 2 * low + 1, 2 * (high - low)), '' ORDER BY low) AS t
+         FROM gaps g JOIN d ON d.doc_id = g.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN f.doc_id IS NULL THEN h ELSE coalesce(t, '') END)) AS kept_sha256
+FROM d LEFT JOIN f ON f.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
+ORACLE = {"op2_ngram_jaccard": OP2, "op7_warc": OP7, "op8_quality_rules": OP8,
+          "op9_suffix_dedup": OP9}

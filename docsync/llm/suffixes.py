@@ -216,9 +216,10 @@ def longest(leads: list[bytes], backs: list[bytes]) -> tuple[np.ndarray, np.ndar
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(list(batches)) if batches else None
-    if table is None or not table.num_rows:
+    held = [b for b in batches if b.num_rows]
+    if not held:
         return
+    table = pa.Table.from_batches(held)
     left, right = longest(table["lead"].to_pylist(), table["back"].to_pylist())
     keep = (left >= 0) & (np.asarray(table["kind"]) == 3)
     start = np.asarray(table["start"])[keep]

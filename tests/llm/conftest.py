@@ -1,0 +1,50 @@
+import random
+
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, row string"
+
+
+def some_words(rng, n, vocabulary=400):
+    return " ".join(f"w{rng.randrange(vocabulary)}x" for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def rows():
+    """Documents with what is awkward: nulls, empty and long texts, copies, near copies, a hot source,
+    repeated rows, and columns named like those of the operators."""
+    rng = random.Random(3)
+    texts = [some_words(rng, rng.randrange(1, 160)) for _ in range(60)]
+    base = some_words(rng, 120).split()
+    for i in range(12):  # near copies of one text
+        near = list(base)
+        for _ in range(i // 3):
+            near[rng.randrange(len(near))] = f"edit{rng.randrange(10**6)}"
+        texts.append(" ".join(near))
+    texts += [texts[0]] * 5 + [texts[1] + " tail"] * 2
+    passage = "A passage of more than two hundred bytes, é, that " + "turns up in places, " * 9
+    texts += [texts[i] + passage + texts[i + 1] for i in range(2, 8)]
+    texts += ["", " \t\n", "one", "one two three four", "ONE two Three Four", "a b a b a b a b " * 20,
+              "x" * 700, "line\nline\n\nline # $ <b>\n", "Licensed under the Apache License, "
+              "Version 2.0.", "ünï " * 60, some_words(rng, 30000, 10**6)]
+    out = [(i, t, "en", "hot" if i % 3 else f"s{i % 7}", len(t), "size", "row")
+           for i, t in enumerate(texts)]
+    out += [(1000, None, None, None, None, None, None), (1001, "alone", None, None, 1, "", "")]
+    return out
+
+
+@pytest.fixture(scope="session")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark, rows):
+    """The same with null ids and repeated rows."""
+    more = [(None, "no id " * 60, "en", None, 5, "", ""), (None, None, None, "hot", None, "", "")]
+    return spark.createDataFrame(rows + rows[:40] + more, SCHEMA).repartition(4)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)

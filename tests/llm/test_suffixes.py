@@ -1,0 +1,75 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from docsync.llm import suffixes
+from docsync.llm.suffixes import cut_repeats, dedup, multikey_order
+
+
+def expected(texts):
+    """By hand: count every string of 200 bytes."""
+    raw = [(t or "").encode() for t in texts]
+    count = Counter(b[i:i + 200] for b in raw for i in range(len(b) - 199))
+    out = []
+    for b in raw:
+        gone = bytearray(len(b))
+        for i in range(len(b) - 199):
+            if count[b[i:i + 200]] > 1:
+                gone[i:i + 200] = b"\1" * 200
+        rest = bytes(x for x, g in zip(b, gone) if not g)
+        runs = sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))
+        out.append((len(b), sum(gone), runs, hashlib.sha256(rest).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("hot", [20000, 1])
+def test_against_all_strings(docs, rows, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT_GRAM", hot)
+    found = {r.doc_id: tuple(r)[1:] for r in dedup(docs).collect()}
+    assert found == dict(zip([r[0] for r in rows], expected([r[1] for r in rows])))
+
+
+def test_edges_and_overlaps(spark):
+    rng = random.Random(5)
+
+    def junk(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+    p, q = junk(199), junk(200)
+    r = junk(350)
+    texts = [p + junk(90), junk(90) + p,                   # 199 bytes: stays
+             q + junk(10), junk(10) + q,                   # 200: goes
+             r[:260] + junk(50), junk(30) + r[90:], r[40:300],  # overlapping parts of one string
+             "z" * 201, "y" * 200, "xy" * 300, junk(70) + "xy" * 110,
+             q[:150], junk(60) + r + junk(60) + r]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {x.doc_id: tuple(x)[1:] for x in dedup(frame).collect()}
+    assert found == dict(enumerate(expected(texts)))
+
+
+def test_repeated_rows_and_null_ids(odd_docs, no_docs):
+    rows = odd_docs.collect()
+    want = sorted(zip([str(r.doc_id) for r in rows], expected([r.text for r in rows])))
+    found = sorted((str(r.doc_id), tuple(r)[1:]) for r in dedup(odd_docs).collect())
+    assert found == want
+    assert dedup(no_docs).collect() == [] and cut_repeats(no_docs).collect() == []
+
+
+def test_cut_texts(docs):
+    out = cut_repeats(docs)
+    assert out.columns == docs.columns
+    kept = {r.doc_id: r.kept_sha256 for r in dedup(docs).collect()}
+    for r in out.collect():
+        assert (r.text is None) == (r.doc_id == 1000)
+        assert r.n_chars is None if r.text is None else r.n_chars == len(r.text)
+        assert hashlib.sha256((r.text or "").encode()).hexdigest() == kept[r.doc_id]
+
+
+def test_multikey_quicksort():
+    rng = np.random.default_rng(1)
+    rows = rng.integers(0, 3, (5000, 6)).astype(np.uint64)
+    rows[:2000] = rows[0]
+    assert (rows[multikey_order(rows)] == rows[np.lexsort(rows.T[::-1])]).all()
+    assert list(multikey_order(rows[:0])) == []
