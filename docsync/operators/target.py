@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -85,15 +86,18 @@ class _Size:
     last_id: str | None
 
 
-def _measure(batch: DataFrame) -> _Size:
-    has_id = F.col(DOC_ID).isNotNull()
-    row = batch.agg(
-        F.count(DOC_ID).alias("ids"),
+@contextmanager
+def _staged(target: Target, batch: DataFrame):
+    """The batch as a written table, and its size, which the writing tasks have seen."""
+    has_id, seen = F.col(DOC_ID).isNotNull(), Observation()
+    batch = batch.observe(
+        seen, F.count(DOC_ID).alias("ids"),
         F.coalesce(F.sum(F.when(has_id, F.col(WRITES))), F.lit(0)).alias("writes"),
         F.coalesce(F.sum(F.when(~has_id, F.col(WRITES))), F.lit(0)).alias("rejected"),
         F.coalesce(F.sum(F.octet_length(DOC_ID)), F.lit(0)).alias("id_bytes"),
-        F.min(DOC_ID).alias("first_id"), F.max(DOC_ID).alias("last_id")).first()
-    return _Size(**row.asDict())
+        F.min(DOC_ID).alias("first_id"), F.max(DOC_ID).alias("last_id"))
+    with storage.staged(batch, target.name) as rows:
+        yield rows, _Size(**seen.get)
 
 
 def _if_small(target: Target, ids: DataFrame, size: _Size) -> DataFrame | None:
@@ -117,8 +121,7 @@ def create_if_absent(target: Target, batch: DataFrame, finish=_as_is, order=(),
     base = target.current()
     if base is None:
         return recreate(target, batch, finish, order, unique)
-    with storage.staged(first_per_id(batch, order, unique), target.name) as rows:
-        size = _measure(rows)
+    with _staged(target, first_per_id(batch, order, unique)) as (rows, size):
         if size.ids == 0:
             return Counts(rejected=size.rejected)
         known = rows.where(F.col(DOC_ID).isNotNull())
@@ -155,8 +158,7 @@ def upsert(target: Target, batch: DataFrame, finish=_as_is, order=(),
 
     The new documents and their ids are written; stored documents are only read for their ids.
     """
-    with storage.staged(last_per_id(batch, order, unique), target.name) as rows:
-        size = _measure(rows)
+    with _staged(target, last_per_id(batch, order, unique)) as (rows, size):
         if size.ids == 0 and target.exists():
             return Counts(rejected=size.rejected)
         known = rows.where(F.col(DOC_ID).isNotNull())
