@@ -38,16 +38,20 @@ def _gram_buckets(data: np.ndarray, n: int) -> np.ndarray:
 
 
 def features(texts: list[bytes]) -> Iterator[list[np.ndarray]]:
-    """Table entries of each text's words and n-grams, with repeats; entry 0 marks every text."""
+    """Table entries of each text's words and n-grams, with repeats. Entry 0 marks every text, and
+    entry 1 each word that repeats the one before it, whatever the word is."""
     for a, b in steps(texts):
         part = texts[a:b]
         hashes, first = word_hashes(part, lower=False)
         words = (hashes >> np.uint64(64 - BITS)).astype(np.uint32)
+        again = np.concatenate(([False], hashes[1:] == hashes[:-1]))[:len(hashes)]
         data = np.frombuffer(b"".join(part), np.uint8)
         grams = [_gram_buckets(data, n) for n in GRAMS]
         at = 0
         for i, text in enumerate(part):
-            yield [np.zeros(1, np.uint32), words[first[i]:first[i + 1]]] + [
+            own = slice(first[i], first[i + 1])
+            yield [np.zeros(1, np.uint32), np.ones(int(again[own][1:].sum()), np.uint32),
+                   words[own]] + [
                 g[at:max(at, at + len(text) - n + 1)] for g, n in zip(grams, GRAMS)]
             at += len(text)
 
