@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +24,26 @@ GAP = r"[\x20\x09-\x0D]+"
 STEP_BYTES = 1 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application. Without it they
+    find it only if it is installed there or lies on their path."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[2]
+    archive = Path(tempfile.mkdtemp(prefix="docsync-")) / "docsync.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted((root / "docsync").rglob("*.py")):
+            z.write(source, source.relative_to(root))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -34,9 +57,26 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     staged._staged_at = path
+    for made in _SCOPES[-1:]:
+        made.append(path)
     return staged
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch():
+    """The folders of tables that are staged within the block, as a list. Who knows that nothing
+    reads them any more can delete them."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.remove(made)
+
+
 def drop(staged: DataFrame) -> None:
     """Delete the files behind a staged table that nothing reads any more."""
     delete(staged.sparkSession, staged._staged_at)

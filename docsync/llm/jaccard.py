@@ -302,7 +302,8 @@ def class_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
                        m.alias("m")).groupBy("a", "b").agg(
         F.count("*").alias("c"), F.first("m").alias("m")).filter("c >= m").select("a", "b")
     more = stage(_links(pairs, sets), "links")
-    drop(sets)
+    for done in (sets, posts, posts2, parts):
+        drop(done)
     return links.unionByName(more)
 
 
