@@ -13,11 +13,11 @@ import pyarrow as pa
 
 from docsync.llm.common import STEP_BYTES, encoded, prefix_hashes, span_hash, steps
 
-SLOTS = 1 << 22
+SLOTS = 1 << 21
 #: Ids held before the memory of words starts anew.
-POOL = 1 << 24
+POOL = 1 << 23
 #: Parts of words held by one worker.
-PARTS = 300_000
+PARTS = 200_000
 
 # The split pattern of the lower-casing vocabulary, and the places of the bytes that
 # its alphabet shows as themselves.
