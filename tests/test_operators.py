@@ -422,3 +422,15 @@ def test_no_python_in_the_plans(spark, projects, ext, plan):
 def test_writes_column_is_not_a_document_field(spark):
     df = spark.createDataFrame([("1", 1, 2)], f"{DOC_ID} string, n int, {WRITES} long")
     assert json.loads(to_ndjson(df, "x").first().value.split("\n")[1]) == {"n": 1}
+
+
+def test_custom_key_over_a_date_field(spark):
+    """Documents without that custom field keep their own date in the declared form."""
+    from docsync.plans.flows import complete
+    spec = SyncSpec(name="p", id_columns="pid", init_sql="x", extension_column="pid",
+                    fields_mode="flatten", ext_keys=("at",), mapping={"at": {"type": "date"}},
+                    ext_source=lambda s: s.createDataFrame([(1, "At", "soon")], "p long, k string, v string"))
+    df = spark.sql("SELECT id, CAST(id AS STRING) AS doc_id, id AS pid, "
+                   "TIMESTAMP '2024-01-02 13:00:00Z' AS at FROM range(1, 3)").drop("id")
+    assert sorted((r.pid, r["at"]) for r in complete(spark, spec, df).collect()) == [
+        (1, "soon"), (2, "2024-01-02T13:00:00.000Z")]
