@@ -9,8 +9,15 @@ from docsync.llm.common import GAP, SPACES, packed, stage, unpacked
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: A host whose shrunken share of failing documents is above this is rejected as a whole.
+#: The rules beside the base ones, with the limits that Rae et al. (2021, "Gopher") publish: symbols
+#: for each 100 words, and lines that repeat an earlier one for each 100 lines.
+MAX_SYMBOL_PERCENT = 10
+MAX_DUP_LINE_PERCENT = 30
+#: A host whose shrunken share of failing documents is above this is rejected as a whole: by the
+#: base rules alone (as in the SQL of op8), and by all rules. A document of a host that fails more
+#: often than not is more likely bad than good, whatever rules it passed.
 MAX_HOST_RATE = 0.75
+MAX_HOST_RATE_ALL = 0.5
 SYMBOLS = "#*$%&|<>"
 
 
@@ -51,7 +58,8 @@ def measured(df: DataFrame, text: Column) -> DataFrame:
         "_q_windows": F.when(F.col("_q_n") >= 3, hashes).otherwise(
             F.array().cast("array<bigint>")),
         "_q_dup_lines": (F.size("_q_lines")
-                         - F.size(F.array_distinct("_q_lines"))).cast("long")})
+                         - F.size(F.array_distinct("_q_lines"))).cast("long"),
+        "_q_all_lines": F.size("_q_lines").cast("long")})
     distinct = F.size(F.array_distinct("_q_windows"))
     df = df.withColumn("_q_sorted", F.when(
         distinct < F.size("_q_windows"), F.array_sort(F.transform(
@@ -60,8 +68,10 @@ def measured(df: DataFrame, text: Column) -> DataFrame:
         _repeat_words(F.col("_q_sorted")), F.lit(0)).cast("long"))
     failed = (F.col("_q_n") < MIN_WORDS) | (
         100 * F.col("_q_repeat") > MAX_REPEAT_PERCENT * F.col("_q_n"))
-    return (df.withColumn("_q_failed", failed)
-            .drop("_q_text", "_q_words", "_q_lines", "_q_windows", "_q_sorted"))
+    more = (100 * F.col("_q_symbols") > MAX_SYMBOL_PERCENT * F.col("_q_n")) | (
+        100 * F.col("_q_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("_q_all_lines"))
+    return (df.withColumns({"_q_failed": failed, "_q_rejected": failed | more})
+            .drop("_q_text", "_q_words", "_q_lines", "_q_all_lines", "_q_windows", "_q_sorted"))
 
 
 def host_rates(failures: DataFrame, host: str, failed: str) -> DataFrame:
@@ -86,12 +96,12 @@ def host_rates(failures: DataFrame, host: str, failed: str) -> DataFrame:
     return per_host.withColumn("rate", posterior)
 
 
-def judged(docs: DataFrame, carry: list[str] | None = None,
-           max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def judged(docs: DataFrame, carry: list[str] | None = None, base_only: bool = False) -> DataFrame:
     """Struct ``row`` of every input row (its columns ``carry``, default all), its measures,
     ``base_failed`` and ``kept``.
 
-    A document is kept if it passes the base rules and its host (``source``) is not rejected. A
+    A document is kept if it passes all rules and its host (``source``) is not rejected; with
+    ``base_only`` the rules of symbols and repeated lines count neither for it nor for its host. A
     null text has no words and fails; a null host is never rejected. Rows are judged one by one,
     so repeated rows and repeated ids get a verdict each; ties cannot arise. An empty table gives
     no rows. Columns of any other name, also those of this module's measures, are only carried.
@@ -102,22 +112,24 @@ def judged(docs: DataFrame, carry: list[str] | None = None,
     # One pass over the texts; the host rates and the verdicts both read what it wrote.
     rows = stage(measured(rows, F.col("_text")).drop("_text"), "quality")
     # Written, because its size then decides between broadcast and shuffle in the last join.
-    bad = stage(host_rates(rows, "_host", "_q_failed").filter(F.col("rate") > max_rate)
+    failed, max_rate = (("_q_failed", MAX_HOST_RATE) if base_only
+                        else ("_q_rejected", MAX_HOST_RATE_ALL))
+    bad = stage(host_rates(rows, "_host", failed).filter(F.col("rate") > max_rate)
                 .select("host", F.lit(True).alias("host_failed")), "hosts")
     out = rows.join(bad, rows["_host"] == bad["host"], "left")
     return out.select(
         "row", F.col("_q_n").alias("n_words"), F.col("_q_chars").alias("word_chars"),
         F.col("_q_symbols").alias("n_symbols"), F.col("_q_dup_lines").alias("n_dup_lines"),
         F.col("_q_repeat").alias("n_repeat_words"), F.col("_q_failed").alias("base_failed"),
-        (~F.col("_q_failed") & F.col("host_failed").isNull()).alias("kept"))
+        (~F.col(failed) & F.col("host_failed").isNull()).alias("kept"))
 
 
 def quality(docs: DataFrame) -> DataFrame:
-    """Measures and verdict per document, with its ``doc_id``."""
-    out = judged(docs, ["doc_id"])
+    """Measures and the base rules' verdict per document, with its ``doc_id``, as in the SQL of op8."""
+    out = judged(docs, ["doc_id"], base_only=True)
     return unpacked(out, "row", ["doc_id"], *[c for c in out.columns if c != "row"])
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns."""
+    """The rows of ``docs`` that all rules keep, with their own columns."""
     return unpacked(judged(docs).filter("kept"), "row", docs.columns)

@@ -53,3 +53,17 @@ def test_odd_rows_and_columns(odd_docs, no_docs):
 
 def test_no_python_in_the_plan(docs, plan):
     assert "Python" not in plan(quality(docs)) and "Arrow" not in plan(quality(docs))
+
+
+def test_symbols_repeated_lines_and_their_hosts_go(spark):
+    good = "\n".join(" ".join(f"w{10 * k + i}" for i in range(10)) for k in range(10))
+    cases = {"clean": good, "few": good + " #" * 10, "symbols": good + " w" + "#" * 11,
+             "lines": good + "\nw0 again x" * 6, "few lines": good + "\nw0 again x" * 3}
+    rows = [(n, t, "mixed") for n, t in cases.items()] + [(f"m{i}", good, "mixed") for i in range(40)]
+    rows += [(f"a{i}", good, "a") for i in range(40)] + [("null", good + " #####" * 9, None)]
+    rows += [(f"b{i}", good + (" $$$" * 20 if i % 5 else ""), "b") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    kept = {r.doc_id for r in keep_good(docs).collect()}
+    assert kept == {"clean", "few", "few lines", *(f"{h}{i}" for h in "ma" for i in range(40))}
+    # The contract of op8 stays the base rules' verdict.
+    assert quality(docs).filter("base_failed or not kept").count() == 0
