@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsync.llm.common import drop, encoded, mix64, noise, stage, steps, word_hashes
+from docsync.llm.common import (drop, encoded, mix64, noise, packed, stage, steps, unpacked,
+                                word_hashes)
 from docsync.llm.components import components
 
 WORDS = 5
@@ -340,10 +341,21 @@ def similar(docs: DataFrame) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group; rows without a doc_id stay.
-    Of repeated rows of one doc_id one stays."""
-    groups = similar(docs.select("doc_id", "text"))
-    gone = groups.filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    with_id = docs.filter(F.col("doc_id").isNotNull())
-    kept = with_id.join(gone, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """Of each group of linked rows of ``docs`` one with the smallest doc_id stays.
+
+    Rows are told apart by a number of their own, not by doc_id: rows that share an id or have none
+    go only if their own text is linked with another row's. Ids that are null come last in a group,
+    equal ones in the order of the numbers.
+    """
+    names = docs.columns
+    # Written, so that the numbers are the same wherever they are read.
+    rows = stage(docs.select(packed(docs).alias("row"),
+                             F.monotonically_increasing_id().alias("_n")), "rows")
+    groups = similar(rows.select(F.col("_n").alias("doc_id"), F.col("row.text").alias("text")))
+    linked = groups.select(F.col("doc_id").alias("_m"), F.col("component_id").alias("_group"))
+    linked = linked.join(rows.select("_n", F.col("row.doc_id").alias("_id")),
+                         linked["_m"] == F.col("_n"))
+    stays = linked.groupBy("_group").agg(F.min(F.struct(
+        F.col("_id").isNull().alias("none"), "_id", "_m")).alias("first"))
+    return unpacked(rows.join(stays.select(F.col("first._m").alias("_m")),
+                              F.col("_n") == F.col("_m"), "left_semi"), "row", names)

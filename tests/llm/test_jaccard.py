@@ -83,6 +83,16 @@ def test_one_of_each_group_stays(odd_docs, docs):
     assert kept.filter("doc_id is null").count() == 2
 
 
+def test_rows_of_one_id_go_only_by_their_own_text(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(1, a, "x"), (2, b, "x"), (2, a, "y"), (3, c, "x"), (3, d, "y"), (None, d, "z"),
+            (None, "e " + b, "z"), (None, "only null ids " * 9, "x"), (None, "only null ids " * 9, "y")]
+    out = one_per_group(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    kept = [tuple(r) for r in out.repartition(2).collect()]
+    assert sorted(r for r in kept if r[0]) == [rows[0], rows[1], rows[3], rows[4]]
+    assert [r[:2] for r in kept if not r[0]] == [(None, "only null ids " * 9)]
+
+
 def test_bounds_hold_for_all_sizes():
     n = np.arange(1, 3000)
     w, sure = window_size(n), guaranteed(n)
