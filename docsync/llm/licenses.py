@@ -1,4 +1,9 @@
-"""Licence scan: notices by TF-IDF cosine with templates, and inheritance through directories."""
+"""Licence scan: notices by TF-IDF cosine with templates, and inheritance through directories.
+
+A template is compared with windows of a text's terms, across line ends, so that what stands before or
+after a notice counts nothing. Inside a window a term that the template lacks weighs like an average
+term of the template, however many files there are.
+"""
 
 from __future__ import annotations
 
@@ -30,7 +35,15 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "LicenseRef-All-Rights-Reserved": "All rights reserved",
 }
-#: A line has the licence of its best template if their cosine is at least this.
+#: Terms without which a window is not the notice, the first (sought in all texts) a rare one.
+NEEDS = {
+    "Apache-2.0": "apache 2.0", "MIT": "license mit", "BSD-3-Clause": "redistribution source binary",
+    "GPL-2.0": "license general public 2", "GPL-3.0": "license general public 3",
+    "LGPL-3.0": "license lesser 3", "MPL-2.0": "mozilla 2.0", "CC0-1.0": "waived copyright rights",
+    "CC-BY-4.0": "cc by 4.0", "CC-BY-SA-4.0": "cc by-sa 4.0", "CC-BY-NC-4.0": "cc by-nc 4.0",
+    "LicenseRef-All-Rights-Reserved": "reserved rights",
+}
+#: A window can have the licence of a template if their cosine is at least this.
 LEAST = 0.8
 GAP = "[^a-z0-9.-]+"
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice)([._-].*)?$"
@@ -77,30 +90,114 @@ def best(line: str, vectors, idf, other: float) -> tuple[float, str]:
     return found
 
 
+class Template:
+    """Vector of one template, and how windows of a text compare with it."""
+
+    def __init__(self, name: str, text: str, needs: str = "", bars: str = "", alone: bool = False):
+        self.name, self.counts = name, Counter(terms(text.lower()))
+        self.needs, self.bars, self.alone = needs.split(), bars.split(), alone
+
+    def weigh(self, idf: dict[str, float], least: float) -> Template:
+        self.size, self.least = sum(self.counts.values()), least
+        self.squares = {t: idf[t] ** 2 for t in self.counts}
+        self.whole = sum(n * n * self.squares[t] for t, n in self.counts.items())
+        #: What one occurrence of a foreign term adds to the squared length of a window.
+        self.foreign = sum(n * self.squares[t] for t, n in self.counts.items()) / self.size
+        self.anchors = self.needs[:1] or sorted(cues(
+            {"": {t: n * idf[t] for t, n in self.counts.items()}}, least))
+        return self
+
+    def lengths(self, most: int) -> list[int]:
+        """Lengths of windows: all that can reach the cosine for a notice, a few for a long text."""
+        if self.size <= 60:
+            found = range(max(1, math.ceil(self.least ** 2 * self.size) - 1),
+                          self.size + self.size // 2 + 2)
+        else:
+            found = [self.size * k // 10 for k in (8, 9, 10, 11, 12)]
+        return sorted({min(n, most) for n in found})
+
+    def slide(self, words: list[str], length: int) -> float:
+        """Greatest cosine of windows of ``length`` that have all needed terms and no barred one."""
+        seen, dot, norm, top = Counter(), 0.0, 0.0, 0.0
+        for i, t in enumerate(words):
+            for term, step in ((t, 1), (words[i - length] if i >= length else None, -1)):
+                if term is None:
+                    continue
+                square = self.squares.get(term)
+                if square is None:
+                    norm += step * self.foreign
+                else:
+                    norm += (2 * step * seen[term] + 1) * square
+                    dot += step * self.counts[term] * square
+                seen[term] += step
+            if i + 1 >= length and dot > 0:
+                value = dot / math.sqrt(max(norm, 1e-9) * self.whole)
+                if value > top and all(seen[x] > 0 for x in self.needs) and not any(
+                        seen[x] > 0 for x in self.bars):
+                    top = value
+        return min(top, 1.0)
+
+    def score(self, lines: list[list[str]], words: list[str], places: dict[str, list[int]]) -> float:
+        """Greatest cosine of the file's windows; of whole lines, or two in a row, if ``alone``."""
+        if any(x not in places for x in self.needs):
+            return 0.0
+        if self.alone:
+            spans = [s for i, line in enumerate(lines) for s in (line, line + sum(lines[i + 1:i + 2], []))
+                     if len(line) <= 2 * self.size and len(s) <= 2 * self.size]
+            return max((self.slide(s, len(s)) for s in spans if all(x in s for x in self.needs)),
+                       default=0.0)
+        near = sum(n * n * self.squares[t] for t, n in self.counts.items() if t in places)
+        if near < self.least ** 2 * self.whole - 1e-9:
+            return 0.0  # no window can reach the cosine
+        rarest = min(([x] for x in self.needs), key=lambda x: len(places[x[0]]),
+                     default=self.anchors)
+        reach, regions = self.size + self.size // 2 + 2, []
+        for p in sorted(p for x in rarest for p in places.get(x, ())):
+            low, high = max(0, p - reach), min(len(words), p + reach)
+            if regions and low <= regions[-1][1]:
+                regions[-1][1] = high
+            else:
+                regions.append([low, high])
+        return max((self.slide(words[a:b], n) for a, b in regions for n in self.lengths(b - a)),
+                   default=0.0)
+
+
+def read(text: str, templates: list[Template]) -> tuple[float | None, str | None]:
+    """(cosine, licence) of the template that explains most of a lower-case text.
+
+    Of those that reach the cosine the one with the most terms matched less terms missing counts,
+    so a whole licence outranks the notices in it; ties go to the first name.
+    """
+    lines = [x for x in (terms(line) for line in text.split("\n")) if x]
+    words = [t for line in lines for t in line]
+    places: dict[str, list[int]] = {}
+    for i, t in enumerate(words):
+        places.setdefault(t, []).append(i)
+    found = [(t.score(lines, words, places), t) for t in templates]
+    good = [(-(2 * v * v - 1) * t.whole, t.name, v) for v, t in found if v >= t.least]
+    return (min(good)[2], min(good)[1]) if good else (None, None)
+
+
 def notices(files: DataFrame, text: str, templates: dict[str, str], least: float) -> DataFrame:
-    """``files`` (every row) with ``own_license`` and ``similarity`` of its closest line."""
-    counted = {name: Counter(terms(t.lower())) for name, t in templates.items()}
-    vocabulary = sorted(set().union(*counted.values()))
+    """``files`` (every row) with ``own_license`` and ``similarity`` of its closest window."""
+    used = all_templates(templates)
+    vocabulary = sorted(set().union(*(t.counts for t in used)))
     lower = F.lower(F.coalesce(F.col(text), F.lit("")))
     # Document frequencies over all files, of the templates' terms: one small row per term.
-    present = F.array_intersect(F.transform(F.split(lower, GAP), lambda t: F.btrim(t, F.lit(".-"))),
-                                F.array(*map(F.lit, vocabulary)))
+    present = F.array_distinct(F.filter(F.transform(
+        F.split(lower, GAP), lambda t: F.btrim(t, F.lit(".-"))), lambda t: t.isin(vocabulary)))
     seen = files.select(F.explode(F.concat(present, F.array(F.lit("")))).alias("term")) \
         .groupBy("term").count().collect()
     frequency = {r["term"]: r["count"] for r in seen}
     documents = frequency.pop("", 0)  # every file has the empty term once
     idf = weights({t: frequency.get(t, 0) for t in vocabulary}, documents)
-    other = math.log(1 + documents) + 1  # terms of no template weigh like unseen ones
-    vectors = {name: {t: n * idf[t] for t, n in c.items()} for name, c in counted.items()}
-    cue = "|".join(re.escape(t) for t in sorted(cues(vectors, least)))
+    used = [t.weigh(idf, least) for t in used]
+    cue = "|".join(re.escape(x) for x in sorted({x for t in used for x in t.anchors}))
     pattern = rf"(^|[^a-z0-9])({cue})($|[^a-z0-9])"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [max((best(line, vectors, idf, other) for line in lines),
-                         key=lambda e: e[0], default=(0.0, ""))
-                     for lines in batch["lines"].to_pylist()]
-            good = [f if f[0] >= least else (None, None) for f in found]
+            good = [(None, None) if x is None else read(x, used) for x in batch["cued"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], pa.array([g[1] for g in good], pa.string()),
                  pa.array([None if g[0] is None else round(g[0], 6) for g in good], pa.float64())],
@@ -108,12 +205,18 @@ def notices(files: DataFrame, text: str, templates: dict[str, str], least: float
 
     row = packed(files.drop(text))
     kind = files.drop(text).select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
-    lines = F.filter(F.split(lower, "\n"), lambda s: s.rlike(pattern))
-    return files.select(row.alias("row"), lines.alias("lines")).mapInArrow(
+    cued = F.when(lower.rlike(pattern), lower)  # a text without any anchor has no notice
+    return files.select(row.alias("row"), cued.alias("cued")).mapInArrow(
         score, f"row {kind}, own_license string, similarity double").select(
         "row.*", "own_license", "similarity")
 
 
+def all_templates(templates: dict[str, str]) -> list[Template]:
+    """The notices ``templates``."""
+    return [Template(n, t, NEEDS.get(n, "") if t == TEMPLATES.get(n) else "")
+            for n, t in templates.items()]
+
+
 def inherited(files: DataFrame) -> DataFrame:
     """``files`` (path, own_license, ...) with ``license`` and ``inherited_from``.
 
@@ -148,7 +251,7 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES,
     """(path, text, ...) to the same columns without text, own_license, similarity, license and
     inherited_from.
 
-    Every line of every text is scored. A null text has no notice; a null path has no directory and
+    Every text is scored, in windows across its lines. A null text has no notice; a null path has no directory and
     inherits nothing. Repeated rows are files of their own. An empty table gives no rows.
     """
     return inherited(stage(notices(files, "text", templates, least), "notices"))

@@ -72,3 +72,18 @@ def test_odd_rows(spark):
         "*", "'x' AS license_", "1 AS depth", "'y' AS giver_", "'z' AS lines")
     assert scan(frame).count() == len(FILES) + 4
     assert scan(frame.limit(0)).collect() == []
+
+
+def test_extra_words_never_sink_a_notice(spark):
+    notices = {"Apache-2.0": "Licensed under the Apache License, Version 2.0. See LICENSE.",
+               "GPL-3.0": "This work is licensed under the GNU General Public License, version 3 or later.",
+               "MIT": "We say that this project is released under the MIT License, and more so."}
+    not_one = ["Licensed under the Foo License, Version 2.0", "GNU General Public License",
+               "the apache foundation released version 2.0 of its license"]
+    for n in (10, 3000):
+        rows = [(f"{k}.txt", t) for k, t in notices.items()] + [(f"{i}", t) for i, t in enumerate(not_one)]
+        frame = spark.createDataFrame(rows, "path string, text string").unionByName(spark.range(n).selectExpr(
+            "concat('f', id) AS path", "concat('plain words ', id) AS text"))
+        out = {r.path: r.own_license for r in scan(frame).collect()}
+        assert {k: out[f"{k}.txt"] for k in notices} == {k: k for k in notices}
+        assert [out[str(i)] for i in range(3)] == [None] * 3
