@@ -11,6 +11,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,12 +38,56 @@ TEMPLATES = {
 }
 #: Terms without which a window is not the notice, the first (sought in all texts) a rare one.
 NEEDS = {
-    "Apache-2.0": "apache 2.0", "MIT": "license mit", "BSD-3-Clause": "redistribution source binary",
+    "Apache-2.0": "apache 2.0", "MIT": "license mit under", "BSD-3-Clause": "redistribution source binary",
     "GPL-2.0": "license general public 2", "GPL-3.0": "license general public 3",
     "LGPL-3.0": "license lesser 3", "MPL-2.0": "mozilla 2.0", "CC0-1.0": "waived copyright rights",
     "CC-BY-4.0": "cc by 4.0", "CC-BY-SA-4.0": "cc by-sa 4.0", "CC-BY-NC-4.0": "cc by-nc 4.0",
     "LicenseRef-All-Rights-Reserved": "reserved rights",
 }
+_GPL = ("This {what} is free software{mark} you can redistribute it and/or modify it under the terms of "
+        "the GNU {kind}General Public License as published by the Free Software Foundation, either "
+        "version {n} of the License, or (at your option) any later version.")
+#: Standard headers of several lines: licence, text, terms needed, terms barred.
+HEADERS = [
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this "
+     "file except in compliance with the License. You may obtain a copy of the License at "
+     "http://www.apache.org/licenses/LICENSE-2.0", "apache 2.0", ""),
+    ("GPL-2.0", _GPL.format(what="program", mark=";", kind="", n="2"), "license general 2", "lesser affero"),
+    ("GPL-3.0", _GPL.format(what="program", mark=":", kind="", n="3"), "license general 3", "lesser affero"),
+    ("LGPL-2.1", _GPL.format(what="library", mark=";", kind="Lesser ", n="2.1"), "license lesser 2.1", ""),
+    ("LGPL-3.0", _GPL.format(what="library", mark=":", kind="Lesser ", n="3"), "license lesser 3", ""),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If "
+     "a copy of the MPL was not distributed with this file, You can obtain one at "
+     "https://mozilla.org/MPL/2.0/", "mozilla 2.0", ""),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+     "software and associated documentation files (the Software), to deal in the Software without "
+     "restriction", "granted charge permission", ""),
+    ("MIT", "Licensed under the MIT License", "license mit under", ""),
+]
+#: Titles, which count as lines of their own only: licence, text, terms needed.
+TITLES = [
+    ("Apache-2.0", "Apache License Version 2.0", "apache 2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004", "apache 2.0"), ("MIT", "MIT License", "license mit"),
+    ("MIT", "The MIT License (MIT)", "license mit"),
+    ("BSD-2-Clause", "BSD 2-Clause License", "2-clause bsd"),
+    ("BSD-3-Clause", "BSD 3-Clause License", "3-clause bsd"), ("ISC", "ISC License", "license isc"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0", "mozilla 2.0"),
+    ("GPL-2.0", "GNU General Public License Version 2", "license general 2"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991", "license general 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3", "license general 3"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007", "license general 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1", "license lesser 2.1"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3", "license lesser 3"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007", "license lesser 2007"),
+]
+#: Whole texts in license_texts: terms needed, and terms that tell of a sibling licence.
+TEXT_NEEDS = {
+    "Apache-2.0": ("apache 2.0",), "MIT": ("granted charge permission",), "ISC": ("granted fee permission",),
+    "BSD-2-Clause": ("redistribution binary", "endorse"), "BSD-3-Clause": ("redistribution binary endorse",),
+    "CC0-1.0": ("cc0 affirmer",), "CC-BY-SA-4.0": ("sharealike", "noncommercial"),
+    "GPL-2.0": ("license general 1991",), "GPL-3.0": ("license general 2007", "remotely"),
+    "LGPL-2.1": ("license lesser 2.1",), "LGPL-3.0": ("license lesser 2007",), "MPL-2.0": ("mozilla 2.0",),
+}
 #: A window can have the licence of a template if their cosine is at least this.
 LEAST = 0.8
 GAP = "[^a-z0-9.-]+"
@@ -142,8 +187,9 @@ class Template:
         if any(x not in places for x in self.needs):
             return 0.0
         if self.alone:
-            spans = [s for i, line in enumerate(lines) for s in (line, line + sum(lines[i + 1:i + 2], []))
-                     if len(line) <= 2 * self.size and len(s) <= 2 * self.size]
+            most = self.size + self.size // 5
+            spans = [s for i, line in enumerate(lines) if len(line) <= most
+                     for s in (line, line + sum(lines[i + 1:i + 2], [])) if len(s) <= most]
             return max((self.slide(s, len(s)) for s in spans if all(x in s for x in self.needs)),
                        default=0.0)
         near = sum(n * n * self.squares[t] for t, n in self.counts.items() if t in places)
@@ -212,9 +258,21 @@ def notices(files: DataFrame, text: str, templates: dict[str, str], least: float
 
 
 def all_templates(templates: dict[str, str]) -> list[Template]:
-    """The notices ``templates``."""
-    return [Template(n, t, NEEDS.get(n, "") if t == TEMPLATES.get(n) else "")
-            for n, t in templates.items()]
+    """The notices ``templates``; for the fixed ones also the other forms of their licences."""
+    out = [Template(n, t, NEEDS.get(n, "") if t == TEMPLATES.get(n) else "")
+           for n, t in templates.items()]
+    if templates is not TEMPLATES:
+        return out
+    out += [Template(n, t, needs, bars) for n, t, needs, bars in HEADERS]
+    out += [Template(n, t, needs, alone=True) for n, t, needs in TITLES]
+    out += [Template(n, f"SPDX-License-Identifier: {n}{end}",
+                     f"spdx-license-identifier {n}{end}".lower())
+            for n in {**TEMPLATES, **TEXT_NEEDS} if not n.startswith("LicenseRef")
+            for end in (("", "-only", "-or-later") if "GPL" in n else ("",))]
+    # Read by the driver only; the tasks get the vectors.
+    folder = Path(__file__).parent / "license_texts"
+    return out + [Template(n, (folder / f"{n}.txt").read_text("utf-8"), *need)
+                  for n, need in TEXT_NEEDS.items()]
 
 
 def inherited(files: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 import math
 from collections import Counter
+from pathlib import Path
 
+from docsync.llm import licenses
 from docsync.llm.licenses import LEAST, TEMPLATES, best, scan, terms
 
 FILES = [
@@ -87,3 +89,23 @@ def test_extra_words_never_sink_a_notice(spark):
         out = {r.path: r.own_license for r in scan(frame).collect()}
         assert {k: out[f"{k}.txt"] for k in notices} == {k: k for k in notices}
         assert [out[str(i)] for i in range(3)] == [None] * 3
+
+
+def test_whole_licences_wrapped_headers_and_titles(spark):
+    folder = Path(licenses.__file__).parent / "license_texts"
+    rows = [(f"text/{p.stem}", "Copyright (c) 2020 Foo Inc.\nAll rights reserved.\n" + p.read_text())
+            for p in folder.glob("*.txt")]
+    rows += [(f"wrapped/{p.stem}", "code " * 300 + p.read_text().replace("\n", "\n// ") + " code" * 300)
+             for p in folder.glob("*.txt")]
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms "
+           "of the GNU General Public License as published by\n# the Free Software Foundation, either "
+           "version {} of the License, or\n# (at your option) any later version.\nimport x\n")
+    rows += [("h/GPL-2.0", gpl.format(2)), ("h/GPL-3.0", gpl.format(3)), ("t/MIT", "MIT License\n\nmore"),
+             ("t/GPL-3.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n"),
+             ("h/BSD-3-Clause", " * Redistribution and use in source and binary forms, with or\n * without "
+              "modification, are permitted provided that the following\n * conditions are met:"),
+             ("s/LGPL-2.1", "// SPDX-License-Identifier: LGPL-2.1-or-later"),
+             ("i/LicenseRef-All-Rights-Reserved", "Copyright (c) 2020 Foo Inc. All rights reserved."),
+             ("no/None", "we read the mit license\nand the GNU General Public License\nlicense 3")]
+    out = scan(spark.createDataFrame(rows, "path string, text string")).collect()
+    assert {r.path: str(r.own_license) for r in out} == {p: p.split("/")[1] for p, _ in rows}
