@@ -85,5 +85,66 @@ SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed,
 FROM d LEFT JOIN f ON f.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
 
+#: The table of crc32 by byte, as a list, and the unsigned crc32 of a text of ASCII digits or of
+#: bytes given as a list, with that list at hand as ``crc.t``.
+CRC_TABLE = """
+crc AS MATERIALIZED (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k:
+  CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def crc32_of(numbers: str) -> str:
+    """SQL for the crc32 of a list of byte values."""
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {numbers}), lambda c, b: "
+            "xor(crc.t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)")
+
+
+def op13() -> str:
+    """Trees of up to LEVELS levels, so 16 ** LEVELS leaves in a source and as many sources."""
+    levels = 8
+    digits = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+
+    def field(name):
+        return f"coalesce(strlen(CAST({name} AS VARCHAR)) || ':' || {name}, '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    def climb(node, fold):
+        out = []
+        for k in range(1, levels + 1):
+            slot, kids = "f.i % 16", f"{node}{k}.kids"
+            out.append(f"""
+{node}{k} AS MATERIALIZED (SELECT s, i // 16 AS i, list(h ORDER BY i) AS kids, any_value(c) AS c0,
+  CASE WHEN any_value(c) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h,
+  (any_value(c) + 15) // 16 AS c FROM {node}{k - 1} GROUP BY s, i // 16)""")
+            out.append(f"""
+{fold}{k} AS MATERIALIZED (SELECT f.* REPLACE (f.i // 16 AS i,
+  CASE WHEN c0 = 1 THEN now ELSE sha256(array_to_string({kids}[:{slot}], '') || now
+    || array_to_string({kids}[{slot} + 2:], '')) END AS now,
+  CASE WHEN c0 = 1 THEN sib ELSE sib || array_to_string({kids}[:{slot}], '')
+    || array_to_string({kids}[{slot} + 2:], '') END AS sib)
+  FROM {fold}{k - 1} f JOIN {node}{k} ON f.s = {node}{k}.s AND f.i // 16 = {node}{k}.i)""")
+        return ",".join(out)
+    return f"""
+WITH {CRC_TABLE},
+d AS MATERIALIZED (SELECT doc_id, coalesce('s' || source, 'n') AS s, {leaf("text")} AS leaf,
+  CASE WHEN {crc32_of(digits)} % 5 = 0 THEN {leaf(
+      "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other
+  FROM documents, crc),
+f0 AS MATERIALIZED (SELECT doc_id, s, leaf, coalesce(other, leaf) AS now, '' AS sib,
+  count(*) OVER (PARTITION BY s) AS c,
+  row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+n0 AS (SELECT s, i, leaf AS h, c FROM f0),{climb("n", "f")},
+m0 AS MATERIALIZED (SELECT '' AS s, s AS own, row_number() OVER (ORDER BY s) - 1 AS i, h,
+  count(*) OVER () AS c FROM n{levels}),
+g0 AS MATERIALIZED (SELECT f.doc_id, f.leaf, m0.h AS subroot, '' AS s, m0.i, f.now, f.sib
+  FROM f{levels} f JOIN m0 ON f.s = m0.own),{climb("m", "g")}
+SELECT doc_id, leaf, subroot, m{levels}.h AS root, sha256(sib) AS proof_sha256,
+  now AS folded_root, now = m{levels}.h AS verified
+FROM g{levels}, m{levels}
+"""
+
+
 ORACLE = {"op2_ngram_jaccard": OP2, "op7_warc": OP7, "op8_quality_rules": OP8,
-          "op9_suffix_dedup": OP9}
+          "op9_suffix_dedup": OP9, "op13_merkle_manifest": op13()}

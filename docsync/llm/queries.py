@@ -10,6 +10,7 @@ from docsync.llm.common import table
 from docsync.llm.fingerprints import fingerprints
 from docsync.llm.jaccard import similar
 from docsync.llm.licenses import scan
+from docsync.llm.merkle import manifest, tampered_text
 from docsync.llm.mixing import mix
 from docsync.llm.packing import matrices, pack
 from docsync.llm.quality import quality
@@ -72,6 +73,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"), tampered_text())
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -83,4 +88,5 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
