@@ -146,5 +146,35 @@ FROM g{levels}, m{levels}
 """
 
 
+OP12 = f"""
+WITH RECURSIVE {CRC_TABLE},
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+k AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY doc_id, run),
+b AS (SELECT run, n, flatten(list_transform(
+  string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda x:
+  CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END)) AS bytes
+  FROM k),
+h AS (SELECT run, n, {crc32_of("bytes")} AS h FROM b, crc),
+w AS MATERIALIZED (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run))
+    || substr(run, 2 + h % length(run)) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+  FROM h GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+g AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (SELECT a.word, b.word AS other FROM g a JOIN g b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT g.word, w.word FROM g JOIN w ON g.rest = w.word
+  UNION SELECT w.word, g.word FROM g JOIN w ON g.rest = w.word),
+f AS MATERIALIZED (SELECT p.word, w.n, count(*) OVER (PARTITION BY p.word) AS n_near, other, o.n AS other_n
+  FROM p JOIN w ON w.word = p.word JOIN w o ON o.word = other
+  QUALIFY row_number() OVER (PARTITION BY p.word ORDER BY o.n DESC, other) = 1),
+c(word, root) AS (SELECT word, word FROM w UNION ALL
+  SELECT c.word, f.other FROM c JOIN f ON f.word = c.root AND f.other_n >= 2 * f.n),
+e AS (SELECT c.word, c.root FROM c LEFT JOIN f ON f.word = c.root AND f.other_n >= 2 * f.n WHERE f.word IS NULL)
+SELECT w.word, CASE WHEN other_n >= 2 * w.n THEN other END AS form, e.root, w.n,
+  coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n
+FROM w LEFT JOIN f ON f.word = w.word JOIN e ON e.word = w.word
+"""
+
 ORACLE = {"op2_ngram_jaccard": OP2, "op7_warc": OP7, "op8_quality_rules": OP8,
-          "op9_suffix_dedup": OP9, "op13_merkle_manifest": op13()}
+          "op9_suffix_dedup": OP9, "op12_spelling_variants": OP12,
+          "op13_merkle_manifest": op13()}
