@@ -15,6 +15,7 @@ from docsync.llm.mixing import mix
 from docsync.llm.packing import matrices, pack
 from docsync.llm.quality import quality
 from docsync.llm.suffixes import dedup
+from docsync.llm.toxicity import toxicity
 from docsync.llm.variants import variants
 from docsync.llm.warc import archived
 
@@ -74,6 +75,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(table(spark, sf_dir, "documents"))
 
@@ -93,6 +98,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_toxicity": op11_toxicity,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

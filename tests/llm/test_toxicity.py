@@ -1,0 +1,164 @@
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from docsync.llm import toxicity as t
+from docsync.llm.toxicity import Index, toxicity, weights
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rng = random.Random(4)
+    plain = [f"word{i}" for i in range(300)]
+    stems = ["grumpf", "snarlo", "vexatur"]
+
+    def text(bad):
+        out = rng.choices(plain, k=60)
+        for _ in range(rng.randrange(1, 5) if bad else 0):
+            out.insert(rng.randrange(len(out)), rng.choice(stems).title() + rng.choice(["e", "en", "us", "ant"]))
+        return " ".join(out)
+    rows = [(i, text(i % 6 == 0), int(i % 6 == 0)) for i in range(600)]
+    docs = spark.createDataFrame([(i, x, 0.5, [1]) for i, x, _ in rows],
+                                 "doc_id long, text string, score double, terms array<int>").repartition(4)
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    return docs, labels, rows
+
+
+def test_held_out_accuracy(labelled):
+    docs, labels, rows = labelled
+    truth = {i: y for i, _, y in rows}
+    out = toxicity(docs, labels).collect()
+    assert {r.doc_id for r in out if r.held_out} == {
+        i for i in truth if zlib.crc32(str(i).encode()) % 5 == 0}
+    test = [r for r in out if r.held_out]
+    assert sum(r.predicted == truth[r.doc_id] for r in test) >= 0.97 * len(test)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in out)
+    for r in out:  # evidence names examples that may be learned from, nearest first
+        near = [e.similarity for e in r.evidence]
+        assert near == sorted(near, reverse=True) and all(e.toxic == truth[e.doc_id] for e in r.evidence)
+        assert not any(zlib.crc32(str(e.doc_id).encode()) % 5 == 0 for e in r.evidence)
+
+
+def test_held_out_labels_are_not_learned(labelled):
+    docs, labels, _ = labelled
+    turned = labels.selectExpr("doc_id", "CASE WHEN crc32(encode(string(doc_id), 'utf-8')) % 5 = 0 "
+                               "THEN 1 - toxic ELSE toxic END AS toxic")
+    assert sorted(map(str, toxicity(docs, labels).collect())) == \
+        sorted(map(str, toxicity(docs, turned).collect()))
+
+
+def by_hand(docs, labels, found, rows=t.TRAIN_ROWS):
+    """Scores from cosines with every example, over the chosen terms ``found``."""
+    def vector(text):
+        counts = {}
+        for w in t.words(text or ""):
+            for x in t.terms(w):
+                if x in found:
+                    counts[x] = counts.get(x, 0) + 1
+        return counts
+    texts = {r.doc_id: vector(r.text) for r in docs.collect()}
+    df = {x: sum(x in v for v in texts.values()) for x in found}
+    idf = {x: math.log((1 + len(texts)) / (1 + df[x])) + 1 for x in found}
+
+    def unit(counts):
+        v = {x: (1 + math.log(c)) * idf[x] for x, c in counts.items()}
+        size = math.sqrt(sum(w * w for w in v.values()))
+        return {x: w / size for x, w in v.items()}
+    learned = {r.doc_id: r.label for r in t.labelled(labels, rows).collect()}
+    examples = [(i, y, unit(texts[i])) for i, y in learned.items()]
+    empty = [y for _, y, v in examples if not v]
+    base = (sum(empty) + 0.5) / (len(empty) + 1)
+
+    def vote(counts, without=None):
+        v = unit(counts)
+        near = sorted(((sum(w * o.get(x, 0) for x, w in v.items()), y) for i, y, o in examples
+                       if i != without), reverse=True)
+        last = near[min(t.NEAREST, len(near)) - 1][0]
+        sure = [x for x in near if x[0] > last + 1e-9]
+        tied = [x for x in near if abs(x[0] - last) <= 1e-9 and x[0] > 0]
+        return sure, tied, base
+    return texts, vote
+
+
+def test_votes_are_those_of_all_examples(labelled):
+    """Of ties at the last place any may vote, so a vote lies between the extremes of them."""
+    docs, labels, _ = labelled
+    learned = t.labelled(labels, t.TRAIN_ROWS)
+    ids = docs.select("doc_id", "text")
+    found = t.chosen_terms(ids.join(learned, "doc_id"))
+    assert any(x.startswith("grumpf") for x in found) and not any(x.startswith("word") for x in found)
+    texts, vote = by_hand(docs, labels, found)
+    index_of = {x: i for i, x in enumerate(found)}
+    vectors = ids.select("doc_id", t.held_out(ids["doc_id"]).alias("held_out"), "text").mapInArrow(
+        t._counter(index_of), "doc_id long, held_out boolean, terms array<int>, counts array<long>")
+    index = t.fit(vectors, learned, len(found))
+    checked = 0
+    for i, counts in texts.items():
+        if not counts:
+            continue
+        own = sorted((index_of[x], c) for x, c in counts.items())
+        value, rows, near = index.vote(np.array([a for a, _ in own]), np.array([b for _, b in own], float))
+        sure, tied, base = vote(counts)
+        room = min(t.NEAREST, len(sure) + len(tied)) - len(sure)
+        assert len(near) == len(sure) + room
+        assert np.allclose(sorted(near, reverse=True), [s for s, _ in sure] + [tied[0][0]] * room, atol=1e-8)
+        total = sum(s for s, _ in sure) + room * (tied[0][0] if tied else 0) + t.PRIOR
+        low, high = (sum(s * y for s, y in sure) + base * t.PRIOR + sum(
+            sorted((s * y for s, y in tied), reverse=turn)[:room]) if room else 0 for turn in (False, True))
+        if not room:
+            low = high = sum(s * y for s, y in sure) + base * t.PRIOR
+        assert low / total - 1e-8 <= value <= high / total + 1e-8
+        checked += 1
+    assert checked > 90
+
+
+def test_index_equals_all_cosines(monkeypatch):
+    monkeypatch.setattr(t, "BLOCK", 4)
+    monkeypatch.setattr(t, "NEAREST", 5)
+    rng = np.random.default_rng(3)
+    idf = rng.uniform(1, 5, 30)
+    examples = [(i, int(rng.integers(2)), np.sort(rng.choice(30, rng.integers(1, 6), replace=False)),
+                 rng.integers(1, 5, 6)[:5].astype(float)) for i in range(203)]
+    examples = [(i, y, x, c[:len(x)]) for i, y, x, c in examples]
+    index = Index.over(examples, idf)
+    dense = np.zeros((203, 30))
+    for i, _, x, c in examples:
+        dense[i, x] = weights(x, c, idf)
+    for _ in range(100):
+        x = np.sort(rng.choice(30, 3, replace=False))
+        q = weights(x, np.ones(3), idf)
+        rows, near = index.nearest(x, q)
+        full = np.sort(dense[:, x] @ q)[::-1]
+        assert np.allclose(near, full[:5][full[:5] > 0], atol=1e-9)
+        assert np.allclose(near, [dense[index.ids[r]][x] @ q for r in rows], atol=1e-9)
+    assert index.scored[0] < 0.6 * index.scored[1]  # the bounds leave blocks out
+
+
+def test_bound_of_the_sample(labelled, spark):
+    docs, labels, _ = labelled
+    assert t.labelled(labels, 50).count() == 50
+    assert len(toxicity(docs, labels, 50).collect()) == 600
+
+
+def test_odd_rows(odd_docs, no_docs, labelled, spark):
+    _, labels, _ = labelled
+    out = toxicity(odd_docs, labels).collect()
+    assert len(out) == odd_docs.count()
+    assert not any(r.held_out for r in out if r.doc_id is None)
+    assert toxicity(no_docs, labels).collect() == []
+    for few in (labels.limit(0), labels.filter("toxic = 0")):
+        assert len({r.score for r in toxicity(odd_docs, few).collect()}) == 1
+    awkward = spark.createDataFrame([(1, None), (None, 1), (5, 1), (5, 0), (6, 7), (99999, 1)],
+                                    "doc_id long, toxic int")
+    assert len(toxicity(odd_docs, awkward).collect()) == len(out)
+
+
+def test_long_text(spark, labelled):
+    _, labels, _ = labelled
+    long = "river " * 250_000 + "grumpfen"
+    docs = labelled[0].select("doc_id", "text").union(spark.createDataFrame([(10_000, long)], "doc_id long, text string"))
+    found = {r.doc_id: r for r in toxicity(docs, labels).collect()}
+    assert found[10_000].predicted == 1
