@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from docsync.functions.text import column_text, pattern_tokens
 from docsync.functions.times import iso_date, strict_date_time, utc_text
 from docsync.operators.enrich import CUSTOM_MAP
-from docsync.operators.ids import DOC_ID, WRITES
+from docsync.operators.ids import DOC_ID, ERROR_TYPE, ERRORS, WRITES
 
 # Documents per exported file (one bulk request).
 BULK_SIZE = 12000
@@ -69,11 +70,17 @@ def _strict_cast(c: Column, name: str, kind: str) -> Column:
     return F.when(c.isNotNull() & fit.isNull(), bad.cast(kind)).otherwise(fit)
 
 
-def _date(c: Column, f: T.StructField, name: str) -> Column:
-    """Dates as declared. Text is taken to be in the declared format already."""
-    form = name.split("||")[0].strip()
-    if form not in _DATES and not (_PATTERN.fullmatch(form) and "y" in form):
-        raise ValueError(f"field {f.name}: unknown date format {form}")
+def _forms(f: T.StructField, declared: str) -> list[str]:
+    """The date formats of a field, first the one that times are written in."""
+    forms = [form.strip() for form in declared.split("||")]
+    for form in forms:
+        if form not in _DATES and not (_PATTERN.fullmatch(form) and "y" in form):
+            raise ValueError(f"field {f.name}: unknown date format {form}")
+    return forms
+
+
+def _date(c: Column, f: T.StructField, form: str) -> Column:
+    """Dates as declared. Text is taken to be in a declared format already."""
     if not isinstance(f.dataType, _TIMES):
         return c
     if form in _DATES:
@@ -83,8 +90,43 @@ def _date(c: Column, f: T.StructField, name: str) -> Column:
     return F.date_format(utc_text(c).cast("timestamp_ntz"), form)
 
 
+def _reads_as(text: Column, form: str) -> Column:
+    """Whether a text is a date of a declared format."""
+    if form.startswith("epoch"):
+        return text.rlike(r"^-?\d+$")
+    if form not in _DATES:
+        return F.try_to_timestamp(text, F.lit(form)).isNotNull()
+    day = r"^\d{4}-\d{2}-\d{2}"
+    time = r"T\d{2}:\d{2}:\d{2}\.\d{1,9}(Z|[+-]\d{2}:?\d{2})$"
+    if form.endswith("optional_time"):
+        time = r"(T\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+    elif not form.endswith("date_time"):
+        time = "$"
+    # The clock part is told by the pattern and by its numbers, whatever zone notation follows.
+    clock = F.regexp_extract(text, r"T(\d{2}:\d{2}:\d{2})", 1)
+    return text.rlike(day + time) & text.substr(1, 10).try_cast("date").isNotNull() & (
+        (clock == "") | F.concat(F.lit("1970-01-01 "), clock).try_cast("timestamp_ntz").isNotNull())
+
+
+def _unfit(c: Column, f: T.StructField, rule: Mapping) -> Column | None:
+    """Why a value does not fit its declaration, null where it does; None if it always fits."""
+    kind = rule.get("type", "object")
+    text, where = c.cast("string"), None
+    if kind in _CASTS and f.dataType.simpleString() != _CASTS[kind]:
+        where, reason = c.isNotNull() & c.try_cast(_CASTS[kind]).isNull(), f"not {kind}"
+    elif kind == "date" and not isinstance(f.dataType, _TIMES):
+        forms = _forms(f, rule.get("format", "strict_date_time"))
+        fits = [_reads_as(text, form) for form in forms]
+        where, reason = c.isNotNull() & ~reduce(lambda a, b: a | b, fits), f"not {'||'.join(forms)}"
+    if where is None:
+        return None
+    return F.when(where, F.struct(F.lit(f.name).alias("field"), text.alias("value"),
+                                  F.lit(reason).alias("reason")))
+
+
 def apply_mapping(docs: DataFrame, mapping, tokenize: bool = True,
-                  analyzers: Mapping[str, str] | None = None, fields=None) -> DataFrame:
+                  analyzers: Mapping[str, str] | None = None, fields=None,
+                  errors: bool = False) -> DataFrame:
     """Cast the declared fields; undeclared ones stay, declared but missing ones are skipped.
 
     Text and keyword become strings; numbers and booleans are cast, and a value that does not fit
@@ -92,28 +134,51 @@ def apply_mapping(docs: DataFrame, mapping, tokenize: bool = True,
     analyzer is among ``analyzers`` (name, pattern between tokens) becomes its tokens unless
     ``tokenize`` is off; with any other analyzer it stays whole. Objects, addresses and the like
     stay as they are. ``fields`` restricts the work to some columns.
+
+    With ``errors`` no value stops the run: a value that does not fit becomes null and an entry
+    (field, value, reason) of the row's ERRORS, which dates given as text can have too. Entries
+    that a row has already stay.
     """
     declared = {name.lower(): rule for name, rule in mapping.get("properties", mapping).items()}
-    out = []
+    out, bad = [], []
     for f in docs.schema.fields:
         c, rule = F.col(f"`{f.name}`"), declared.get(f.name)
-        if rule is not None and f.name != WRITES and (fields is None or f.name in fields):
+        if rule is not None and f.name not in (WRITES, ERRORS) and (fields is None or f.name in fields):
             kind = rule.get("type", "object")
+            why = _unfit(c, f, rule) if errors else None
             if kind in _TEXTS:
                 c = column_text(docs, f.name)
                 pattern = (analyzers or {}).get(rule.get("analyzer"))
                 if pattern is not None and tokenize:
                     c = pattern_tokens(c, pattern)
             elif kind == "date":
-                c = _date(c, f, rule.get("format", "strict_date_time"))
+                c = _date(c, f, _forms(f, rule.get("format", "strict_date_time"))[0])
             elif kind in _CASTS:
-                c = _strict_cast(c, f.name, _CASTS[kind])
+                c = c.try_cast(_CASTS[kind]) if errors else _strict_cast(c, f.name, _CASTS[kind])
             elif kind not in _AS_IS:
                 raise ValueError(f"field {f.name}: unknown type {kind}")
-        out.append(c.alias(f.name))
+            if why is not None:
+                bad.append(why)
+                c = F.when(why.isNull(), c)
+        if f.name != ERRORS:
+            out.append(c.alias(f.name))
+    if bad or ERRORS in docs.columns:
+        found = F.filter(F.array(*bad), lambda e: e.isNotNull()).cast(ERROR_TYPE) if bad else None
+        had = F.col(ERRORS) if ERRORS in docs.columns else None
+        both = [x for x in (had, found) if x is not None]
+        out.append((F.concat(*both) if len(both) > 1 else both[0]).alias(ERRORS))
     return docs.select(*out)
 
 
+def split_errors(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents without errors, one row (doc_id, field, value, reason) per error)."""
+    if ERRORS not in docs.columns:
+        none = docs.select(DOC_ID, F.lit(None).cast(ERROR_TYPE).alias(ERRORS)).limit(0)
+        return docs, none.select(DOC_ID, F.explode(ERRORS).alias("e")).select(DOC_ID, "e.*")
+    return (docs.where(F.size(ERRORS) == 0).drop(ERRORS),
+            docs.select(DOC_ID, F.explode(ERRORS).alias("e")).select(DOC_ID, "e.*"))
+
+
 def _json(c: Column, ignore_nulls: bool) -> Column:
     return F.to_json(c, {"ignoreNullFields": str(ignore_nulls).lower()})
 
@@ -126,7 +191,7 @@ def to_ndjson(docs: DataFrame, index: str, ignore_nulls: bool = False) -> DataFr
     """
     action = F.to_json(F.struct(F.struct(
         F.lit(index).alias("_index"), F.col(DOC_ID).alias("_id")).alias("create")))
-    fields = [c for c in docs.columns if c not in (DOC_ID, WRITES, CUSTOM_MAP)]
+    fields = [c for c in docs.columns if c not in (DOC_ID, WRITES, ERRORS, CUSTOM_MAP)]
     if CUSTOM_MAP in docs.columns:
         body = _merged_body(fields, ignore_nulls)
     else:

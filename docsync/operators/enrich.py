@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docsync.functions.text import column_text, join_keys, pair_text
 from docsync.operators.concat import ordered_concat
-from docsync.operators.ids import DOC_ID, WRITES
+from docsync.operators.ids import DOC_ID, ERRORS, WRITES
 from docsync.spec import SyncSpec
 
 CUSTOM_FIELDS = "custom_fields"
@@ -99,7 +99,7 @@ def flatten(docs: DataFrame, ext: DataFrame, extension_column: str, keys=None, o
     With ``keys`` declared each becomes a column.  Without, all keys go to one map column
     ``custom`` (their number has no limit, so they are not columns).  A custom field replaces an ordinary field of the same name; an id column is never replaced.
     """
-    protected = {DOC_ID, WRITES, *id_columns}
+    protected = {DOC_ID, WRITES, ERRORS, *id_columns}
     doc_key, rows = eav(docs, extension_column, ext, order)
     if keys is None:
         return _attach(docs, doc_key, _latest(rows.where(~F.col("item.key").isin(*protected))))
@@ -151,7 +151,7 @@ def custom_in_one(docs: DataFrame, ext: DataFrame, extension_column: str, order=
 
 def all_in_one(docs: DataFrame) -> DataFrame:
     """Standard and custom fields as one text ``all_fields``, in the form of ``custom_fields``."""
-    standard = [c for c in docs.columns if c not in (DOC_ID, WRITES, CUSTOM_FIELDS)]
+    standard = [c for c in docs.columns if c not in (DOC_ID, WRITES, ERRORS, CUSTOM_FIELDS)]
     parts = [pair_text(F.lit(c), column_text(docs, c)) for c in standard]
     if CUSTOM_FIELDS in docs.columns:
         parts.append(F.coalesce(F.col(CUSTOM_FIELDS), F.lit("")))

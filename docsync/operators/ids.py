@@ -13,6 +13,9 @@ from docsync.functions.text import column_text, doc_id, is_whole
 DOC_ID = "doc_id"
 # Number of source rows behind one document of a load
 WRITES = "_writes"
+# Why a row cannot become a document; empty or absent where it can
+ERRORS = "_errors"
+ERROR_TYPE = "array<struct<field: string, value: string, reason: string>>"
 
 
 def with_doc_id(rows: DataFrame, id_columns, separator: str = "-") -> DataFrame:

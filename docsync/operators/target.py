@@ -10,43 +10,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsync import storage
-from docsync.operators.ids import DOC_ID, WRITES, absent, first_per_id, last_per_id
-from docsync.operators.snapshot import Snapshot
+from docsync.operators.buckets import BUCKETS, Buckets
+from docsync.operators.ids import DOC_ID, ERRORS, WRITES, absent, first_per_id, last_per_id
 
 # Ids of a batch are broadcast against the target up to this size, measured on the staged batch.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Memory of one broadcast id besides its text.
 ROW_OVERHEAD = 64
-# How many times smaller than the target a batch must be for that.
-SMALLER = 4
 
 
 @dataclass(frozen=True)
 class Counts:
-    """What became of the rows of one load."""
+    """What became of the rows of one load. ``errors`` are documents with a value that does not fit
+    their mapping: they are recorded, not stored."""
 
     created: int = 0
     conflicts: int = 0
     rejected: int = 0
     updated: int = 0
+    errors: int = 0
 
 
-class Target(Snapshot):
+class Target(Buckets):
     """One document set, unique by ``doc_id``."""
 
-    def __init__(self, spark: SparkSession, root: str, name: str, sorted_ids: bool = False):
-        super().__init__(spark, f"{root.rstrip('/')}/{name}")
+    def __init__(self, spark: SparkSession, root: str, name: str, sorted_ids: bool = False,
+                 buckets: int = BUCKETS):
+        super().__init__(spark, f"{root.rstrip('/')}/{name}", buckets)
         self.name = name
         self.sorted_ids = sorted_ids
 
-    def ids(self) -> DataFrame:
-        return self.read().select(DOC_ID)
-
-    def laid_out(self, docs: DataFrame) -> DataFrame:
-        """Rows in the order they are stored in; sorted files let scans skip by id range."""
-        if not self.sorted_ids:
-            return docs
-        return docs.repartitionByRange(DOC_ID).sortWithinPartitions(DOC_ID)
+    def ids(self, within=None) -> DataFrame:
+        return self.read(within).select(DOC_ID)
 
 
 def _as_is(docs: DataFrame, batch: DataFrame | None = None) -> DataFrame:
@@ -62,18 +57,17 @@ def recreate(target: Target, batch: DataFrame, finish=_as_is, order=(), unique:
     the last stage, whose tasks count once each even if they are repeated.
     """
     has_id = F.col(DOC_ID).isNotNull()
-    left_out = 0
-    if unique and target.sorted_ids:  # rows without id would all sort into one task
-        left_out = batch.where(~has_id).count()
-        batch = batch.where(has_id)
-    docs = target.laid_out(finish(first_per_id(batch, order, unique, by), None))
     seen = Observation()
-    docs = docs.observe(
-        seen, F.coalesce(F.sum(F.when(has_id, F.col(WRITES))), F.lit(0)).alias("writes"),
-        F.coalesce(F.sum(F.when(~has_id, F.col(WRITES))), F.lit(0)).alias("rejected"))
-    created = target.replace(docs.where(has_id).drop(WRITES))
+    with target.lock():
+        docs = target.laid_out(finish(first_per_id(batch, order, unique, by), None), True,
+                               target.sorted_ids)
+        docs = docs.observe(
+            seen, F.coalesce(F.sum(F.when(has_id, F.col(WRITES))), F.lit(0)).alias("writes"),
+            F.coalesce(F.sum(F.when(~has_id, F.col(WRITES))), F.lit(0)).alias("rejected"))
+        stored = target.replace(docs.where(has_id).drop(WRITES))
     totals = seen.get
-    return Counts(created, totals["writes"] - created, totals["rejected"] + left_out)
+    return Counts(stored.documents, totals["writes"] - stored.documents - stored.failed,
+                  totals["rejected"], errors=stored.failed)
 
 
 @dataclass(frozen=True)
@@ -84,6 +78,7 @@ class _Size:
     id_bytes: int
     first_id: str | None
     last_id: str | None
+    buckets: list
 
 
 @contextmanager
@@ -95,43 +90,36 @@ def _staged(target: Target, batch: DataFrame):
         F.coalesce(F.sum(F.when(has_id, F.col(WRITES))), F.lit(0)).alias("writes"),
         F.coalesce(F.sum(F.when(~has_id, F.col(WRITES))), F.lit(0)).alias("rejected"),
         F.coalesce(F.sum(F.octet_length(DOC_ID)), F.lit(0)).alias("id_bytes"),
-        F.min(DOC_ID).alias("first_id"), F.max(DOC_ID).alias("last_id"))
+        F.min(DOC_ID).alias("first_id"), F.max(DOC_ID).alias("last_id"),
+        F.collect_set(F.when(has_id, target.bucket())).alias("buckets"))
     with storage.staged(batch, target.name) as rows:
         yield rows, _Size(**seen.get)
 
 
-def _if_small(target: Target, ids: DataFrame, size: _Size) -> DataFrame | None:
-    """The ids marked for broadcast, or None where they are too many for it or where the target is
-    not the much larger side."""
-    if size.id_bytes + ROW_OVERHEAD * size.ids > BROADCAST_BYTES:
-        return None
-    if size.ids * SMALLER > target.written_rows():
-        return None
-    return F.broadcast(ids)
-
-
 def create_if_absent(target: Target, batch: DataFrame, finish=_as_is, order=(),
                      unique: bool = False) -> Counts:
     """Insert the documents whose id is not in the target; the others are conflicts.
 
-    The batch is staged once.  Of the target only the ids within the range of the batch are read.
-    A small batch is compared by broadcasting its ids, so the target is not shuffled; a large one
-    by a shuffled anti join.  Only new rows go through ``finish``.
+    The batch is staged once.  Of the target only the ids in the buckets of the batch, and within
+    the range of its ids, are read.  A small batch is compared by broadcasting its ids, so the
+    target is not shuffled; a large one by a shuffled anti join.  Only new rows go through
+    ``finish``.
     """
-    base = target.current()
-    if base is None:
-        return recreate(target, batch, finish, order, unique)
-    with _staged(target, first_per_id(batch, order, unique)) as (rows, size):
-        if size.ids == 0:
-            return Counts(rejected=size.rejected)
-        known = rows.where(F.col(DOC_ID).isNotNull())
-        existing = target.ids().where(F.col(DOC_ID).between(size.first_id, size.last_id))
-        small = _if_small(target, known.select(DOC_ID), size)
-        if small is not None:
-            existing = existing.join(small, DOC_ID, "left_semi")
-        fresh = finish(absent(known, existing), known).drop(WRITES)
-        created = target.append(target.laid_out(fresh), base)
-    return Counts(created, size.writes - created, size.rejected)
+    with target.lock():
+        if not target.exists():
+            return recreate(target, batch, finish, order, unique)
+        with _staged(target, first_per_id(batch, order, unique)) as (rows, size):
+            if size.ids == 0:
+                return Counts(rejected=size.rejected)
+            known = rows.where(F.col(DOC_ID).isNotNull())
+            existing = target.ids(size.buckets).where(
+                F.col(DOC_ID).between(size.first_id, size.last_id))
+            if size.id_bytes + ROW_OVERHEAD * size.ids <= BROADCAST_BYTES:
+                existing = existing.join(F.broadcast(known.select(DOC_ID)), DOC_ID, "left_semi")
+            fresh = finish(absent(known, existing), known).drop(WRITES)
+            stored = target.append(target.laid_out(fresh, ordered=target.sorted_ids))
+    return Counts(stored.documents, size.writes - stored.documents - stored.failed, size.rejected,
+                  errors=stored.failed)
 
 
 def create_document(target: Target, document: dict) -> Counts:
@@ -141,10 +129,9 @@ def create_document(target: Target, document: dict) -> Counts:
     without a value is left out.
     """
     spark = target.spark
-    state = target.current()
-    known = {f["name"]: f for f in state["schema"]["fields"]} if state else {}
+    known = {f.name: f for f in target.schema().fields} if target.exists() else {}
     document = {k: v for k, v in document.items() if k in known or v is not None}
-    fields = [T.StructField.fromJson(known[k]) if k in known else T.StructField(
+    fields = [known[k] if k in known else T.StructField(
         k, spark.createDataFrame([Row(v=v)]).schema["v"].dataType) for k, v in document.items()]
     row = spark.createDataFrame([tuple(document.values())], T.StructType(fields))
     if DOC_ID not in row.columns:
@@ -156,20 +143,30 @@ def upsert(target: Target, batch: DataFrame, finish=_as_is, order=(),
            unique: bool = False) -> Counts:
     """Insert or update: the last row of an id counts instead of what the target holds.
 
-    The new documents and their ids are written; stored documents are only read for their ids.
+    The buckets of the batch's ids are written anew; a batch without any known id is appended. A
+    document whose new version has an error keeps its old one.
     """
-    with _staged(target, last_per_id(batch, order, unique)) as (rows, size):
+    with target.lock(), _staged(target, last_per_id(batch, order, unique)) as (rows, size):
         if size.ids == 0 and target.exists():
             return Counts(rejected=size.rejected)
         known = rows.where(F.col(DOC_ID).isNotNull())
-        docs = target.laid_out(finish(known, known).drop(WRITES))
+        docs = finish(known, known).drop(WRITES)
         if not target.exists():
-            created = target.replace(docs)
-            return Counts(created, size.writes - size.ids, size.rejected, size.ids - created)
-        updated = target.exchange(known.select(DOC_ID), docs)
-    return Counts(size.ids - updated, size.writes - size.ids, size.rejected, updated)
+            stored = target.replace(target.laid_out(docs, True, target.sorted_ids))
+            return Counts(stored.documents, size.writes - size.ids, size.rejected,
+                          errors=stored.failed)
+        with storage.staged(docs, target.name) as done:
+            failed, good = 0, done
+            if ERRORS in done.columns:
+                bad = F.size(ERRORS) > 0
+                failed = target.append(target.laid_out(done.where(bad))).failed
+                good = done.where(~bad).drop(ERRORS)
+            updated = target.exchange(good.select(DOC_ID), good, target.sorted_ids)
+    return Counts(size.ids - failed - updated, size.writes - size.ids, size.rejected, updated, failed)
 
 
 def delete(target: Target, keys: DataFrame) -> int:
     """Remove the documents with the given ids; returns how many there were."""
-    return target.exchange(keys.select(DOC_ID).where(F.col(DOC_ID).isNotNull()))
+    ids = keys.select(DOC_ID).where(F.col(DOC_ID).isNotNull()).distinct()
+    with target.lock(), storage.staged(ids, target.name) as gone:
+        return target.exchange(gone, ordered=target.sorted_ids)

@@ -31,7 +31,7 @@ class Home:
     def target(self, spec: SyncSpec | str) -> Target:
         if isinstance(spec, str):
             return Target(self.spark, self.root, spec)
-        return Target(self.spark, self.root, spec.name, spec.sorted_ids)
+        return Target(self.spark, self.root, spec.name, spec.sorted_ids, spec.buckets)
 
 
 @dataclass(frozen=True)
@@ -50,14 +50,14 @@ class Report:
 
 _REPORT = ("index_name string, flow string, status string, reason string, lo timestamp_ntz, "
            "hi timestamp_ntz, created bigint, conflicts bigint, rejected bigint, updated bigint, "
-           "deleted bigint")
+           "deleted bigint, errors bigint")
 
 
 def report_frame(spark: SparkSession, reports) -> DataFrame:
     """The run reports (one row per run) as a DataFrame."""
     rows = [(r.index_name, r.flow, r.status, r.reason, r.lo, r.hi, r.counts.created,
-             r.counts.conflicts, r.counts.rejected, r.counts.updated, r.deleted)
-            for r in reports]
+             r.counts.conflicts, r.counts.rejected, r.counts.updated, r.deleted,
+             r.counts.errors) for r in reports]
     return spark.createDataFrame(rows, _REPORT)
 
 
@@ -66,8 +66,9 @@ def documents(rows: DataFrame, spec: SyncSpec) -> DataFrame:
 
 
 def complete(spark: SparkSession, spec: SyncSpec, docs: DataFrame,
-             batch: DataFrame | None = None) -> DataFrame:
-    """Enrichment and mapping.  With a batch, only its extension rows are grouped."""
+             batch: DataFrame | None = None, errors: bool = False) -> DataFrame:
+    """Enrichment and mapping.  With a batch, only its extension rows are grouped; with ``errors``
+    values that do not fit the mapping are told in a column instead of ending the run."""
     ext = sql.extension_rows(spark, spec)
     if ext is not None and batch is not None:
         ext = batch_rows(ext, batch, spec.extension_column)
@@ -76,12 +77,13 @@ def complete(spark: SparkSession, spec: SyncSpec, docs: DataFrame,
     if ext is not None and spec.fields_mode == "flatten" and spec.ext_keys:
         # A custom field may take the place of one: the own values of the other documents are
         # written as declared before they become text.
-        docs = apply_mapping(docs, spec.mapping, False, fields=spec.ext_keys)
-    return apply_mapping(enrich(docs, ext, spec), spec.mapping, analyzers=spec.analyzers)
+        docs = apply_mapping(docs, spec.mapping, False, fields=spec.ext_keys, errors=errors)
+    return apply_mapping(enrich(docs, ext, spec), spec.mapping, analyzers=spec.analyzers,
+                         errors=errors)
 
 
 def _finish(spark: SparkSession, spec: SyncSpec):
-    return lambda docs, batch=None: complete(spark, spec, docs, batch)
+    return lambda docs, batch=None: complete(spark, spec, docs, batch, spec.unfit == "record")
 
 
 def init(spark: SparkSession, home: Home, spec: SyncSpec, now=None) -> Report:
@@ -123,7 +125,9 @@ def sync_once(spark: SparkSession, home: Home, spec: SyncSpec, now=None) -> Repo
     batch = documents(sql.window(spark, spec, lo, now), spec)
     counts = _write(spark, home, spec, batch)
     home.state.save(spec.name, now)
-    home.target(spec).merge(spec.max_parts)
+    target = home.target(spec)
+    with target.lock():
+        target.merge(spec.max_parts, spec.sorted_ids)
     return Report(spec.name, "sync", lo=lo, hi=now, counts=counts)
 
 

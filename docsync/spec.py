@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 FIELD_MODES = ("flatten", "custom_in_one", "all_in_one")
 WRITE_OPS = ("create", "upsert")
+UNFIT = ("record", "stop")
 
 
 def _names(value) -> tuple[str, ...]:
@@ -61,8 +62,13 @@ class SyncSpec:
     # Store documents sorted by id, so that windows whose ids lie close together (rising numbers,
     # time-ordered ids) read little of a large target.  Costs a shuffle in the full load
     sorted_ids: bool = False
-    # Parts of a target beyond which sync folds the small ones together
+    # Folders, by a hash of the id, that a full load makes; a window reads those of its ids only
+    buckets: int = 16
+    # Files of a bucket beyond which sync writes it anew
     max_parts: int = 16
+    # What a value does that does not fit its mapping: record keeps the document out, counts it and
+    # says why (Target.errors); stop ends the load
+    unfit: str = "record"
     # Type that ``?`` is bound as; timestamp_ntz matches parquet files without a time zone
     time_type: str = "timestamp"
     # Connection options; when set, SQL text runs in that database, in its own dialect
@@ -91,6 +97,11 @@ class SyncSpec:
             raise ValueError(f"{self.name}: fields_mode must be one of {FIELD_MODES}")
         if self.op not in WRITE_OPS:
             raise ValueError(f"{self.name}: op must be one of {WRITE_OPS}")
+        put("unfit", self.unfit.strip().lower())
+        if self.unfit not in UNFIT:
+            raise ValueError(f"{self.name}: unfit must be one of {UNFIT}")
+        if self.buckets < 1:
+            raise ValueError(f"{self.name}: buckets must be at least 1")
         if self.time_type not in ("timestamp", "timestamp_ntz"):
             raise ValueError(f"{self.name}: time_type must be timestamp or timestamp_ntz")
 

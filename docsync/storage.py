@@ -47,41 +47,6 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(draft, p, options)
 
 
-def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a small file that is not there yet; False if it is.
-
-    Of several writers exactly one succeeds: a hard link on a local file system, elsewhere a
-    rename that does not overwrite. Readers never see a part of the text.
-    """
-    from py4j.protocol import Py4JJavaError
-    fs, p = _path(spark, path)
-    jvm = spark._jvm
-    fs.mkdirs(p.getParent())
-    draft = p.suffix("." + uuid.uuid4().hex)
-    stream = fs.create(draft, True)
-    try:
-        stream.write(bytearray(text, "utf-8"))
-    finally:
-        stream.close()
-    try:
-        if p.toUri().getScheme() == "file":
-            to, source = (jvm.java.io.File(x.toUri().getPath()).toPath() for x in (p, draft))
-            jvm.java.nio.file.Files.createLink(to, source)
-        else:
-            rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-            options = spark.sparkContext._gateway.new_array(rename, 1)
-            options[0] = rename.NONE
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-                p.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, p, options)
-        return True
-    except Py4JJavaError as e:
-        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
-            return False
-        raise
-    finally:
-        fs.delete(draft, False)
-
-
 def files(spark: SparkSession, path: str) -> list[str]:
     fs, p = _path(spark, path)
     if not fs.exists(p):

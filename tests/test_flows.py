@@ -1,3 +1,4 @@
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
@@ -10,7 +11,6 @@ from docsync import Specs, SyncSpec, storage
 from docsync.operators import reconcile as rec
 from docsync.operators import target as targets
 from docsync.operators.ids import DOC_ID
-from docsync.operators import snapshot
 from docsync.operators.state import RefreshState, latest_state
 from docsync.operators.target import Counts, Target
 from docsync.plans import (Home, delete_once, fix, init, repair_missing, report_frame, run_all,
@@ -59,8 +59,6 @@ def target(spark, tmp_path):
 def way(request, monkeypatch):
     if request.param == "shuffle":
         monkeypatch.setattr(targets, "BROADCAST_BYTES", 0)
-    else:
-        monkeypatch.setattr(targets, "SMALLER", 0)
 
 
 def test_create_if_absent(spark, target, way):
@@ -71,8 +69,8 @@ def test_create_if_absent(spark, target, way):
     assert content(target) == {"a": "0", "b": "1", "c": "1"}
     assert targets.create_if_absent(target, again) == Counts(0, 2, 2)
     assert targets.create_if_absent(target, docs(spark, (None, "z"))) == Counts(0, 0, 1)
-    assert target.parts() == 2 and target.count() == target.written_rows() == 3
-    assert target.compact() == 3 and target.parts() == 1
+    assert target.count() == 3
+    assert target.merge(0) and target.count() == 3 and target.merge(4) == 0
 
 
 def test_small_batch_does_not_shuffle_the_target(spark, target, plan):
@@ -106,20 +104,19 @@ def test_recreate_hot_id(spark, target):
     assert content(target)["hot"] == "00000"
 
 
-def test_readers_keep_their_generation(spark, target):
+def test_readers_keep_their_load(spark, target):
     targets.recreate(target, docs(spark, ("a", "1")))
     reader = target.read()
     targets.recreate(target, docs(spark, ("b", "1")))
     assert [r.doc_id for r in reader.collect()] == ["a"]
-    for i in range(snapshot.KEPT + 3):
+    for i in range(4):
         targets.recreate(target, docs(spark, ("c", str(i))))
-    parts = [f for f in storage.folders(spark, target.path) if f.startswith("part-")]
-    assert len(parts) == snapshot.KEPT and content(target) == {"c": str(snapshot.KEPT + 2)}
+    assert len(storage.folders(spark, target.path)) == 2 and content(target) == {"c": "3"}
 
 
 def test_failed_write_changes_nothing(spark, target):
     targets.create_if_absent(target, docs(spark, ("a", "1")))
-    before = target.current()
+    before = content(target)
 
     def broken(rows, batch=None):
         return rows.withColumn("v", F.when(F.col("v") == "bad", F.raise_error(F.lit("sink"))
@@ -128,7 +125,10 @@ def test_failed_write_changes_nothing(spark, target):
     batch = docs(spark, ("b", "1"), ("c", "bad"))
     with pytest.raises(Exception, match="sink"):
         targets.create_if_absent(target, batch, broken)
-    assert target.current() == before
+    assert content(target) == before
+    with pytest.raises(Exception, match="sink"):
+        targets.recreate(target, batch, broken)
+    assert content(target) == before
     assert targets.create_if_absent(target, batch) == Counts(2, 0, 0)
     assert content(target) == {"a": "1", "b": "1", "c": "bad"}
 
@@ -154,55 +154,6 @@ def test_upsert_and_delete(spark, target, way):
     assert content(target) == {"b": "9", "c": "1"}
 
 
-def between(monkeypatch, target, other):
-    """``other`` runs after the next write of the target, before its commit."""
-    write, pending = Target._write, [other]
-
-    def writing(self, rows, kind="rows"):
-        part = write(self, rows, kind)
-        if pending and self is target:
-            pending.pop()()
-        return part
-
-    monkeypatch.setattr(Target, "_write", writing)
-
-
-@pytest.mark.parametrize("first", ["append", "replace", "upsert", "delete"])
-@pytest.mark.parametrize("second", ["append", "replace", "upsert", "delete", "compact"])
-def test_two_writers(spark, target, monkeypatch, first, second):
-    """Whatever another writer commits in between: nothing is lost or doubled."""
-    targets.create_if_absent(target, docs(spark, ("a", "1"), ("b", "1")))
-    targets.create_if_absent(target, docs(spark, ("c", "1")))
-    other = Target(spark, target.path.rpartition("/")[0], "docs")
-
-    def run(kind, on, mark, *ids):
-        batch = docs(spark, *[(i, mark) for i in ids])
-        if kind == "append":
-            return targets.create_if_absent(on, batch)
-        if kind == "replace":
-            return targets.recreate(on, batch)
-        if kind == "upsert":
-            return targets.upsert(on, batch)
-        return targets.delete(on, batch) if kind == "delete" else on.compact()
-
-    counts = []
-    between(monkeypatch, target, lambda: counts.append(run(second, other, "2", "b", "x", "y")))
-    counts.append(run(first, target, "3", "a", "x", "z"))
-    rows = target.read().collect()
-    ids = sorted(r.doc_id for r in rows)
-    assert len(ids) == len(set(ids)) == target.written_rows()
-    if second in ("append", "replace", "upsert"):
-        gone = {"x"} if first == "delete" else set()
-        assert {"x", "y"} - gone <= set(ids)
-    if first in ("append", "replace", "upsert"):
-        assert {"x", "z"} <= set(ids) or second == "delete"
-    if "delete" not in (first, second) and "replace" not in (first, second):
-        assert {"a", "b", "c"} <= set(ids)
-        assert sum(c.created for c in counts if isinstance(c, Counts)) == len(ids) - 3
-    if second != "compact" and first == second == "append":
-        assert counts[1] == Counts(1, 2, 0)  # "x" became a conflict
-
-
 def test_parallel_writers(spark, target):
     targets.create_if_absent(target, docs(spark, ("0", "x")))
 
@@ -212,33 +163,70 @@ def test_parallel_writers(spark, target):
     with ThreadPoolExecutor(4) as pool:
         created = list(pool.map(load, range(1, 13, 3)))
     assert sorted(content(target)) == sorted(str(i) for i in range(0, 16))
-    assert sum(created) == 15 == target.written_rows() - 1
+    assert sum(created) == 15 == target.count() - 1
 
 
-def test_upsert_leaves_stored_parts_alone(spark, target, plan):
+def files(target):
+    return set(target.read().inputFiles())
+
+
+def test_upsert_writes_only_the_buckets_of_its_ids(spark, target, plan):
     targets.recreate(target, docs(spark, *[(str(i), "x") for i in range(200)]))
-    before = target.current()["parts"]
+    before = files(target)
     assert targets.upsert(target, docs(spark, ("7", "new"))) == Counts(0, 0, 0, 1)
-    after = target.current()["parts"]
-    assert after[:1] == before and [p["rows"] for p in after] == [200, 1, 1]
+    after = files(target)
+    assert len(before - after) == 1  # the one bucket of 7
     assert content(target)["7"] == "new" and target.count() == 200
-    assert "Exchange hashpartitioning" not in plan(target.read())
-
-
-def test_merging_many_small_parts(spark, target, monkeypatch):
-    monkeypatch.setattr(snapshot, "KEPT", 3)
+    assert targets.upsert(target, docs(spark, ("new", "x"))) == Counts(1)
+    assert after < files(target)  # nothing is replaced
+    assert "Exchange" not in plan(target.read())
+
+
+def test_a_window_reads_only_its_buckets(spark, target, plan):
+    """And the target is not shuffled for it."""
+    targets.recreate(target, docs(spark, *[(str(i), "x") for i in range(500)]))
+    batch = docs(spark, ("5", "x"), ("7", "x"))
+    within = [r[0] for r in batch.select(target.bucket()).distinct().collect()]
+    text = plan(batch.join(target.ids(within).join(F.broadcast(batch.select(DOC_ID)), DOC_ID,
+                                                   "left_semi"), DOC_ID, "left_anti"))
+    assert "PartitionFilters: [isnotnull(docsync_bucket" in text or "docsync_bucket#" in text
+    scan = text.split("FileScan parquet")[1].split("\n")[0]
+    assert "docsync_bucket" in scan.split("PartitionFilters")[1] and "struct<doc_id:string>" in scan
+    assert "Exchange hashpartitioning" not in text.split("FileScan parquet")[0].split("Initial")[0]
+    assert targets.create_if_absent(target, batch) == Counts(0, 2)
+
+
+def test_deleting_all_of_a_bucket(spark, target):
+    targets.recreate(target, docs(spark, *[(str(i), "x") for i in range(40)]))
+    assert targets.delete(target, docs(spark, *[(str(i), "") for i in range(39)])) == 39
+    assert content(target) == {"39": "x"}
+    assert targets.delete(target, docs(spark, ("39", ""))) == 1
+    assert content(target) == {} and target.exists()
+    assert targets.create_if_absent(target, docs(spark, ("1", "y"))) == Counts(1)
+    assert content(target) == {"1": "y"}
+
+
+def test_another_number_of_buckets_from_the_next_load_on(spark, target):
+    rows = [(str(i), "x") for i in range(50)]
+    targets.recreate(target, docs(spark, *rows))
+    other = Target(spark, target.path.rpartition("/")[0], "docs", buckets=3)
+    assert targets.create_if_absent(other, docs(spark, *rows, ("50", "y"))) == Counts(1, 50)
+    targets.recreate(other, docs(spark, *rows))
+    assert targets.upsert(target, docs(spark, ("3", "z"))) == Counts(0, 0, 0, 1)
+    assert target.count() == 50 and content(other)["3"] == "z"
+
+
+def test_merging_many_small_files(spark, target):
     targets.recreate(target, docs(spark, *[(f"base{i}", "x") for i in range(40)]))
     expected = {f"base{i}": "x" for i in range(40)}
-    for i in range(25):
-        ids = [(f"n{i}", "n"), (f"base{i % 7}", str(i))]
-        targets.upsert(target, docs(spark, *ids))
+    for i in range(12):
+        ids = [(f"n{i}", "n")]
+        targets.create_if_absent(target, docs(spark, *ids))
         expected.update(ids)
-        reader = target.read()
-        target.merge(5)
-        assert len(target.current()["parts"]) <= 5
-        assert reader.count() == len(expected)
-    assert content(target) == expected and target.written_rows() == len(expected)
-    assert len(storage.folders(spark, target.path)) < 30
+    assert max(Counter(f.rpartition("/")[0] for f in files(target)).values()) > 1
+    assert target.merge(1) > 0
+    assert max(Counter(f.rpartition("/")[0] for f in files(target)).values()) == 1
+    assert content(target) == expected
 
 
 def test_one_document_of_stored_types(spark, target):
@@ -451,9 +439,10 @@ def test_sorted_target(spark, home, plan, unique):
     assert sync_once(spark, home, spec, T1).counts == Counts(5, 5, 0)
     target = home.target(spec)
     assert target.count() == 2005
-    spans = (target.read().groupBy(F.input_file_name().alias("f"))
-             .agg(F.min(DOC_ID).alias("lo"), F.max(DOC_ID).alias("hi")).collect())
-    first_load = sorted((s.lo, s.hi) for s in spans if s.lo < "2995")
-    assert all(a[1] < b[0] for a, b in zip(first_load, first_load[1:]))
+    inside = target.read().select(F.input_file_name().alias("f"), DOC_ID).collect()
+    by_file = {}
+    for r in inside:
+        by_file.setdefault(r.f, []).append(r.doc_id)
+    assert all(ids == sorted(ids) for ids in by_file.values())
     pushed = plan(target.ids().where(F.col(DOC_ID).between("2995", "3004")))
     assert "GreaterThanOrEqual(doc_id,2995)" in pushed

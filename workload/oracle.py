@@ -116,6 +116,43 @@ UNION ALL {window(T1, T3)}"""
 
 _INIT_AND_SYNC = f"WITH {PROJ_SQL} SELECT {_PROJ_DOC} FROM proj WHERE {CHANGE} < {_ts(T3)}"
 
+#: Loads with values that do not fit: each load takes the first row of an id; rows that fit and are
+#: new become documents.
+def _unfit_loads() -> str:
+    out = [f"""WITH {PROJ_SQL},
+src AS (SELECT CASE WHEN pid % 11 <> 0 THEN pid % 9973 END AS key, CAST(pid * 3 AS VARCHAR) AS code,
+  CASE WHEN pid % 5 = 0 THEN 'unknown' ELSE CAST(cust AS VARCHAR) END AS price,
+  CASE pid % 4 WHEN 0 THEN 'yes' WHEN 1 THEN 'true' WHEN 2 THEN 'maybe' END AS urgent,
+  CASE WHEN pid % 6 = 0 THEN '1999-02-30' WHEN pid % 6 = 1 THEN 'soon' ELSE '1999-03-01' END AS day,
+  prio AS label, pid, create_date, mod_date FROM proj),
+told AS (SELECT *, list_filter([
+  CASE WHEN pid * 3 > 32767 THEN {{'field': 'code', 'value': code, 'reason': 'not short'}} END,
+  CASE WHEN pid % 5 = 0 THEN {{'field': 'price', 'value': price, 'reason': 'not long'}} END,
+  CASE WHEN pid % 4 = 2 THEN {{'field': 'urgent', 'value': urgent, 'reason': 'not boolean'}} END,
+  CASE WHEN pid % 6 IN (0, 1) THEN {{'field': 'day', 'value': day, 'reason': 'not yyyy-MM-dd'}} END],
+  lambda x: x IS NOT NULL) AS bad FROM src),
+docs0 AS (SELECT * FROM told WHERE false)"""]
+    bounds = [(None, T0), (T0, T1), (T1, T3)]
+    for i, (lo, hi) in enumerate(bounds, 1):
+        low = f"{CHANGE} > {_ts(lo)} - INTERVAL 1 SECOND AND " if lo else ""
+        out.append(f"""
+batch{i} AS (SELECT * FROM told WHERE {low}{CHANGE} < {_ts(hi)}),
+new{i} AS (SELECT * FROM batch{i} WHERE key IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY pid) = 1),
+absent{i} AS (SELECT * FROM new{i} WHERE key NOT IN (SELECT key FROM docs{i - 1})),
+docs{i} AS (SELECT * FROM docs{i - 1} UNION ALL SELECT * FROM absent{i} WHERE len(bad) = 0),
+count{i} AS (SELECT '{"sync" if lo else "init"}' AS flow, {_text(_ts(hi), 'hi')},
+  (SELECT count(*) FROM absent{i} WHERE len(bad) = 0) AS created,
+  count(key) - (SELECT count(*) FROM absent{i}) AS conflicts, count(*) - count(key) AS rejected,
+  (SELECT count(*) FROM absent{i} WHERE len(bad) > 0) AS errors FROM batch{i})""")
+    return ",".join(out) + """,
+docs AS (SELECT * FROM docs3),
+failed AS (SELECT * FROM absent1 UNION ALL SELECT * FROM absent2 UNION ALL SELECT * FROM absent3),
+counts AS (SELECT * FROM count1 UNION ALL SELECT * FROM count2 UNION ALL SELECT * FROM count3)"""
+
+
+_UNFIT = _unfit_loads()
+
 ORACLE = {
     "q01_full_scan_bound":
         f"WITH {PROJ_SQL} SELECT {_PROJ_FIELDS} FROM proj WHERE {CHANGE} < {_ts(T0)}",
@@ -263,8 +300,18 @@ SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(o_custkey AS VARCHAR) AS o_cu
   CAST(len(list_filter(string_split(o_orderpriority, ' '), lambda x: x <> '')) AS INTEGER) AS n_words
 FROM orders""",
     "q36_single_documents": """
-SELECT count(*) + 1 AS documents, count(n_name) AS names, CAST(1 AS BIGINT) AS notes,
-  count(*) FILTER (n_nationkey <= 3) AS created,
-  count(*) FILTER (n_nationkey BETWEEN 4 AND 5) AS conflicts, CAST(1 AS BIGINT) AS rejected
-FROM nation""",
+WITH k AS (SELECT o_orderkey % 3 <> 0 AS there, o_custkey % 10 <> 0 AS has_id FROM orders
+  WHERE o_orderstatus = 'F'),
+n AS (SELECT count(*) FILTER (has_id AND NOT there) AS created,
+  count(*) FILTER (has_id AND there) AS conflicts, count(*) FILTER (NOT has_id) AS rejected FROM k)
+SELECT (SELECT count(*) FROM orders WHERE o_orderkey % 3 <> 0) + created AS documents,
+  created AS notes, created, conflicts, rejected FROM n""",
+    "q37_unfit_counts": f"{_UNFIT} SELECT * FROM counts",
+    "q37_unfit_rows": f"""{_UNFIT}
+SELECT DISTINCT CAST(key AS VARCHAR) AS doc_id, e.field, e.value, e.reason
+FROM (SELECT key, unnest(bad) AS e FROM failed)""",
+    "q37_fit_documents": f"""{_UNFIT}
+SELECT CAST(key AS VARCHAR) AS doc_id, key, CAST(code AS SMALLINT) AS code,
+  CAST(price AS BIGINT) AS price, CASE WHEN urgent IS NOT NULL THEN true END AS urgent, day, label,
+  pid, {_text('create_date')}, {_text('mod_date')} FROM docs""",
 }

@@ -460,22 +460,60 @@ def q35_mapped_types(spark, sf):
 
 
 def q36_single_documents(spark, sf):
-    """One document at a time beside a full load: a new one, a known one, one without an id."""
-    home = _home(spark, "q36")
-    target = home.target("nation")
-    docs = with_doc_id(table(spark, sf, "nation"), ("n_nationkey",))
-    targets.recreate(target, docs.where("n_nationkey > 3"))
-    known = docs.where("n_nationkey < 6").orderBy("n_nationkey").limit(6).collect()
-    counts = [targets.create_document(target, row.asDict()) for row in known]
-    counts.append(targets.create_document(target, {DOC_ID: None, "n_name": "nowhere"}))
-    targets.create_document(target, {DOC_ID: "new", "n_name": None, "note": "first of its field"})
-    totals = spark.createDataFrame([(sum(c.created for c in counts), sum(c.conflicts for c in counts),
-                                     sum(c.rejected for c in counts))],
-                                   "created long, conflicts long, rejected long")
-    return target.read().groupBy().agg(
-        F.count("*").alias("documents"), F.count("n_name").alias("names"),
-        F.count("note").alias("notes")).withColumn("k", F.lit(1)).join(
-        totals.withColumn("k", F.lit(1)), "k").drop("k")
+    """Documents by key beside a full load: new ones, known ones, ones without an id; the new ones
+    bring a field of their own."""
+    target = _home(spark, "q36").target("orders")
+    docs = with_doc_id(table(spark, sf, "orders"), ("o_orderkey",)).drop("o_orderdate")
+    targets.recreate(target, docs.where("o_orderkey % 3 <> 0"))
+    keyed = docs.where("o_orderstatus = 'F'").withColumns({
+        DOC_ID: F.when(F.col("o_custkey") % 10 != 0, F.col(DOC_ID)),
+        "note": F.concat(F.lit("by key "), F.col(DOC_ID))})
+    counts = targets.create_if_absent(target, keyed)
+    return target.read().agg(
+        F.count("*").alias("documents"), F.count("note").alias("notes"),
+        F.lit(counts.created).cast("bigint").alias("created"),
+        F.lit(counts.conflicts).cast("bigint").alias("conflicts"),
+        F.lit(counts.rejected).cast("bigint").alias("rejected"))
+
+
+UNFIT = {"code": {"type": "short"}, "price": {"type": "long"}, "urgent": {"type": "boolean"},
+         "day": {"type": "date", "format": "yyyy-MM-dd"}, "label": {"type": "keyword"}}
+
+
+def _unfit_load(spark, sf):
+    """Orders with numbers out of range, words for numbers and days that are none, by a full load
+    and two windows. Repeated ids and rows without one occur too."""
+    proj(spark, sf).createOrReplaceTempView("proj")
+    rows = ("(SELECT CASE WHEN pid % 11 <> 0 THEN pid % 9973 END AS key, "
+            "CAST(pid * 3 AS STRING) AS code, CASE WHEN pid % 5 = 0 THEN 'unknown' "
+            "ELSE CAST(cust AS STRING) END AS price, CASE pid % 4 WHEN 0 THEN 'yes' WHEN 1 THEN 'true' "
+            "WHEN 2 THEN 'maybe' END AS urgent, CASE WHEN pid % 6 = 0 THEN '1999-02-30' "
+            "WHEN pid % 6 = 1 THEN 'soon' ELSE '1999-03-01' END AS day, prio AS label, pid, "
+            "create_date, mod_date FROM proj)")
+    spec = SyncSpec(
+        name="unfit", id_columns="key", time_type="timestamp_ntz", mapping=UNFIT | DATES, order="pid",
+        init_sql=f"SELECT * FROM {rows} WHERE coalesce(mod_date, create_date) < ?",
+        sync_sql=f"SELECT * FROM {rows} WHERE coalesce(mod_date, create_date) > ? "
+                 "AND coalesce(mod_date, create_date) < ?")
+    home = _home(spark, "q37")
+    return home.target(spec), _init_and_sync(spark, home, spec)
+
+
+def q37_unfit_counts(spark, sf):
+    """A value that does not fit its mapping keeps one document out; the load goes on."""
+    _, reports = _unfit_load(spark, sf)
+    return report_frame(spark, reports).select(
+        "flow", strict_date_time("hi").alias("hi"), "created", "conflicts", "rejected", "errors")
+
+
+def q37_unfit_rows(spark, sf):
+    """Why documents were kept out, by field."""
+    return _unfit_load(spark, sf)[0].errors()
+
+
+def q37_fit_documents(spark, sf):
+    """The other documents."""
+    return _unfit_load(spark, sf)[0].read()
 
 
 QUERIES = {f.__name__: f for f in (
@@ -487,4 +525,5 @@ QUERIES = {f.__name__: f for f in (
     q20_fix_many_keys, q21_run_report, q22_stream_ticks, q23_stream_feed, q24_reconcile,
     q24_counts, q24_table_counts, q24_repair, q25_delete, q26_all_in_one, q27_upsert, q28_pushed_window,
     q29_protected_ids, q30_follow_members, q31_full_load_enriched, q32_windows_enriched,
-    q33_rows_without_ids, q34_null_extension_ids, q35_mapped_types, q36_single_documents)}
+    q33_rows_without_ids, q34_null_extension_ids, q35_mapped_types, q36_single_documents,
+    q37_unfit_counts, q37_unfit_rows, q37_fit_documents)}
