@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
-_SKIP_OR_MARK = re.compile(r"'(?:[^']|'')*'|\"[^\"]*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|(\?)", re.S)
+# Quoted text and comments
+SKIPPED = r"'(?:[^']|'')*'|\"[^\"]*\"|`[^`]*`|--[^\n]*|/\*.*?\*/"
+_SKIP_OR_MARK = re.compile(SKIPPED + r"|(\?)", re.S)
 
 
 def count(sql: str) -> int:

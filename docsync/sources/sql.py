@@ -12,6 +12,7 @@ from docsync.functions.times import time_literal
 from docsync.sources import params
 from docsync.sources.changes import changed_between
 from docsync.sources.jdbc import jdbc_query
+from docsync.sources.pushed import per_column
 from docsync.spec import SyncSpec
 
 
@@ -24,6 +25,7 @@ def _run(spark: SparkSession, spec: SyncSpec, sql: str, times) -> DataFrame:
         options = dict(spec.jdbc)
         split = options.pop("split", None)
         return jdbc_query(spark, options, sql, times, split)
+    sql, times = per_column(sql, times, spec.change_columns[1] if spec.created_first else None)
     bound = [time_literal(t, spec.time_type) for t in times]
     return spark.sql(sql, args=bound) if bound else spark.sql(sql)
 

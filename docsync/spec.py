@@ -38,6 +38,9 @@ class SyncSpec:
     source: Callable[[SparkSession], DataFrame] | None = None
     # (modified, created): the change time is the first one that is not null
     change_columns: tuple[str, str] = ("mod_date", "create_date")
+    # No row is modified before it is created: an upper bound of the change time then bounds the
+    # creation time too, which scans can use where the modification comes from another table
+    created_first: bool = False
     # (spark, now) -> rows and (spark, lo, hi) -> rows: scans that place the time bounds themselves,
     # as windows over several tables have to
     loads: Callable[..., DataFrame] | None = None

@@ -306,6 +306,8 @@ n AS (SELECT count(*) FILTER (has_id AND NOT there) AS created,
   count(*) FILTER (has_id AND there) AS conflicts, count(*) FILTER (NOT has_id) AS rejected FROM k)
 SELECT (SELECT count(*) FROM orders WHERE o_orderkey % 3 <> 0) + created AS documents,
   created AS notes, created, conflicts, rejected FROM n""",
+    "q38_pushed_sql_window":
+        f"WITH {PROJ_SQL} SELECT {_PROJ_FIELDS} FROM proj WHERE {_IN_WINDOW}",
     "q37_unfit_counts": f"{_UNFIT} SELECT * FROM counts",
     "q37_unfit_rows": f"""{_UNFIT}
 SELECT DISTINCT CAST(key AS VARCHAR) AS doc_id, e.field, e.value, e.reason

@@ -41,6 +41,7 @@ def proj_spec(spark: SparkSession, sf: str, **more) -> SyncSpec:
     proj(spark, sf).createOrReplaceTempView("proj")
     return SyncSpec(**({
         "name": "proj", "id_columns": "pid", "mapping": DATES, "time_type": "timestamp_ntz",
+        "created_first": True,
         "init_sql": "SELECT * FROM proj WHERE coalesce(mod_date, create_date) < ?",
         "sync_sql": "SELECT * FROM proj WHERE coalesce(mod_date, create_date) > ? "
                     "AND coalesce(mod_date, create_date) < ?"} | more))
@@ -516,6 +517,15 @@ def q37_fit_documents(spark, sf):
     return _unfit_load(spark, sf)[0].read()
 
 
+def q38_pushed_sql_window(spark, sf):
+    """A window by SQL text over a stored table with both change times, which its scan evaluates."""
+    path = storage.new_folder(spark, "q38")
+    proj(spark, sf).write.parquet(path)
+    spec = proj_spec(spark, sf)
+    spark.read.parquet(path).createOrReplaceTempView("proj")
+    return _dates_as_text(window(spark, spec, LO, T1), "create_date", "mod_date")
+
+
 QUERIES = {f.__name__: f for f in (
     q01_full_scan_bound, q02_window_scan, q03_doc_id_composite, q04_create_if_absent,
     q05_outcomes, q05_refused_rows, q06_ext_flatten, q06_ext_flatten_open, q07_ext_custom_in_one,
@@ -526,4 +536,4 @@ QUERIES = {f.__name__: f for f in (
     q24_counts, q24_table_counts, q24_repair, q25_delete, q26_all_in_one, q27_upsert, q28_pushed_window,
     q29_protected_ids, q30_follow_members, q31_full_load_enriched, q32_windows_enriched,
     q33_rows_without_ids, q34_null_extension_ids, q35_mapped_types, q36_single_documents,
-    q37_unfit_counts, q37_unfit_rows, q37_fit_documents)}
+    q37_unfit_counts, q37_unfit_rows, q37_fit_documents, q38_pushed_sql_window)}
