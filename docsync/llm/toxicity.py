@@ -46,6 +46,8 @@ NEAREST = 15
 PRIOR = 1.0
 EVIDENCE = 3
 CUT = 0.5
+#: Documents that are scored in one task, about.
+TASK_ROWS = 20_000
 #: Words whose terms a task remembers.
 REMEMBERED = 1 << 18
 
@@ -115,14 +117,15 @@ class Index:
     """A block-max inverted index of unit vectors, in blocks of ``BLOCK`` rows."""
 
     idf: np.ndarray
-    ids: list[int]
+    ids: np.ndarray
     labels: np.ndarray
     most: np.ndarray  # (term, block): largest weight
-    starts: np.ndarray  # (term, block): first posting; postings of a pair lie together
+    starts: np.ndarray  # (block, term): first posting; postings of a pair lie together
     rows: np.ndarray  # posting: row within its block
     values: np.ndarray
     base: float = 0.5
     curve: tuple[float, float] | None = None
+    documents: int = 0
     scored: list[int] = field(default_factory=lambda: [0, 0])
 
     @classmethod
@@ -135,34 +138,33 @@ class Index:
         term = np.concatenate([v[2] for v in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
         value = np.concatenate([v[3] for v in vectors] or [np.zeros(0)])
         row = np.repeat(np.arange(len(vectors)), [len(v[2]) for v in vectors])
-        cell = term * blocks + row // BLOCK
+        most = np.zeros((n, blocks))
+        np.maximum.at(most, (term, row // BLOCK), value)
+        cell = row // BLOCK * n + term
         order = np.argsort(cell, kind="stable")
-        most = np.zeros(n * blocks)
-        np.maximum.at(most, cell, value)
-        starts = np.searchsorted(cell[order], np.arange(n * blocks + 1))
-        return cls(idf, [v[0] for v in vectors], np.array([v[1] for v in vectors], np.int64),
-                   most.reshape(n, blocks), starts, (row % BLOCK)[order], value[order])
+        starts = np.searchsorted(cell[order], np.arange(blocks * n + 1))
+        return cls(idf, np.array([v[0] for v in vectors], np.int64), np.array([v[1] for v in vectors], np.int64),
+                   most, starts, (row % BLOCK)[order], value[order])
 
     def nearest(self, ids: np.ndarray, vector: np.ndarray, without: int | None = None):
         """(rows, cosines) of the NEAREST rows with a cosine above 0, best first; of equal ones the
         first rows. ``without``: an example id that is left out."""
-        blocks = self.most.shape[1]
+        n, blocks = self.most.shape
         bounds = vector @ self.most[ids]
         best = np.zeros(0, np.int64), np.zeros(0)
         for b in np.argsort(-bounds, kind="stable"):
             if bounds[b] <= 0 or len(best[0]) == NEAREST and bounds[b] < best[1][-1] - 1e-9:
                 break
-            cosines = np.zeros(BLOCK)
-            for t, w in zip(ids.tolist(), vector.tolist()):
-                cell = t * blocks + b
-                part = slice(self.starts[cell], self.starts[cell + 1])
-                cosines[self.rows[part]] += w * self.values[part]
+            first, end = self.starts[b * n + ids], self.starts[b * n + ids + 1]
+            many = end - first
+            at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+            cosines = np.bincount(self.rows[at], np.repeat(vector, many) * self.values[at], BLOCK)
             self.scored[0] += 1
             found = np.flatnonzero(cosines > 0)
             rows, near = found + b * BLOCK, np.round(cosines[found], 12)
             if without is not None:
-                own = np.array([self.ids[r] == without for r in rows], bool)
-                rows, near = rows[~own], near[~own]
+                other = self.ids[rows] != without
+                rows, near = rows[other], near[other]
             rows, near = np.concatenate((best[0], rows)), np.concatenate((best[1], near))
             order = np.lexsort((rows, -near))[:NEAREST]
             best = rows[order], near[order]
@@ -249,6 +251,7 @@ def fit(vectors: DataFrame, chosen: DataFrame, n_terms: int) -> Index:
     found = [(r.doc_id, int(r.label), np.array(r.terms, np.int64), np.array(r.counts, np.float64))
              for r in sorted(found, key=lambda r: r.doc_id)]
     index = Index.over([x for x in found if len(x[2])], idf)
+    index.documents = n
     empty = [y for _, y, t, _ in found if not len(t)]
     index.base = (sum(empty) + 0.5) / (len(empty) + 1) if found else 0.5
     votes = np.array([index.vote(t, c, without=i)[0] for i, _, t, c in found if len(t)])
@@ -268,7 +271,7 @@ def _scorer(index: Index):
                     continue
                 vote, rows, near = index.vote(np.array(ids, np.int64), np.array(counts, np.float64))
                 out.append((index.score(vote) if len(rows) else index.base, [
-                    {"doc_id": index.ids[r], "similarity": float(s), "toxic": int(index.labels[r])}
+                    {"doc_id": int(index.ids[r]), "similarity": float(s), "toxic": int(index.labels[r])}
                     for r, s in zip(rows[:EVIDENCE].tolist(), near[:EVIDENCE])]))
             scores = np.array([x[0] for x in out], np.float64)
             yield pa.RecordBatch.from_arrays(
@@ -304,7 +307,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Data
     vectors = stage(ids.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(
         _counter({t: i for i, t in enumerate(found)}),
         "doc_id long, held_out boolean, terms array<int>, counts array<long>"), "vectors")
-    return vectors.mapInArrow(
-        _scorer(fit(vectors, chosen, len(found))),
+    index = fit(vectors, chosen, len(found))
+    # Vectors are small files; scoring them is worth more tasks than reading them.
+    tasks = max(1, -(-index.documents // TASK_ROWS))
+    return vectors.repartition(tasks).mapInArrow(
+        _scorer(index),
         "doc_id long, held_out boolean, score double, predicted int, "
         "evidence array<struct<doc_id: long, similarity: double, toxic: int>>")
