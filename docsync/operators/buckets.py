@@ -73,6 +73,10 @@ class Buckets:
     def schema(self) -> T.StructType:
         return _read_schema(self.spark, self._there()[2])
 
+    def buckets_there(self) -> int:
+        """The number of buckets of the last load."""
+        return self._there()[1]
+
     def bucket(self, new: bool = False) -> Column:
         """The bucket of a row's id; ``new`` in the next full load."""
         last = None if new else self._last()

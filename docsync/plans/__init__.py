@@ -1,5 +1,6 @@
-from docsync.plans.flows import (Home, Report, delete_once, fix, init, repair_missing,
-                                 report_frame, run_all, sync_once)
+from docsync.plans.flows import (Home, Report, delete_once, documents, expected, fix, init,
+                                 repair_differences, repair_missing, report_frame, run_all, sync_once,
+                                 verify)
 
-__all__ = ["Home", "Report", "delete_once", "fix", "init", "repair_missing", "report_frame",
-           "run_all", "sync_once"]
+__all__ = ["Home", "Report", "delete_once", "documents", "expected", "fix", "init",
+           "repair_differences", "repair_missing", "report_frame", "run_all", "sync_once", "verify"]

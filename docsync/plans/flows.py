@@ -8,12 +8,15 @@ from datetime import datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from docsync import storage
 from docsync.functions.times import as_utc, utc_now, window_start
 from docsync.operators import target as targets
-from docsync.operators.document import apply_mapping
+from docsync.operators.digests import RANGES, differences
+from docsync.operators.document import apply_mapping, split_errors
 from docsync.operators.enrich import batch_rows, enrich
-from docsync.operators.ids import absent, native_id, with_doc_id
+from docsync.operators.ids import DOC_ID, WRITES, absent, first_per_id, native_id, with_doc_id
 from docsync.operators.state import RefreshState
 from docsync.operators.target import Counts, Target
 from docsync.sources import sql
@@ -153,6 +156,45 @@ def repair_missing(spark: SparkSession, home: Home, spec: SyncSpec, now=None) ->
     return Report(spec.name, "repair", hi=now, counts=counts)
 
 
+def expected(spark: SparkSession, spec: SyncSpec, now=None) -> DataFrame:
+    """The documents that a full load up to ``now`` would store."""
+    batch = documents(sql.full(spark, spec, as_utc(now or utc_now())), spec)
+    docs = first_per_id(batch.where(F.col(DOC_ID).isNotNull()), spec.order, spec.unique_ids,
+                        native_id(batch, spec.id_columns))
+    return split_errors(_finish(spark, spec)(docs).drop(WRITES))[0]
+
+
+def verify(spark: SparkSession, home: Home, spec: SyncSpec, now=None) -> DataFrame:
+    """(doc_id, kind) of what distinguishes the target from the source: missing, orphan, changed.
+
+    Source and target are compared by sums of ranges; documents of ranges that agree are neither
+    shuffled nor joined.
+    """
+    target = home.target(spec)
+    buckets = target.buckets_there()
+    ranges = max(1, RANGES // buckets) * buckets  # so that a range lies in one folder
+
+    def folders(differ):
+        return target.read({r % buckets for r in differ})
+    return differences(expected(spark, spec, now), target.read(), ranges=ranges, folders=folders)
+
+
+def repair_differences(spark: SparkSession, home: Home, spec: SyncSpec, now=None) -> Report:
+    """Bring the target to what ``verify`` expects: documents that are missing or changed are loaded
+    anew, orphans are removed."""
+    now = as_utc(now or utc_now())
+    target = home.target(spec)
+    with storage.staged(verify(spark, home, spec, now), f"{spec.name}-differences") as found:
+        orphans = found.where("kind = 'orphan'").select(DOC_ID)
+        stale = found.where("kind in ('missing', 'changed')").select(DOC_ID)
+        deleted = targets.delete(target, orphans)
+        batch = documents(sql.full(spark, spec, now), spec).join(stale, DOC_ID, "left_semi")
+        # Of rows with one id the first counts, as in a full load.
+        first = first_per_id(batch, spec.order, spec.unique_ids).drop(WRITES)
+        counts = targets.upsert(target, first, _finish(spark, spec), unique=True)
+    return Report(spec.name, "repair", hi=now, counts=counts, deleted=deleted)
+
+
 def delete_once(spark: SparkSession, home: Home, spec: SyncSpec) -> Report:
     """Remove the documents whose keys the spec's delete SQL returns (an extension)."""
     if spec.delete_sql is None:
@@ -179,4 +221,5 @@ def run_all(spark: SparkSession, home: Home, specs, flow, now=None, parallel: in
 
 
 __all__ = ["Home", "Report", "complete", "delete_once", "documents", "fix", "init",
-           "repair_missing", "report_frame", "run_all", "sync_once"]
+           "expected", "repair_differences", "repair_missing", "report_frame", "run_all", "sync_once",
+           "verify"]

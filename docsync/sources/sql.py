@@ -26,8 +26,12 @@ def _run(spark: SparkSession, spec: SyncSpec, sql: str, times) -> DataFrame:
         split = options.pop("split", None)
         return jdbc_query(spark, options, sql, times, split)
     sql, times = per_column(sql, times, spec.change_columns[1] if spec.created_first else None)
-    bound = [time_literal(t, spec.time_type) for t in times]
-    return spark.sql(sql, args=bound) if bound else spark.sql(sql)
+    if not times:
+        return spark.sql(sql)
+    # By name: Spark 4.1 mixes up the order of more than four values that are bound by place.
+    names = [f"docsync_{i}" for i in range(len(times))]
+    bound = {n: time_literal(t, spec.time_type) for n, t in zip(names, times)}
+    return spark.sql(params.fill(sql, [f":{n}" for n in names]), args=bound)
 
 
 def full(spark: SparkSession, spec: SyncSpec, now) -> DataFrame:

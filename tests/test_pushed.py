@@ -52,6 +52,15 @@ def test_the_same_rows_in_three_valued_logic(spark, shape, op):
     assert sorted(spark.sql(new, args=values).collect()) == sorted(want) and "coalesce" not in new
 
 
+def test_many_placeholders_keep_their_order(spark):
+    spark.createDataFrame([(i,) for i in range(100)], "t int").selectExpr(
+        "t", "timestamp_seconds(t) as at").createOrReplaceTempView("ordered")
+    parts = " union all ".join("select t from ordered where at > ? and at < ?" for _ in range(4))
+    spec = SyncSpec(name="o", id_columns="t", init_sql="x", sync_sql=parts)
+    found = window(spark, spec, datetime(1970, 1, 1, 0, 0, 10), datetime(1970, 1, 1, 0, 0, 13))
+    assert sorted(r.t for r in found.collect()) == [11] * 4 + [12] * 4
+
+
 def pushed(text):
     return [p for p in re.findall(r"PushedFilters: \[([^\]]*)", text) if p]
 

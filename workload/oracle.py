@@ -308,6 +308,15 @@ SELECT (SELECT count(*) FROM orders WHERE o_orderkey % 3 <> 0) + created AS docu
   created AS notes, created, conflicts, rejected FROM n""",
     "q38_pushed_sql_window":
         f"WITH {PROJ_SQL} SELECT {_PROJ_FIELDS} FROM proj WHERE {_IN_WINDOW}",
+    "q39_range_differences": """
+WITH d AS (SELECT doc_id, doc_id % 23 = 0 AS moved, doc_id % 13 <> 0 AS kept,
+  (doc_id % 17 = 0 AND lang IS NOT NULL) OR (doc_id % 19 = 0 AND n_chars IS NOT NULL) AS other
+  FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN moved OR NOT kept THEN 'missing' ELSE 'changed' END AS kind
+FROM d WHERE moved OR NOT kept OR other
+UNION ALL SELECT CAST(-doc_id - 1 AS VARCHAR), 'orphan' FROM d WHERE moved AND kept""",
+    "q39_repair_differences": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, n_chars, text "
+                              "FROM documents",
     "q37_unfit_counts": f"{_UNFIT} SELECT * FROM counts",
     "q37_unfit_rows": f"""{_UNFIT}
 SELECT DISTINCT CAST(key AS VARCHAR) AS doc_id, e.field, e.value, e.reason

@@ -19,7 +19,8 @@ from docsync.operators.document import (apply_mapping, export_bulk, parse_analyz
                                         to_ndjson)
 from docsync.operators.ids import DOC_ID, with_doc_id
 from docsync.operators.state import latest_state
-from docsync.plans import Home, delete_once, fix, init, repair_missing, report_frame, run_all, sync_once
+from docsync.plans import (Home, delete_once, documents, fix, init, repair_differences, repair_missing,
+                           report_frame, run_all, sync_once, verify)
 from docsync.sources import changed_between, extension_rows, full, window
 from docsync.streaming import distinct_feed, follow, write_feed
 from workload.adapters import (LO, T0, T1, T2, T3, attr, event_eav, param, proj, table,
@@ -526,6 +527,32 @@ def q38_pushed_sql_window(spark, sf):
     return _dates_as_text(window(spark, spec, LO, T1), "create_date", "mod_date")
 
 
+def _stale_target(spark, sf):
+    """A target of documents that lacks some, has some too many, and holds old versions of some."""
+    docs = table(spark, sf, "documents").withColumn("create_date", F.lit(T0).cast("timestamp_ntz")) \
+        .withColumn("mod_date", F.col("create_date"))
+    spec = SyncSpec(name="documents", id_columns="doc_id", unique_ids=True, source=lambda s: docs)
+    home, i = _home(spark, "q39"), F.col("doc_id")
+    old = docs.where(i % 13 != 0).withColumns({
+        "lang": F.when(i % 17 == 0, F.lit(None)).otherwise(F.col("lang")),
+        "n_chars": F.when(i % 19 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars")),
+        "doc_id": F.when(i % 23 == 0, -i - 1).otherwise(i)})
+    targets.recreate(home.target(spec), documents(old, spec), unique=True)
+    return home, spec
+
+
+def q39_range_differences(spark, sf):
+    """Ids that are missing, too many or of other content, found by sums of ranges."""
+    home, spec = _stale_target(spark, sf)
+    return verify(spark, home, spec, T1)
+
+
+def q39_repair_differences(spark, sf):
+    home, spec = _stale_target(spark, sf)
+    repair_differences(spark, home, spec, T1)
+    return home.target(spec).read().select(DOC_ID, "lang", "source", "n_chars", "text")
+
+
 QUERIES = {f.__name__: f for f in (
     q01_full_scan_bound, q02_window_scan, q03_doc_id_composite, q04_create_if_absent,
     q05_outcomes, q05_refused_rows, q06_ext_flatten, q06_ext_flatten_open, q07_ext_custom_in_one,
@@ -536,4 +563,5 @@ QUERIES = {f.__name__: f for f in (
     q24_counts, q24_table_counts, q24_repair, q25_delete, q26_all_in_one, q27_upsert, q28_pushed_window,
     q29_protected_ids, q30_follow_members, q31_full_load_enriched, q32_windows_enriched,
     q33_rows_without_ids, q34_null_extension_ids, q35_mapped_types, q36_single_documents,
-    q37_unfit_counts, q37_unfit_rows, q37_fit_documents, q38_pushed_sql_window)}
+    q37_unfit_counts, q37_unfit_rows, q37_fit_documents, q38_pushed_sql_window,
+    q39_range_differences, q39_repair_differences)}
