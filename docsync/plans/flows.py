@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -39,7 +42,7 @@ class Home:
 
 @dataclass(frozen=True)
 class Report:
-    """One run of a flow.  status is done or skipped; reason says why it was skipped."""
+    """One run of a flow.  status is done, skipped or cancelled; reason says why not done."""
 
     index_name: str
     flow: str
@@ -51,6 +54,8 @@ class Report:
     deleted: int = 0
 
 
+SUPERSEDED = "a full load took its place"
+
 _REPORT = ("index_name string, flow string, status string, reason string, lo timestamp_ntz, "
            "hi timestamp_ntz, created bigint, conflicts bigint, rejected bigint, updated bigint, "
            "deleted bigint, errors bigint")
@@ -64,6 +69,32 @@ def report_frame(spark: SparkSession, reports) -> DataFrame:
     return spark.createDataFrame(rows, _REPORT)
 
 
+# How often a full load has pushed a sync of a target aside, by the target's folder.
+_SUPERSEDED: Counter = Counter()
+
+
+def sync_tag(target: Target) -> str:
+    """The tag of the jobs that sync a target; ``SparkContext.cancelJobsWithTag`` ends them."""
+    return f"docsync-sync-{zlib.crc32(target.path.encode()):08x}-{target.name.replace(',', '_')}"
+
+
+@contextmanager
+def _pool(spark: SparkSession, name: str, tag: str | None = None):
+    """Jobs run in a scheduler pool of the target, so that with ``spark.scheduler.mode`` FAIR a large
+    load does not hold up the windows of other targets."""
+    context = spark.sparkContext
+    before = context.getLocalProperty("spark.scheduler.pool")
+    context.setLocalProperty("spark.scheduler.pool", before or f"docsync-{name}")
+    if tag:
+        context.addJobTag(tag)
+    try:
+        yield
+    finally:
+        if tag:
+            context.removeJobTag(tag)
+        context.setLocalProperty("spark.scheduler.pool", before)
+
+
 def documents(rows: DataFrame, spec: SyncSpec) -> DataFrame:
     return with_doc_id(rows, spec.id_columns, spec.id_separator)
 
@@ -93,14 +124,19 @@ def init(spark: SparkSession, home: Home, spec: SyncSpec, now=None) -> Report:
     """Load everything changed before ``now`` into a new target, then record ``now``.
 
     The old target stays readable until the new one is complete.  The refresh time is removed
-    first and saved last, so a failed load leaves a target that sync refuses to continue.
+    first and saved last, so a failed load leaves a target that sync refuses to continue.  A sync of
+    this target that is running in this application is cancelled; syncs of other targets go on.
     """
     now = as_utc(now or utc_now())
-    home.state.delete(spec.name)
-    batch = documents(sql.full(spark, spec, now), spec)
-    counts = targets.recreate(home.target(spec), batch, _finish(spark, spec), spec.order,
-                              spec.unique_ids, native_id(batch, spec.id_columns))
-    home.state.save(spec.name, now)
+    target = home.target(spec)
+    _SUPERSEDED[target.path] += 1
+    spark.sparkContext.cancelJobsWithTag(sync_tag(target))
+    with target.lock(), _pool(spark, spec.name):
+        home.state.delete(spec.name)
+        batch = documents(sql.full(spark, spec, now), spec)
+        counts = targets.recreate(target, batch, _finish(spark, spec), spec.order,
+                                  spec.unique_ids, native_id(batch, spec.id_columns))
+        home.state.save(spec.name, now)
     return Report(spec.name, "init", hi=now, counts=counts)
 
 
@@ -125,12 +161,22 @@ def sync_once(spark: SparkSession, home: Home, spec: SyncSpec, now=None) -> Repo
     if now <= last:
         return Report(spec.name, "sync", "skipped", "the window is empty", last, now)
     lo = window_start(last, spec.lookback)
-    batch = documents(sql.window(spark, spec, lo, now), spec)
-    counts = _write(spark, home, spec, batch)
-    home.state.save(spec.name, now)
     target = home.target(spec)
-    with target.lock():
-        target.merge(spec.max_parts, spec.sorted_ids)
+    loads = _SUPERSEDED[target.path]
+    try:
+        with target.lock(), _pool(spark, spec.name, sync_tag(target)):
+            if _SUPERSEDED[target.path] != loads or home.state.find(spec.name) != last:
+                return Report(spec.name, "sync", "cancelled", SUPERSEDED, lo, now)
+            batch = documents(sql.window(spark, spec, lo, now), spec)
+            counts = _write(spark, home, spec, batch)
+            if _SUPERSEDED[target.path] != loads:
+                return Report(spec.name, "sync", "cancelled", SUPERSEDED, lo, now)
+            home.state.save(spec.name, now)
+            target.merge(spec.max_parts, spec.sorted_ids)
+    except Exception:
+        if _SUPERSEDED[target.path] == loads:
+            raise
+        return Report(spec.name, "sync", "cancelled", SUPERSEDED, lo, now)
     return Report(spec.name, "sync", lo=lo, hi=now, counts=counts)
 
 

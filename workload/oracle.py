@@ -153,6 +153,22 @@ counts AS (SELECT * FROM count1 UNION ALL SELECT * FROM count2 UNION ALL SELECT
 
 _UNFIT = _unfit_loads()
 
+#: Deliveries of events: every tenth comes with the next one. Late is what lies two days before the
+#: newest time of the deliveries before.
+_LATE = """WITH cut AS (SELECT TIMESTAMP '2024-01-10' AS a, TIMESTAMP '2024-01-20' AS b),
+fed AS (
+  SELECT 0 AS batch, event_id, ts, event_type FROM events, cut WHERE event_id % 10 <> 0 AND ts < a
+  UNION ALL SELECT 1, event_id, ts, event_type FROM events, cut
+  WHERE (event_id % 10 <> 0 AND ts > a - INTERVAL 1 DAY AND ts < b) OR (event_id % 10 = 0 AND ts < a)
+  UNION ALL SELECT 2, event_id, ts, event_type FROM events, cut
+  WHERE (event_id % 10 <> 0 AND ts > b - INTERVAL 1 DAY)
+    OR (event_id % 10 = 0 AND ts > a - INTERVAL 1 DAY AND ts < b)),
+mark AS (SELECT b.batch, max(f.ts) - INTERVAL 2 DAY AS w FROM range(3) b(batch)
+  LEFT JOIN fed f ON f.batch < b.batch GROUP BY b.batch),
+told AS (SELECT fed.*, coalesce(ts < w, false) AS late,
+  row_number() OVER (PARTITION BY event_id, coalesce(ts < w, false) ORDER BY fed.batch) AS n
+  FROM fed JOIN mark USING (batch))"""
+
 ORACLE = {
     "q01_full_scan_bound":
         f"WITH {PROJ_SQL} SELECT {_PROJ_FIELDS} FROM proj WHERE {CHANGE} < {_ts(T0)}",
@@ -317,6 +333,18 @@ FROM d WHERE moved OR NOT kept OR other
 UNION ALL SELECT CAST(-doc_id - 1 AS VARCHAR), 'orphan' FROM d WHERE moved AND kept""",
     "q39_repair_differences": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, n_chars, text "
                               "FROM documents",
+    "q40_late_rows": f"""{_LATE}
+SELECT CAST(event_id AS VARCHAR) AS doc_id, {_text('ts')}, event_type, batch AS late_in_batch
+FROM told WHERE late""",
+    "q40_late_counts": f"""{_LATE}
+SELECT batch, count(*) FILTER (NOT late AND n = 1) AS kept, count(*) FILTER (NOT late AND n > 1) AS repeats,
+  count(*) FILTER (late) AS late FROM told GROUP BY batch""",
+    "q40_late_readmitted": f"""{_LATE}
+SELECT DISTINCT CAST(event_id AS VARCHAR) AS doc_id, {_text('ts')}, event_type FROM told""",
+    "q41_run_history": """
+SELECT 'docsync-proj' AS query, CAST(1 AS BIGINT) AS batches, CAST(1 AS BIGINT) AS input_rows,
+  CAST(0 AS BIGINT) AS dropped_rows, CAST(b AS BIGINT) AS last_batch, 'ended' AS state,
+  CAST(NULL AS VARCHAR) AS error FROM range(2) t(b)""",
     "q37_unfit_counts": f"{_UNFIT} SELECT * FROM counts",
     "q37_unfit_rows": f"""{_UNFIT}
 SELECT DISTINCT CAST(key AS VARCHAR) AS doc_id, e.field, e.value, e.reason

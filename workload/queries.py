@@ -22,7 +22,8 @@ from docsync.operators.state import latest_state
 from docsync.plans import (Home, delete_once, documents, fix, init, repair_differences, repair_missing,
                            report_frame, run_all, sync_once, verify)
 from docsync.sources import changed_between, extension_rows, full, window
-from docsync.streaming import distinct_feed, follow, write_feed
+from docsync.streaming import (LateRows, RunHistory, distinct_feed, fold_history, follow, follow_feed,
+                               readmit, run_summary, write_feed)
 from workload.adapters import (LO, T0, T1, T2, T3, attr, event_eav, param, proj, table,
                                team_member, team_object)
 
@@ -553,6 +554,64 @@ def q39_repair_differences(spark, sf):
     return home.target(spec).read().select(DOC_ID, "lang", "source", "n_chars", "text")
 
 
+def _late_feed(spark, sf):
+    """Events delivered three times, overlapping by a day; every tenth is delivered one time too
+    late, behind a lookback of two days."""
+    root = storage.new_folder(spark, "q40")
+    events, late = table(spark, sf, "events"), F.col("event_id") % 10 == 0
+    cuts, day = ("2024-01-10 00:00:00", "2024-01-20 00:00:00"), timedelta(days=1)
+    spans = [(None, cuts[0]), (window_start(cuts[0], day), cuts[1]), (window_start(cuts[1], day), None)]
+    target, side, reports = targets.Target(spark, root, "events"), LateRows(spark, f"{root}/late"), []
+    for i, (lo, hi) in enumerate(spans):
+        part = changed_between(events, lo, hi, None, "ts").where(~late)
+        if i:
+            part = part.unionByName(changed_between(events, *spans[i - 1], None, "ts").where(late))
+        part.write.parquet(f"{root}/feed/delivery={i}")
+        feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 10000).parquet(
+            f"{root}/feed/delivery=*")
+        follow_feed(feed, target, side, ("event_id",), "ts", timedelta(days=2), f"{root}/checkpoint",
+                    on_report=reports.append).awaitTermination()
+    return target, side, reports, with_doc_id(events, ("event_id",)).schema
+
+
+def q40_late_rows(spark, sf):
+    """Late rows, in a table of their own."""
+    _, side, _, schema = _late_feed(spark, sf)
+    return _dates_as_text(side.read(schema).select(DOC_ID, "ts", "event_type", "late_in_batch"), "ts")
+
+
+def q40_late_counts(spark, sf):
+    """Of each micro-batch: what was kept, known and late."""
+    reports = _late_feed(spark, sf)[2]
+    return spark.createDataFrame([(r.batch, r.kept, r.repeats, r.late) for r in reports],
+                                 "batch long, kept long, repeats long, late long")
+
+
+def q40_late_readmitted(spark, sf):
+    """The target after its late rows were let in."""
+    target, side, _, schema = _late_feed(spark, sf)
+    readmit(target, side, schema)
+    return _dates_as_text(target.read().select(DOC_ID, "ts", "event_type"), "ts")
+
+
+def q41_run_history(spark, sf):
+    """What two bounded runs of a polling query did, after they have ended."""
+    home, spec = _home(spark, "q41"), proj_spec(spark, sf)
+    history = RunHistory(spark, f"{home.root}/history")
+    spark.streams.addListener(history)
+    try:
+        init(spark, home, spec, T0)
+        for until in (T1, T3):
+            query = follow(spark, home, spec, f"{home.root}/checkpoint", T0, until)
+            query.awaitTermination()
+            history.await_end(query)
+    finally:
+        spark.streams.removeListener(history)
+    fold_history(spark, history.path)
+    return run_summary(history.read()).select("query", "batches", "input_rows", "dropped_rows",
+                                              "last_batch", "state", "error")
+
+
 QUERIES = {f.__name__: f for f in (
     q01_full_scan_bound, q02_window_scan, q03_doc_id_composite, q04_create_if_absent,
     q05_outcomes, q05_refused_rows, q06_ext_flatten, q06_ext_flatten_open, q07_ext_custom_in_one,
@@ -564,4 +623,5 @@ QUERIES = {f.__name__: f for f in (
     q29_protected_ids, q30_follow_members, q31_full_load_enriched, q32_windows_enriched,
     q33_rows_without_ids, q34_null_extension_ids, q35_mapped_types, q36_single_documents,
     q37_unfit_counts, q37_unfit_rows, q37_fit_documents, q38_pushed_sql_window,
-    q39_range_differences, q39_repair_differences)}
+    q39_range_differences, q39_repair_differences, q40_late_rows, q40_late_counts,
+    q40_late_readmitted, q41_run_history)}
