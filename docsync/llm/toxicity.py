@@ -38,6 +38,9 @@ LONGEST = 40
 TRAIN_ROWS = 12_000
 #: Terms kept, by the strength of their test.
 MAX_TERMS = 4096
+#: With a term the toxic share is at least so many times that of all examples. Terms that are just a
+#: little more frequent in toxic documents tell little, and would put most documents into the index.
+LIFT = 2.0
 #: A term is kept if chance would keep less than this many of all terms tested.
 CHANCE = 0.01
 BLOCK = 64
@@ -48,8 +51,9 @@ EVIDENCE = 3
 CUT = 0.5
 #: Documents that are scored in one task, about.
 TASK_ROWS = 20_000
-#: Words whose terms a task remembers.
+#: Words whose terms, and vectors of up to SHORT terms whose scores a task remembers.
 REMEMBERED = 1 << 18
+SHORT = 8
 
 
 def words(text: str) -> Iterator[str]:
@@ -233,7 +237,7 @@ def chosen_terms(sample: DataFrame) -> list[str]:
                  + part(toxic - a, toxic, rest) + part(total - toxic - b, total - toxic, rest))
     kept = counts.withColumn("ratio", ratio).filter(
         (F.col("ratio") >= 2 * math.log(max(1, tested) / CHANCE))
-        & (a * float(total) > F.col("seen") * float(toxic)))
+        & (a * float(total) >= LIFT * float(toxic) * F.col("seen")))
     return [r.term for r in kept.orderBy(F.desc("ratio"), "term").limit(MAX_TERMS).collect()]
 
 
@@ -262,17 +266,20 @@ def fit(vectors: DataFrame, chosen: DataFrame, n_terms: int) -> Index:
 
 def _scorer(index: Index):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blank = (index.base, [])
+        known: dict[tuple, tuple] = {((), ()): (index.base, [])}  # short vectors often repeat
         for batch in batches:
             out = []
             for ids, counts in zip(batch["terms"].to_pylist(), batch["counts"].to_pylist()):
-                if not ids:
-                    out.append(blank)
-                    continue
-                vote, rows, near = index.vote(np.array(ids, np.int64), np.array(counts, np.float64))
-                out.append((index.score(vote) if len(rows) else index.base, [
-                    {"doc_id": int(index.ids[r]), "similarity": float(s), "toxic": int(index.labels[r])}
-                    for r, s in zip(rows[:EVIDENCE].tolist(), near[:EVIDENCE])]))
+                key = (tuple(ids), tuple(counts))
+                found = known.get(key)
+                if found is None:
+                    vote, rows, near = index.vote(np.array(ids, np.int64), np.array(counts, np.float64))
+                    found = (index.score(vote) if len(rows) else index.base, [
+                        {"doc_id": int(index.ids[r]), "similarity": float(s), "toxic": int(index.labels[r])}
+                        for r, s in zip(rows[:EVIDENCE].tolist(), near[:EVIDENCE])])
+                    if len(ids) <= SHORT and len(known) < REMEMBERED:
+                        known[key] = found
+                out.append(found)
             scores = np.array([x[0] for x in out], np.float64)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["held_out"], pa.array(scores, pa.float64()),
