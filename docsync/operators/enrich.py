@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docsync.functions.text import column_text, join_keys, pair_text
+from docsync.functions.times import iso_date
 from docsync.operators.concat import ordered_concat
 from docsync.operators.ids import DOC_ID, ERRORS, WRITES
 from docsync.spec import SyncSpec
@@ -24,12 +26,12 @@ def _lower(ext: DataFrame) -> DataFrame:
     return ext.toDF(*[c.lower() for c in ext.columns])
 
 
-def eav(docs: DataFrame, extension_column: str, ext: DataFrame, order=()):
+def eav(docs: DataFrame, extension_column: str, ext: DataFrame, order=(), typed=None):
     """The key column of the documents, and (parent_id, item) of the extension rows.
 
     The first three columns of the rows are parent id, key and value, by position; keys become
     lower case, values text.  ``item`` holds key and value after the columns the rows are ordered
-    by, so comparing items is a total order up to equal rows.
+    by, so comparing items is a total order up to equal rows. ``typed`` adds a column of that name.
     """
     ext = _lower(ext)
     parent, key, value = ext.columns[:3]
@@ -38,7 +40,8 @@ def eav(docs: DataFrame, extension_column: str, ext: DataFrame, order=()):
     item = F.struct(*by, F.lower(F.col(f"`{key}`")).alias("key"),
                     column_text(ext, value).alias("value"))
     rows = ext.where(F.col(f"`{parent}`").isNotNull() & F.col(f"`{key}`").isNotNull())
-    return doc_key, rows.select(ext_key.alias("parent_id"), item.alias("item"))
+    more = [] if typed is None else [typed.alias("typed")]
+    return doc_key, rows.select(ext_key.alias("parent_id"), item.alias("item"), *more)
 
 
 def batch_rows(ext: DataFrame, docs: DataFrame, extension_column: str) -> DataFrame:
@@ -92,14 +95,52 @@ def _latest(rows: DataFrame) -> DataFrame:
     return last.groupBy("parent_id").agg(F.map_from_entries(entries).alias(CUSTOM_MAP))
 
 
+def as_variant(c: Column, kind: T.DataType) -> Column:
+    """A value of any type with its type: numbers stay numbers, nested values stay nested."""
+    if isinstance(kind, T.VariantType):
+        return c
+    if isinstance(kind, (T.StructType, T.MapType, T.ArrayType)):
+        return F.to_variant_object(c)
+    return c.cast("variant")
+
+
+def typed_variant(rows: DataFrame, string: str = "string_value", date: str = "date_value",
+                  number: str = "number_value") -> Column:
+    """The one of three typed columns that has a value, dates as text."""
+    kinds = rows.schema
+    return F.coalesce(as_variant(F.col(string), kinds[string].dataType),
+                      as_variant(iso_date(F.col(date)), T.StringType()),
+                      as_variant(F.col(number), kinds[number].dataType))
+
+
+def _latest_typed(docs: DataFrame, ext: DataFrame, extension_column: str, order, protected):
+    """As _latest, with values as variants, and keys in order."""
+    ext = _lower(ext)
+    value = ext.schema.fields[2]
+    doc_key, rows = eav(docs, extension_column, ext, order, as_variant(F.col(f"`{value.name}`"), value.dataType))
+    rows = rows.where(~F.col("item.key").isin(*protected))
+    last = rows.groupBy("parent_id", "item.key").agg(F.max_by("typed", "item").alias("value"))
+    entries = F.array_sort(
+        F.collect_list(F.struct("key", "value")),
+        lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+    return doc_key, last.groupBy("parent_id").agg(F.map_from_entries(entries).alias(CUSTOM_MAP))
+
+
 def flatten(docs: DataFrame, ext: DataFrame, extension_column: str, keys=None, order=(),
-            id_columns=()) -> DataFrame:
+            id_columns=(), typed: bool = False) -> DataFrame:
     """Custom fields as fields of their own; the last row of a repeated key counts.
 
     With ``keys`` declared each becomes a column.  Without, all keys go to one map column
     ``custom`` (their number has no limit, so they are not columns).  A custom field replaces an ordinary field of the same name; an id column is never replaced.
+
+    ``typed`` (for undeclared keys) makes the map's values variants, each of the type its value has
+    in the extension rows: a number, text, an object. Otherwise they are text.
     """
     protected = {DOC_ID, WRITES, ERRORS, *id_columns}
+    if typed and keys is not None:
+        raise ValueError("declared custom fields have one type each; typed is for undeclared ones")
+    if typed:
+        return _attach(docs, *_latest_typed(docs, ext, extension_column, order, protected))
     doc_key, rows = eav(docs, extension_column, ext, order)
     if keys is None:
         return _attach(docs, doc_key, _latest(rows.where(~F.col("item.key").isin(*protected))))
@@ -163,7 +204,7 @@ def enrich(docs: DataFrame, ext: DataFrame | None, spec: SyncSpec) -> DataFrame:
     if ext is not None:
         if spec.fields_mode == "flatten":
             docs = flatten(docs, ext, spec.extension_column, spec.ext_keys, spec.ext_order,
-                           spec.id_columns)
+                           spec.id_columns, spec.ext_typed)
         else:
             docs = custom_in_one(docs, ext, spec.extension_column, spec.ext_order,
                                  spec.ext_repeat)

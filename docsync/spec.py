@@ -51,6 +51,8 @@ class SyncSpec:
     ext_order: tuple[str, ...] | str = ()
     ext_keys: tuple[str, ...] | None = None
     ext_repeat: int = 1
+    # Undeclared custom fields (flatten without ext_keys) keep the types of their values
+    ext_typed: bool = False
     mapping: Mapping | None = None
     # Pattern between tokens by analyzer name; text with another analyzer stays whole
     analyzers: Mapping[str, str] = field(default_factory=dict)
@@ -100,6 +102,8 @@ class SyncSpec:
             raise ValueError(f"{self.name}: fields_mode must be one of {FIELD_MODES}")
         if self.op not in WRITE_OPS:
             raise ValueError(f"{self.name}: op must be one of {WRITE_OPS}")
+        if self.ext_typed and self.ext_keys is not None:
+            raise ValueError(f"{self.name}: ext_typed is for undeclared custom fields")
         put("unfit", self.unfit.strip().lower())
         if self.unfit not in UNFIT:
             raise ValueError(f"{self.name}: unfit must be one of {UNFIT}")

@@ -153,6 +153,14 @@ counts AS (SELECT * FROM count1 UNION ALL SELECT * FROM count2 UNION ALL SELECT
 
 _UNFIT = _unfit_loads()
 
+#: Events as custom fields with types, the last of each user and key.
+_TYPED = f"""WITH last AS (SELECT user_id, lower(event_type) AS k, value, props, ts FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, lower(event_type) ORDER BY ts DESC, event_id DESC) = 1),
+typed AS (
+  SELECT user_id, k AS key, 'DOUBLE' AS kind, CAST(to_json(value) AS VARCHAR) AS json FROM last
+  UNION ALL SELECT user_id, 'props_' || k, 'OBJECT<k: BIGINT>', replace(props, ' ', '') FROM last
+  UNION ALL SELECT user_id, 'at_' || k, 'STRING', '"' || {_text('ts').rpartition(' AS ')[0]} || '"' FROM last)"""
+
 #: Deliveries of events: every tenth comes with the next one. Late is what lies two days before the
 #: newest time of the deliveries before.
 _LATE = """WITH cut AS (SELECT TIMESTAMP '2024-01-10' AS a, TIMESTAMP '2024-01-20' AS b),
@@ -345,6 +353,14 @@ SELECT DISTINCT CAST(event_id AS VARCHAR) AS doc_id, {_text('ts')}, event_type F
 SELECT 'docsync-proj' AS query, CAST(1 AS BIGINT) AS batches, CAST(1 AS BIGINT) AS input_rows,
   CAST(0 AS BIGINT) AS dropped_rows, CAST(b AS BIGINT) AS last_batch, 'ended' AS state,
   CAST(NULL AS VARCHAR) AS error FROM range(2) t(b)""",
+    "q42_typed_custom_fields": f"""{_TYPED}
+SELECT c_custkey, key, kind, json FROM customer JOIN typed ON user_id = c_custkey""",
+    "q42_typed_documents": f"""{_TYPED}
+SELECT '{{"create":{{"_index":"customers","_id":"' || c_custkey || '"}}}}' || chr(10) || '{{"c_custkey":'
+  || c_custkey || ',"c_name":' || to_json(any_value(c_name)) || ',"c_mktsegment":'
+  || to_json(any_value(c_mktsegment)) || coalesce(string_agg(',"' || key || '":' || json, '' ORDER BY key), '')
+  || '}}' AS value
+FROM customer LEFT JOIN typed ON user_id = c_custkey GROUP BY c_custkey""",
     "q37_unfit_counts": f"{_UNFIT} SELECT * FROM counts",
     "q37_unfit_rows": f"""{_UNFIT}
 SELECT DISTINCT CAST(key AS VARCHAR) AS doc_id, e.field, e.value, e.reason

@@ -612,6 +612,38 @@ def q41_run_history(spark, sf):
                                               "last_batch", "state", "error")
 
 
+def _typed_events(spark, sf):
+    """Events as custom fields of three kinds: a number, an object, a text."""
+    events = table(spark, sf, "events")
+    return events.select("user_id", F.explode(F.array(
+        F.struct(F.col("event_type").alias("k"), F.col("value").cast("variant").alias("v")),
+        F.struct(F.concat(F.lit("props_"), "event_type").alias("k"), F.parse_json("props").alias("v")),
+        F.struct(F.concat(F.lit("at_"), "event_type").alias("k"),
+                 strict_date_time("ts").cast("variant").alias("v")))).alias("e"), "ts", "event_id") \
+        .select("user_id", "e.*", "ts", "event_id")
+
+
+def q42_typed_custom_fields(spark, sf):
+    """Undeclared custom fields keep their types; one row per field."""
+    docs = en.flatten(_customers(spark, sf), _typed_events(spark, sf), "c_custkey", None,
+                      ("ts", "event_id"), ("c_custkey",), typed=True)
+    fields = docs.select("c_custkey", F.explode("custom").alias("key", "value"))
+    return fields.select("c_custkey", "key", F.schema_of_variant("value").alias("kind"),
+                         F.to_json("value").alias("json"))
+
+
+def q42_typed_documents(spark, sf):
+    """The same through a full load, stored and written as bulk text."""
+    home = _home(spark, "q42")
+    _customers(spark, sf).createOrReplaceTempView("customers_src")
+    spec = SyncSpec(name="customers", id_columns="c_custkey", unique_ids=True,
+                    init_sql="SELECT * FROM customers_src", extension_column="c_custkey",
+                    fields_mode="flatten", ext_order=("ts", "event_id"), ext_typed=True,
+                    ext_source=lambda s: _typed_events(s, sf))
+    init(spark, home, spec, T3)
+    return to_ndjson(home.target(spec).read(), "customers")
+
+
 QUERIES = {f.__name__: f for f in (
     q01_full_scan_bound, q02_window_scan, q03_doc_id_composite, q04_create_if_absent,
     q05_outcomes, q05_refused_rows, q06_ext_flatten, q06_ext_flatten_open, q07_ext_custom_in_one,
@@ -624,4 +656,4 @@ QUERIES = {f.__name__: f for f in (
     q33_rows_without_ids, q34_null_extension_ids, q35_mapped_types, q36_single_documents,
     q37_unfit_counts, q37_unfit_rows, q37_fit_documents, q38_pushed_sql_window,
     q39_range_differences, q39_repair_differences, q40_late_rows, q40_late_counts,
-    q40_late_readmitted, q41_run_history)}
+    q40_late_readmitted, q41_run_history, q42_typed_custom_fields, q42_typed_documents)}
