@@ -222,6 +222,8 @@ WHERE user_id IN (SELECT cust FROM proj WHERE {_IN_WINDOW})""",
     "q12_full_document": f"WITH {_TEAMS} " + _documents("pm_member", f"{CHANGE} < {_ts(T2)}"),
     "q13_changed_union": f"WITH {_TEAMS} " + _documents(
         "pm_member", f"({_IN_WINDOW}) OR {_BY_MEMBER}"),
+    "q43_captured_changes": f"WITH {_TEAMS} " + _documents(
+        "pm_member", f"({_IN_WINDOW}) OR {_BY_MEMBER}"),
     "q14_changed_union_fanout": f"WITH {_TEAMS}, {_FANOUT} "
         + _documents("pm_member", _IN_WINDOW) + " UNION " + _documents("fanout", "true"),
     "q15_mapping": f"""WITH {_TEAMS}

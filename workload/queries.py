@@ -22,8 +22,8 @@ from docsync.operators.state import latest_state
 from docsync.plans import (Home, delete_once, documents, fix, init, repair_differences, repair_missing,
                            report_frame, run_all, sync_once, verify)
 from docsync.sources import changed_between, extension_rows, full, window
-from docsync.streaming import (LateRows, RunHistory, distinct_feed, fold_history, follow, follow_feed,
-                               readmit, run_summary, write_feed)
+from docsync.streaming import (LateRows, RunHistory, changed_parent_ids, distinct_feed, fold_history,
+                               follow, follow_changes, follow_feed, readmit, run_summary, write_feed)
 from workload.adapters import (LO, T0, T1, T2, T3, attr, event_eav, param, proj, table,
                                team_member, team_object)
 
@@ -644,6 +644,36 @@ def q42_typed_documents(spark, sf):
     return to_ndjson(home.target(spec).read(), "customers")
 
 
+def q43_captured_changes(spark, sf):
+    """q13 by streams: parents, links and member changes arrive in three deliveries, each on its own
+    run of one query, and changed documents are loaded as they become known."""
+    root = storage.new_folder(spark, "q43")
+    parents, members, teams = proj(spark, sf), team_member(spark, sf), team_object(spark, sf)
+    changed = F.coalesce("mod_date", "create_date")
+    feeds = {"parents": changed_between(parents, LO, T1).withColumn("at", changed),
+             "members": changed_between(members, LO, T1, None, "mod_date").withColumn("at", F.col("mod_date")),
+             "links": teams.join(parents.select(F.col("pid").alias("object_id"),
+                                                F.col("create_date").alias("at")), "object_id")}
+    target = targets.Target(spark, root, "full")
+
+    def load(ids):
+        rows = _full_documents(spark, sf, parents.join(ids, "pid", "left_semi"),
+                               rel.lists_for(ids, "pid", members, teams))
+        targets.upsert(target, with_doc_id(rows, ("pid",)))
+    cuts = [None, "1998-03-01 00:00:00", "1998-05-01 00:00:00", None]
+    for i in range(3):
+        for name, rows in feeds.items():
+            slot = F.when(F.col("at") < F.lit(cuts[1]).cast("timestamp_ntz"), 0).when(
+                F.col("at") < F.lit(cuts[2]).cast("timestamp_ntz"), 1).otherwise(2)
+            rows.where(slot == i).write.parquet(f"{root}/feed/{name}/delivery={i}")
+        streams = {name: spark.readStream.schema(rows.schema).parquet(f"{root}/feed/{name}/delivery=*")
+                   for name, rows in feeds.items()}
+        ids = changed_parent_ids(streams["parents"], "pid", "at", streams["links"], streams["members"],
+                                 "7300 DAYS", link_time="at", member_time="at")
+        follow_changes(ids, load, f"{root}/checkpoint").awaitTermination()
+    return target.read().drop(DOC_ID)
+
+
 QUERIES = {f.__name__: f for f in (
     q01_full_scan_bound, q02_window_scan, q03_doc_id_composite, q04_create_if_absent,
     q05_outcomes, q05_refused_rows, q06_ext_flatten, q06_ext_flatten_open, q07_ext_custom_in_one,
@@ -656,4 +686,5 @@ QUERIES = {f.__name__: f for f in (
     q33_rows_without_ids, q34_null_extension_ids, q35_mapped_types, q36_single_documents,
     q37_unfit_counts, q37_unfit_rows, q37_fit_documents, q38_pushed_sql_window,
     q39_range_differences, q39_repair_differences, q40_late_rows, q40_late_counts,
-    q40_late_readmitted, q41_run_history, q42_typed_custom_fields, q42_typed_documents)}
+    q40_late_readmitted, q41_run_history, q42_typed_custom_fields, q42_typed_documents,
+    q43_captured_changes)}
