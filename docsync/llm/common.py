@@ -6,6 +6,7 @@ import tempfile
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from hashlib import blake2b
 from pathlib import Path
 
 import numpy as np
@@ -192,3 +193,37 @@ def word_hashes(texts: list[bytes], lower: bool = True):
     data, starts, ends, first = word_spans(texts)
     prefix = prefix_hashes(data, _LOWER if lower else _BYTE)
     return span_hash(prefix, starts, ends), first
+
+
+#: Words of more bytes than this are told apart by a digest of their bytes.
+LANES = 64
+_LOWER_BYTE = np.arange(256, dtype=np.uint8)
+_LOWER_BYTE[65:91] += 32
+
+
+def word_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit keys of spans of bytes. Eight bytes after the other are mixed into the key of a word,
+    so that no pattern of letters makes two words meet, as it does with powers modulo 2 ** 64."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eights = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    lengths = ends - starts
+    keys = mix64(lengths.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    rest = np.flatnonzero(lengths <= LANES)
+    for lane in range(0, LANES, 8):
+        rest = rest[lengths[rest] > lane]
+        if not len(rest):
+            break
+        part = eights[starts[rest] + lane]
+        short = np.minimum(lengths[rest] - lane, 8).astype(np.uint64)
+        part = part & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * short))
+        keys[rest] = mix64((keys[rest] ^ part) + np.uint64(0xD6E8FEB86659FD93))
+    for i in np.flatnonzero(lengths > LANES).tolist():
+        digest = blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest()
+        keys[i] = np.uint64(int.from_bytes(digest, "little"))
+    return keys
+
+
+def told_words(texts: list[bytes]):
+    """(key of every word in lower case, first word of each text and the end)."""
+    data, starts, ends, first = word_spans(texts)
+    return word_keys(_LOWER_BYTE[data], starts, ends), first

@@ -261,20 +261,28 @@ def placed(docs: DataFrame, path: str, planner=configuration_plan, carry: list[s
     return short.select(*columns).unionByName(full.select(*columns))
 
 
-def _rows(capacity: int):
+def _joined(ids: bytes, length: int, width: str) -> bytes:
+    """A piece's ids in the width of the matrix."""
+    held = np.frombuffer(ids, "<u2" if len(ids) == 2 * length else "<u4")
+    if len(held) and int(held.max()) > np.iinfo(width).max:
+        raise ValueError(f"token id {held.max()} does not fit the matrix's {width}")
+    return held.astype(width).tobytes()
+
+
+def _rows(capacity: int, width: str = "<u2"):
+    size, place_width = np.dtype(width).itemsize, "<u2" if capacity <= 1 << 16 else "<u4"
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, lengths, positions, used = [], [], [], []
             for parts in batch["parts"].to_pylist():
                 parts.sort(key=lambda p: p["offset"])
-                flat = b"".join(p["ids"] if len(p["ids"]) == 2 * p["length"] else
-                                np.frombuffer(p["ids"], "<u4").astype("<u2").tobytes()
-                                for p in parts)
+                flat = b"".join(_joined(p["ids"], p["length"], width) for p in parts)
                 ends = np.cumsum([p["length"] for p in parts])
                 place = np.concatenate([np.arange(p["length"]) for p in parts])
                 rest = capacity - int(ends[-1])
-                ids.append(flat + b"\0\0" * rest)
-                positions.append(np.append(place, np.zeros(rest, int)).astype("<u2").tobytes())
+                ids.append(flat + bytes(size * rest))
+                positions.append(np.append(place, np.zeros(rest, int)).astype(place_width).tobytes())
                 lengths.append([0] + ends.tolist())
                 used.append(int(ends[-1]))
             yield pa.RecordBatch.from_arrays(
@@ -285,13 +293,20 @@ def _rows(capacity: int):
     return build
 
 
+def id_width(path: str) -> str:
+    from tokenizers import Tokenizer
+    most = max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=0)
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
 def matrices(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """Packed training rows: one per sequence, by best-fit decreasing.
 
-    ids: ``capacity`` little-endian 16-bit token ids, zeros after ``n_tokens``; cu_seqlens: 0 and
-    the end of each segment; position_ids: 16-bit positions that start anew with each segment;
-    doc_ids: the document and piece of each segment. The vocabulary must fit 16 bits. A
-    document's pieces joined in order are its ids, so nothing is lost.
+    ids: ``capacity`` little-endian token ids, zeros after ``n_tokens``, of 16 bits where the
+    vocabulary fits them and else of 32; cu_seqlens: 0 and the end of each segment; position_ids:
+    positions that start anew with each segment, of 32 bits beyond a capacity of 65536; doc_ids: the
+    document and piece of each segment. A document's pieces joined in order are its ids, so nothing
+    is lost.
     """
     out = placed(docs, path, best_fit_plan, ["doc_id"], capacity, with_ids=True)
     kind = out.schema["row"].dataType["doc_id"].dataType.simpleString()
@@ -301,7 +316,7 @@ def matrices(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
         "sequence_id", F.transform("parts", lambda p: p.dropFields("doc_id", "piece"))
         .alias("parts"),
         F.transform("parts", lambda p: F.struct(p["doc_id"], p["piece"])).alias("doc_ids"))
-    return rows.mapInArrow(_rows(capacity), (
+    return rows.mapInArrow(_rows(capacity, id_width(path)), (
         "sequence_id long, n_tokens long, ids binary, cu_seqlens array<int>, position_ids binary,"
         f" doc_ids array<struct<doc_id:{kind},piece:int>>"))
 

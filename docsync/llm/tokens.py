@@ -11,7 +11,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from docsync.llm.common import STEP_BYTES, encoded, prefix_hashes, span_hash, steps
+from docsync.llm.common import STEP_BYTES, encoded, steps, word_keys
 
 SLOTS = 1 << 21
 #: Ids held before the memory of words starts anew.
@@ -98,7 +98,7 @@ class WordTokens:
         starts, ends = edge[0::2], edge[1::2]
         bounds = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
         first = np.searchsorted(starts, bounds)
-        h = span_hash(prefix_hashes(data), starts, ends) | np.uint64(1)
+        h = word_keys(data, starts, ends) | np.uint64(1)
         slot = (h >> np.uint64(20)).astype(np.int64) & (SLOTS - 1)
         start, count = self.start[slot], self.count[slot]
         missing = np.flatnonzero(self.keys[slot] != h)

@@ -141,3 +141,37 @@ def test_capacity_tree():
     assert [tree.least(x) for x in (1, 7, 8, 41, 100)] == [7, 7, 40, 100, 100]
     tree.set(7, False)
     assert tree.least(1) == 40
+
+
+def test_wide_ids_are_kept_or_refused():
+    import pyarrow as pa
+
+    from docsync.llm.packing import _rows
+    part = [{"offset": 0, "length": 2, "ids": np.array([70000, 5], "<u4").tobytes()},
+            {"offset": 2, "length": 1, "ids": np.array([9], "<u2").tobytes()}]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1]), pa.array([part]), pa.array([[{"doc_id": 1, "piece": 0}]])],
+        ["sequence_id", "parts", "doc_ids"])
+    row = next(_rows(4, "<u4")(iter([batch]))).to_pylist()[0]
+    assert np.frombuffer(row["ids"], "<u4").tolist() == [70000, 5, 9, 0] and row["n_tokens"] == 3
+    with pytest.raises(ValueError, match="70000"):
+        list(_rows(4)(iter([batch])))
+    far = {"offset": 0, "length": 70001, "ids": bytes(2 * 70001)}
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1]), pa.array([[far]]), pa.array([[{"doc_id": 1, "piece": 0}]])],
+        ["sequence_id", "parts", "doc_ids"])
+    row = next(_rows(70001)(iter([batch]))).to_pylist()[0]
+    assert np.frombuffer(row["position_ids"], "<u4")[-1] == 70000
+
+
+def test_words_of_one_pattern_have_their_own_ids():
+    """Swapped twins of 1024 letters meet under a hash that is a polynomial modulo 2 ** 64."""
+    from docsync.llm.queries import tokenizer
+    from docsync.llm.tokens import WordTokens
+    words = ["".join(b if bin(i).count("1") % 2 else a for i in range(1024))
+             for a, b in (("a", "b"), ("b", "a"))]
+    tokens = WordTokens(tokenizer())
+    flat, bounds = tokens.ids([w.encode() for w in words])
+    for i, w in enumerate(words):
+        assert flat[bounds[i]:bounds[i + 1]].tolist() == \
+            tokens.tokenizer.encode(w, add_special_tokens=False).ids
