@@ -11,8 +11,12 @@ A document is its set of 5-word shingles (64-bit hashes). Two link when
   longer prefix costs more postings and asks for more matches; each class takes the m with the
   least estimated cost. Hashes that no other window has are never sent again.
 * Pairs inside one component need no test. First every class is tested against the most central
-  class of each of its postings; what that links is one component. Then only pairs across
-  components are generated, and verified if they match often enough.
+  class of each of its postings; what that links is one component.
+* Classes that still meet classes of other components send their whole sets. Against whole sets the
+  bounds are as tight as they can be: of two sets that link, the smaller shares all but a seventh of
+  its hashes, the larger all but a quarter. Hashes that one component alone has come first in every
+  prefix, so classes that share long passages, but not enough of them, do not meet. Here a prefix
+  may ask for any number of matches.
 """
 
 from __future__ import annotations
@@ -24,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsync.llm.common import (drop, encoded, mix64, noise, packed, stage, steps, unpacked,
-                                word_hashes)
+from docsync.llm.common import (drop, encoded, mix64, noise, packed, stage, steps, told_words,
+                                unpacked)
 from docsync.llm.components import components
 
 WORDS = 5
 PERCENT = 75
-#: Most matches a prefix may ask for.
+#: Hashes of a set whose reading costs a verification as much as one posting.
+VERIFY = 16
+#: Most matches a prefix of a window may ask for; prefixes of whole sets have no such bound.
 MATCHES = 4
 #: Sets up to this size are sent whole; of larger ones the share WINDOW of the rest as well.
 WHOLE = 128
@@ -43,7 +49,7 @@ _MIX = noise(WORDS, 5)
 def shingles(texts: list[bytes]) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     for a, b in steps(texts):
-        hashes, first = word_hashes(texts[a:b])
+        hashes, first = told_words(texts[a:b])
         n = len(hashes)
         sums = np.zeros(max(0, n - WORDS + 1), np.uint64)
         for j in range(WORDS):
@@ -283,31 +289,102 @@ def class_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = stage(_links(pairs, sets), "links")
     parts = stage(components(links), "parts")
-    # 2. Across components. In a posting the members of its largest component are met by the
-    # others, never by each other.
-    posts2 = stage(posts.join(parts.withColumnRenamed("id", "sid"), "sid", "left").select(
-        *posts.columns, F.coalesce("component", "sid").alias("part")), "parted")
-    counts = posts2.groupBy("h", "part").agg(F.count("*").alias("c"))
-    main = counts.groupBy("h").agg(F.count("*").alias("parts"), F.max(F.struct(
-        "c", "part"))["part"].alias("main")).filter("parts > 1").select("h", "main")
-    mixed = posts2.join(main, "h")
-    x, y = mixed.filter("part <> main").alias("x"), mixed.alias("y")
-    # The class that comes first in (n, sid) probes with its own m. A pair with one side in the
-    # main component is met once; of others, both orders are met, and one is kept.
-    probe = F.struct("x.n", "x.sid") < F.struct("y.n", "y.sid")
-    m = F.when(probe, F.col("x.m")).otherwise(F.col("y.m"))
-    met = x.join(y, "h").filter(
-        (F.col("x.part") != F.col("y.part")) & ((F.col("y.part") == F.col("y.main")) | probe)
-        & (F.col("x.least") <= m) & (F.col("y.least") <= m) & _can_link("x", "y"))
-    pairs = met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"),
-                       m.alias("m")).groupBy("a", "b").agg(
-        F.count("*").alias("c"), F.first("m").alias("m")).filter("c >= m").select("a", "b")
-    more = stage(_links(pairs, sets), "links")
-    for done in (sets, posts, posts2, parts):
+    # 2. Across components.
+    parted = posts.join(parts.withColumnRenamed("id", "sid"), "sid", "left").select(
+        "h", "sid", F.coalesce("component", "sid").alias("part"))
+    meet = parted.groupBy("h").agg(F.min("part").alias("p"), F.max("part").alias("q")) \
+        .filter("p <> q").select("h")
+    left = stage(parted.join(meet, "h", "left_semi").select("sid", "part").distinct(), "left")
+    more = stage(_links(across(sets.join(left, "sid")), sets), "links")
+    for done in (sets, posts, parts, left):
         drop(done)
     return links.unionByName(more)
 
 
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for sid, part, items in zip(batch["sid"].to_pylist(), batch["part"].to_pylist(), batch["items"]):
+            h = np.frombuffer(items.as_buffer(), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h), pa.array(np.full(len(h), sid)), pa.array(np.full(len(h), part)),
+                 pa.array(np.full(len(h), len(h), np.int32))], ["h", "sid", "part", "n"])
+
+
+def whole_prefix(n: int, df: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, int, float]:
+    """Hashes of a whole set in the order of its prefixes, the number of matches it asks for if one is
+    too costly, and the estimated cost of that.
+
+    ``df`` and ``h``: its hashes that other components have; all others come first. As the smaller
+    of two sets it shares at least 6/7 of its hashes with a partner, so m of them are among the first
+    n - 6 n / 7 + m. Of m from 2 on the one with the least estimated cost is taken, however large.
+    """
+    h = h[np.lexsort((h, df))]
+    alone, least = n - len(h), -(-6 * n // 7)
+    m = np.arange(min(2, least), least + 1)
+    ends = np.clip(m + (n - least) - alone, 0, len(h))
+    posts = np.concatenate(([0], np.cumsum(np.sort(df).astype(np.float64) - 1)))[ends]
+    cost = posts + posts / m ** 2 * (n / VERIFY)
+    return h, int(m[np.argmin(cost)]), float(cost.min())
+
+
+def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["sid", "n", "part", "alone", "longer", "cost", "hs"]
+    for batch in batches:
+        out = []
+        for sid, n, part, seen in zip(*(batch[c].to_pylist() for c in ("sid", "n", "part", "seen"))):
+            h, m, cost = whole_prefix(n, np.array([s["df"] for s in seen]),
+                                np.array([s["h"] for s in seen], np.int64))
+            out.append((sid, n, part, n - len(h), m, cost, h))
+        columns = list(zip(*out)) or [[]] * len(names)
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(),
+                 pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def across(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes of different components that may link, from (sid, items, part)."""
+    rows = stage(sets.select("sid", "part", "items").mapInArrow(
+        lambda it: batched(_items(it)), "h long, sid long, part long, n int"), "items")
+    common = rows.groupBy("h").agg(
+        F.least(F.count("*"), F.lit(FREQUENT)).cast("int").alias("df"), F.min("part").alias("p"),
+        F.max("part").alias("q")).filter("p <> q").select("h", "df")
+    ordered = stage(rows.join(common, "h").groupBy("sid", "n", "part").agg(
+        F.collect_list(F.struct("h", "df")).alias("seen")).mapInArrow(
+        _ordered, "sid long, n int, part long, alone int, longer int, cost double, hs array<long>"),
+        "ordered")
+    # A set meets larger ones with its own m and the prefix for it, and smaller ones with theirs.
+    small, large = F.expr("n - ceil(6 * n / 7)"), F.expr("n - ceil(3 * n / 4)")
+
+    def hashes(end):
+        return F.slice("hs", 1, F.greatest(F.lit(0), end - F.col("alone")).cast("int"))
+    # What asking for one match costs is counted: how many sets have a hash in their prefix for it.
+    there = ordered.select(F.explode(hashes(large + 1)).alias("h")).groupBy("h").agg(
+        F.count("*").alias("c"))
+    once = ordered.select("sid", F.explode(hashes(small + 1)).alias("h")).join(there, "h").groupBy(
+        "sid").agg(F.sum(F.col("c") - 1).alias("posts"))
+    one = F.coalesce("posts", F.lit(0)) * (1 + F.col("n") / VERIFY)
+    chosen = stage(ordered.join(once, "sid", "left").select(
+        "sid", "n", "part", "alone", "hs", F.when(one <= F.col("cost"), 1).otherwise(F.col("longer"))
+        .cast("int").alias("m")), "chosen")
+    most = chosen.agg(F.max("m")).first()[0] or 1  # one number
+
+    def cut(end, *more):
+        return chosen.select("sid", "n", "part", "m", *more, F.posexplode(hashes(end)).alias("i", "h"), "alone") \
+            .withColumn("place", F.col("alone") + F.col("i") + 1).drop("i", "alone")
+    x = cut(small + F.col("m")).alias("x")
+    y = cut(large + most, large.alias("room")).alias("y")
+    needed = F.ceil((F.col("x.n") + F.col("y.n")) * 3 / F.lit(7.0) - 1e-9)
+    met = x.join(y, "h").filter(
+        (F.struct("x.n", "x.sid") < F.struct("y.n", "y.sid")) & (4 * F.col("x.n") >= 3 * F.col("y.n"))
+        & (F.col("x.part") != F.col("y.part")) & (F.col("y.place") <= F.col("y.room") + F.col("x.m"))
+        # What follows the first m matches of a pair is still enough for it.
+        & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+           + F.col("x.m") >= needed))
+    pairs = met.groupBy(F.col("x.sid").alias("s"), F.col("y.sid").alias("t")).agg(
+        F.count("*").alias("c"), F.first("x.m").alias("m")).filter("c >= m")
+    return pairs.select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b"))
+
+
 def classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles, sid) per document, and per class its smallest doc_id."""
     digests = stage(docs.select("doc_id", "text").mapInArrow(

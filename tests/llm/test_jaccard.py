@@ -125,3 +125,69 @@ def test_components(spark):
     ids = {x for e in links if e[0] != e[1] for x in e}
     assert out == {i: r for i, r in roots(ids, links).items()}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def thue_morse(a, b, n):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+def test_words_of_one_pattern_are_different_words(spark):
+    """Swapped twins meet under any hash that is a polynomial modulo 2 ** 64."""
+    one, two = thue_morse("a", "b", 1024), thue_morse("b", "a", 1024)
+    rows = [(1, one), (2, two), (3, one.upper()), (4, f"{one} {two} x y z"), (5, f"{two} {one} x y z")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(frame) == expected(rows) == {1: (1, 1), 2: (1, 2), 3: (1, 1), 4: (1, 4), 5: (1, 5)}
+
+
+def test_word_keys():
+    from docsync.llm.common import told_words
+    rng = random.Random(4)
+    words = list({"".join(rng.choice("abé") for _ in range(rng.randrange(1, 90))) for _ in range(3000)})
+    keys, first = told_words([" ".join(words).encode(), b"", b" A\tb ", b"a B"])
+    assert len(set(keys[:len(words)].tolist())) == len(words) == first[1]
+    assert keys[-4:].tolist() == [keys[-4], keys[-3]] * 2
+    assert len(told_words([b"\0", b"\0\0", b"a\0", b"a"])[0]) == 4 == len(
+        set(told_words([b"\0", b"\0\0", b"a\0", b"a"])[0].tolist()))
+
+
+def test_passages_that_many_share_make_no_pairs(spark, monkeypatch):
+    """Documents that consist of a common passage and as much of their own meet nowhere; the pairs
+    that are tested grow with the links, not with the square of the group."""
+    rng = random.Random(9)
+
+    def some(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage, tested = some(400), []
+    monkeypatch.setattr(jaccard, "_links", lambda pairs, sets, real=jaccard._links:
+                        tested.append(pairs.count()) or real(pairs, sets))
+    rows = [(i, " ".join(passage + some(260 + i % 40))) for i in range(60)]
+    near = passage + some(100)
+    rows += [(100 + i, " ".join(near[i:] + some(2))) for i in range(4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(frame) == expected(rows)
+    assert tested[1] <= 60
+
+
+def test_whole_prefixes_keep_every_link(spark):
+    """Random sets around the threshold, all pairs: a pair that links is among those that meet."""
+    rng = np.random.default_rng(5)
+    sets_ = []
+    for _ in range(12):
+        base = rng.integers(0, 400, rng.integers(5, 90))
+        for _ in range(6):
+            keep = base[rng.random(len(base)) < rng.uniform(.85, 1)]
+            sets_.append(np.unique(np.concatenate((keep, rng.integers(0, 3000, rng.integers(0, 9))))))
+    rows = [(i, bytearray(s.astype("<u8").tobytes()), i) for i, s in enumerate(sets_) if len(s)]
+    pairs = {tuple(r) for r in jaccard.across(
+        spark.createDataFrame(rows, "sid long, items binary, part long")).collect()}
+    links = {(i, j) for i, a in enumerate(sets_) for j, b in enumerate(sets_) if i < j and len(a) and len(b)
+             and 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))}
+    assert links and links <= pairs and len(pairs) < 20 * len(links)
+
+
+def test_a_costly_prefix_asks_for_any_number_of_matches():
+    df = np.concatenate((np.full(60, 3), np.full(40, 50000)))
+    assert jaccard.whole_prefix(100, df, np.arange(100))[1] > 4
+    order, m, cost = jaccard.whole_prefix(100, np.array([9, 2]), np.array([1, 2]))
+    assert order.tolist() == [2, 1] and m == 2 and cost == 0
+    assert jaccard.whole_prefix(1, np.array([5]), np.array([7]))[1] == 1
