@@ -16,7 +16,8 @@ A document is its set of 5-word shingles (64-bit hashes). Two link when
   bounds are as tight as they can be: of two sets that link, the smaller shares all but a seventh of
   its hashes, the larger all but a quarter. Hashes that one component alone has come first in every
   prefix, so classes that share long passages, but not enough of them, do not meet. Here a prefix
-  may ask for any number of matches.
+  may ask for any number of matches. Every posting carries a sketch of its set, and pairs whose
+  sketches differ too much for a link are left out of the join.
 """
 
 from __future__ import annotations
@@ -41,8 +42,11 @@ MATCHES = 4
 #: Sets up to this size are sent whole; of larger ones the share WINDOW of the rest as well.
 WHOLE = 128
 WINDOW = 0.3
+#: 64-bit parts of the sketch of a whole set.
+SKETCH = 8
 #: Document frequencies are counted up to here; more frequent hashes are equally last.
 FREQUENT = 1 << 16
+BITS = [f"bits{i}" for i in range(SKETCH)]
 _MIX = noise(WORDS, 5)
 
 
@@ -327,22 +331,30 @@ def whole_prefix(n: int, df: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, int
     return h, int(m[np.argmin(cost)]), float(cost.min())
 
 
+def sketch(h: np.ndarray) -> list[int]:
+    """Bits, each flipped by every hash that falls on it: the sketches of two sets differ in no more
+    bits than the sets in hashes."""
+    bits = np.bincount(h & (64 * SKETCH - 1), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["sid", "n", "part", "alone", "longer", "cost", "hs"]
+    names = ["sid", "n", "part", "alone", "longer", "cost", "hs", *BITS]
     for batch in batches:
         out = []
         for sid, n, part, seen in zip(*(batch[c].to_pylist() for c in ("sid", "n", "part", "seen"))):
             h, m, cost = whole_prefix(n, np.array([s["df"] for s in seen]),
                                 np.array([s["h"] for s in seen], np.int64))
-            out.append((sid, n, part, n - len(h), m, cost, h))
+            out.append((sid, n, part, n - len(h), m, cost, h, *sketch(h)))
         columns = list(zip(*out)) or [[]] * len(names)
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(),
-                 pa.list_(pa.int64()))
+                 pa.list_(pa.int64()), *[pa.int64()] * SKETCH)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def across(sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes of different components that may link, from (sid, items, part)."""
+def meetings(sets: DataFrame) -> DataFrame:
+    """A row for each hash at which two classes of different components meet that may link, from
+    (sid, items, part): the pair's sids s and t, and m, the number of rows it needs."""
     rows = stage(sets.select("sid", "part", "items").mapInArrow(
         lambda it: batched(_items(it)), "h long, sid long, part long, n int"), "items")
     common = rows.groupBy("h").agg(
@@ -350,8 +362,8 @@ def across(sets: DataFrame) -> DataFrame:
         F.max("part").alias("q")).filter("p <> q").select("h", "df")
     ordered = stage(rows.join(common, "h").groupBy("sid", "n", "part").agg(
         F.collect_list(F.struct("h", "df")).alias("seen")).mapInArrow(
-        _ordered, "sid long, n int, part long, alone int, longer int, cost double, hs array<long>"),
-        "ordered")
+        _ordered, "sid long, n int, part long, alone int, longer int, cost double, hs array<long>, "
+        + ", ".join(f"{b} long" for b in BITS)), "ordered")
     # A set meets larger ones with its own m and the prefix for it, and smaller ones with theirs.
     small, large = F.expr("n - ceil(6 * n / 7)"), F.expr("n - ceil(3 * n / 4)")
 
@@ -364,24 +376,34 @@ def across(sets: DataFrame) -> DataFrame:
         "sid").agg(F.sum(F.col("c") - 1).alias("posts"))
     one = F.coalesce("posts", F.lit(0)) * (1 + F.col("n") / VERIFY)
     chosen = stage(ordered.join(once, "sid", "left").select(
-        "sid", "n", "part", "alone", "hs", F.when(one <= F.col("cost"), 1).otherwise(F.col("longer"))
+        "sid", "n", "part", "alone", "hs", *BITS, F.when(one <= F.col("cost"), 1).otherwise(F.col("longer"))
         .cast("int").alias("m")), "chosen")
     most = chosen.agg(F.max("m")).first()[0] or 1  # one number
 
     def cut(end, *more):
-        return chosen.select("sid", "n", "part", "m", *more, F.posexplode(hashes(end)).alias("i", "h"), "alone") \
-            .withColumn("place", F.col("alone") + F.col("i") + 1).drop("i", "alone")
+        return chosen.select("sid", "n", "part", "m", *more, F.posexplode(hashes(end)).alias("i", "h"), "alone",
+                             *BITS).withColumn("place", F.col("alone") + F.col("i") + 1).drop("i")
     x = cut(small + F.col("m")).alias("x")
     y = cut(large + most, large.alias("room")).alias("y")
     needed = F.ceil((F.col("x.n") + F.col("y.n")) * 3 / F.lit(7.0) - 1e-9)
-    met = x.join(y, "h").filter(
+    # Hashes that other components have, and how many of them one of the two sets lacks, at least.
+    ours = F.col("x.n") - F.col("x.alone") + F.col("y.n") - F.col("y.alone")
+    differ = sum((F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in BITS), F.lit(0))
+    return x.join(y, "h").filter(
         (F.struct("x.n", "x.sid") < F.struct("y.n", "y.sid")) & (4 * F.col("x.n") >= 3 * F.col("y.n"))
         & (F.col("x.part") != F.col("y.part")) & (F.col("y.place") <= F.col("y.room") + F.col("x.m"))
         # What follows the first m matches of a pair is still enough for it.
         & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-           + F.col("x.m") >= needed))
-    pairs = met.groupBy(F.col("x.sid").alias("s"), F.col("y.sid").alias("t")).agg(
-        F.count("*").alias("c"), F.first("x.m").alias("m")).filter("c >= m")
+           + F.col("x.m") >= needed)
+        # The shared hashes are twice in ``ours`` and never among those that differ.
+        & (ours - differ >= 2 * needed)).select(
+        F.col("x.sid").alias("s"), F.col("y.sid").alias("t"), F.col("x.m").alias("m"))
+
+
+def across(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes of different components that may link, from (sid, items, part)."""
+    pairs = meetings(sets).groupBy("s", "t").agg(
+        F.count("*").alias("c"), F.first("m").alias("m")).filter("c >= m")
     return pairs.select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b"))
 
 

@@ -185,6 +185,34 @@ def test_whole_prefixes_keep_every_link(spark):
     assert links and links <= pairs and len(pairs) < 20 * len(links)
 
 
+def test_near_copies_that_do_not_link_hardly_meet(spark):
+    """A large group of copies with a fifth of other hashes: the join makes no rows for its pairs, but
+    those for the few links."""
+    rng = np.random.default_rng(8)
+
+    def some(n):
+        return rng.integers(-2**63, 2**63 - 1, n)
+    base = some(200)
+    sets_ = [np.concatenate((rng.permutation(base)[:160], some(40))) for _ in range(80)]
+    sets_ += [np.concatenate((s[3:], some(3))) for s in sets_[:6]]
+    rows = [(i, bytearray(np.sort(s.view(np.uint64)).tobytes()), i) for i, s in enumerate(sets_)]
+    frame = spark.createDataFrame(rows, "sid long, items binary, part long")
+    links = {(i, 80 + i) for i in range(6)}
+    met = [tuple(r) for r in jaccard.meetings(frame).select("s", "t").collect()]
+    assert links <= {tuple(sorted(m)) for m in met} and len(set(met)) < 2 * len(sets_)
+    assert links <= {tuple(r) for r in jaccard.across(frame).collect()}
+
+
+def test_sketches_differ_no_more_than_their_sets():
+    rng = np.random.default_rng(4)
+    for n in (1, 30, 700, 20000):
+        a, b = (rng.integers(-2**63, 2**63 - 1, n) for _ in range(2))
+        b[:n // 2] = a[:n // 2]
+        differ = sum(((x ^ y) & (2**64 - 1)).bit_count()
+                     for x, y in zip(jaccard.sketch(a), jaccard.sketch(b)))
+        assert differ <= len(np.setxor1d(a, b)) and jaccard.sketch(a) == jaccard.sketch(rng.permutation(a))
+
+
 def test_a_costly_prefix_asks_for_any_number_of_matches():
     df = np.concatenate((np.full(60, 3), np.full(40, 50000)))
     assert jaccard.whole_prefix(100, df, np.arange(100))[1] > 4
