@@ -25,13 +25,20 @@ GAP = r"[\x20\x09-\x0D]+"
 STEP_BYTES = 1 << 20
 
 
+#: Bytes of one Arrow batch, so that what a task and its Python worker hold does not grow with the
+#: length of the texts. A session's own setting stays.
+BATCH_BYTES = "4m"
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per application. Without it they
-    find it only if it is installed there or lies on their path."""
+    find it only if it is installed there or lies on their path. Also bounds the bytes of a batch."""
     context = spark.sparkContext
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, BATCH_BYTES)
     if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[2]

@@ -54,11 +54,13 @@ class WordTokens:
         self.pool = np.zeros(POOL, np.uint32)
         self.used = 0
         self.model, self.alphabet, self.parts = self.tokenizer.model, _alphabet(), {}
-        made = json.loads(self.tokenizer.to_str())
-        steps_ = (made.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        # Of these parts only: the whole as text is many times the vocabulary's size.
+        normalizer, splitter = (json.loads(x.__getstate__()) if x else {} for x in (
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer))
+        steps_ = splitter.get("pretokenizers", [])
         #: Whether easy words may skip the library's own normalising and splitting.
         self.easy = (
-            [n["type"] for n in (made.get("normalizer") or {}).get("normalizers", [])]
+            [n["type"] for n in normalizer.get("normalizers", [])]
             == ["NFC", "Replace", "Lowercase"]
             and [p["type"] for p in steps_] == ["Split", "ByteLevel"]
             and steps_[0]["pattern"] == {"Regex": SPLIT})

@@ -49,3 +49,20 @@ def test_pipeline_as_a_whole(spark):
     assert {r.doc_id for r in out.collect()} <= ids
     places = out.groupBy("sequence_id").agg({"length": "sum"}).collect()
     assert max(r[1] for r in places) <= 2048
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Long texts come to a Python worker in small batches, unless the session has a setting."""
+    from docsync.llm import common
+    texts = spark.range(0, 20000, 1, 1).selectExpr("repeat('x', 2000) as text")
+
+    def most():
+        return max(r[0] for r in texts.mapInArrow(
+            lambda it: (b.from_pydict({"n": [b.nbytes]}) for b in it), "n long").collect())
+    spark.conf.unset(common.BATCH)
+    common.ship(spark)
+    assert most() < 6_000_000
+    spark.conf.set(common.BATCH, "12m")
+    common.ship(spark)
+    assert spark.conf.get(common.BATCH) == "12m"
+    spark.conf.unset(common.BATCH)
